@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import registry
-from . import suite_rowwise  # noqa: F401
+from . import suite_rowwise, suite_profile  # noqa: F401
 
 
 def queries():
