@@ -80,9 +80,19 @@ def _probs_sql(m: int = 0) -> list[str]:
     return [f"CAST({wk} AS DOUBLE) / {tot}" for wk in w]
 
 
+# Fold of a scored row from its md5 (two hex digits -> 0..255 -> mod 5).
+_HEX = "0123456789abcdef"
+FOLD_SQL = ("((instr('0123456789abcdef', substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
+            "CAST(l_partkey AS VARCHAR))), 1, 1)) - 1) * 16 + instr('0123456789abcdef', substr(md5(concat_ws('|', "
+            "CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR))), 2, 1)) - 1) % 5")
+
+
 def s_table(spark: SparkSession, sf_dir: str, members: bool = False) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
-    cols = [label_encode("l_returnflag", K_CLASSES).alias("y")]
+    h = F.md5(F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+                          F.col("l_partkey").cast("string")))
+    digit = lambda i: F.instr(F.lit(_HEX), F.substring(h, i, 1)) - 1
+    cols = [label_encode("l_returnflag", K_CLASSES).alias("y"), ((digit(1) * 16 + digit(2)) % 5).cast("int").alias("fold")]
     cols += [F.expr(e).alias(f"p_{k}") for k, e in enumerate(_probs_sql(0))]
     if members:
         for m in range(N_MEMBERS):
@@ -92,7 +102,7 @@ def s_table(spark: SparkSession, sf_dir: str, members: bool = False) -> DataFram
 
 def s_sql(members: bool = False) -> str:
     p = _probs_sql(0)
-    cols = ["CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS y"]
+    cols = ["CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS y", f"CAST({FOLD_SQL} AS INTEGER) AS fold"]
     cols += [f"{e} AS p_{k}" for k, e in enumerate(p)]
     if members:
         for m in range(N_MEMBERS):
