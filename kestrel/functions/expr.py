@@ -25,9 +25,12 @@ def _c(c) -> Column:
 
 
 def finite(c) -> Column:
-    """P12 for one column: NaN, +inf, -inf -> NULL."""
+    """P12 for one column: NaN, +inf, -inf -> NULL.  ``abs(c) < inf`` is false
+    for both infinities and for NaN (Spark orders NaN above every value), so
+    the argument is referenced twice, not three times - nested derivations
+    would otherwise grow the expression tree geometrically."""
     c = _c(c)
-    return F.when(F.isnan(c) | (F.abs(c) == F.lit(INF)), F.lit(None).cast("double")).otherwise(c)
+    return F.when(F.abs(c) < F.lit(INF), c)
 
 
 def finite_only(df: DataFrame) -> DataFrame:
@@ -59,9 +62,12 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     return df.select(*[to_number(c, types[c]).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def safe_div(num, den) -> Column:
-    """num / den; NULL when den is 0 or NULL or the quotient is not finite."""
-    return finite(F.try_divide(_c(num).cast("double"), _c(den).cast("double")))
+def safe_div(num, den, check: bool = True) -> Column:
+    """num / den; NULL when den is 0 or NULL or the quotient is not
+    finite.  ``check=False`` leaves the finite test to an enclosing
+    projection that applies it once (see ``features.engineer``)."""
+    q = F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
+    return finite(q) if check else q
 
 
 def clipped_log(c) -> Column:

@@ -216,3 +216,40 @@ def q_log_histogram(spark, sf):
 ]) + " FROM k WHERE koi_depth IS NOT NULL GROUP BY label")
 def q_class_quantiles(spark, sf):
     return pr.class_quantiles(k_table(spark, sf), "koi_depth", "label")
+
+
+# ---- A9 / A10: fitted preprocessor -------------------------------------------------------
+# The columns the two pruners keep on K.  K is built from exact
+# linear relations of lineitem columns, so the kept set is the same at every
+# scale; the greedy pass itself is unit-tested.
+A9_KEPT = ["koi_period", "koi_depth", "koi_depth_err1", "koi_ror", "koi_max_mult_ev", "koi_num_transits", "koi_steff",
+           "koi_period_log", "koi_depth_log", "koi_model_snr_log", "koi_max_mult_ev_log", "koi_num_transits_log",
+           "depth_snr", "snr_per_transit", "depth_ror_consistency", "koi_dicco_msky_sig", "koi_dikco_msky_sig",
+           "koi_fwm_sra_sig", "prad_per_srad", "teq_class", "period_class", "prad_class", "in_habitable_zone"]
+A10_KEPT = ["koi_period", "koi_depth", "koi_depth_err1", "koi_ror", "koi_max_mult_ev", "koi_num_transits", "koi_steff"]
+
+
+def _prep_sql(cols, derive: bool) -> str:
+    from .suite_rowwise import K_ALL, derived_sql
+    d = dict(derived_sql(K_ALL)) if derive else {}
+    f = "SELECT " + ", ".join(f"{d.get(c, c)} AS {c}" for c in cols) + " FROM k"
+    i = "SELECT " + ", ".join(f"coalesce({c}, (SELECT median({c}) FROM f)) AS {c}" for c in cols) + " FROM f"
+    out = ", ".join(r(f"({c} - (SELECT avg({c}) FROM i)) / (SELECT CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 "
+                      f"ELSE stddev_pop({c}) END FROM i)", c) for c in cols)
+    return K + f", f AS ({f}), i AS ({i}) SELECT {out} FROM i"
+
+
+def _fit_transform(spark, sf, derive):
+    k = k_table(spark, sf)
+    model = prep.build_preprocessor(scale=True, derive=derive, target="label").fit(k)
+    return model.transform(k)
+
+
+@query("preprocess_fit_transform", _prep_sql(A9_KEPT, True))
+def q_preprocess(spark, sf):
+    return _fit_transform(spark, sf, True)
+
+
+@query("preprocess_no_fe", _prep_sql(A10_KEPT, False))
+def q_preprocess_no_fe(spark, sf):
+    return _fit_transform(spark, sf, False)

@@ -20,6 +20,9 @@ def get_spark(master: str | None = None, app: str = "kestrel", shuffle_partition
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # generated methods over 8000 bytes are never JIT-compiled by HotSpot;
+        # wide feature projections hit that, so fall back per subtree instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
