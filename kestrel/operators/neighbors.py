@@ -39,10 +39,11 @@ def knn_join(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, by
     nq = queries.groupBy(*by).count().agg(F.max("count")).first()[0] or 0 if by else queries.count()
     nr = refs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0 if by else refs.count()
     qb_n, rb_n = _blocks(nq, block_rows), _blocks(nr, block_rows)
-    q = queries.select(*by, F.col(key).alias("qkey"), F.col(vec).alias("qvec"),
+    # re-alias the group columns: both sides may come from one lineage
+    q = queries.select(*[F.col(b).alias(b) for b in by], F.col(key).alias("qkey"), F.col(vec).alias("qvec"),
                        F.pmod(F.xxhash64(F.col(key)), F.lit(qb_n)).alias("qb"),
                        F.explode(F.sequence(F.lit(0), F.lit(rb_n - 1))).alias("rb"))
-    r = refs.select(*by, F.col(key).alias("rkey"), F.col(vec).alias("rvec"),
+    r = refs.select(*[F.col(b).alias(b) for b in by], F.col(key).alias("rkey"), F.col(vec).alias("rvec"),
                     F.pmod(F.xxhash64(F.col(key)), F.lit(rb_n)).alias("rb"),
                     F.explode(F.sequence(F.lit(0), F.lit(qb_n - 1))).alias("qb"))
     grp = by + ["qb", "rb"]
@@ -110,7 +111,7 @@ def _interpolate(seeds: DataFrame, base: DataFrame, key: str, vec: str, label: s
     x + u * (x_nn - x)."""
     nn = knn_join(base, base, key, vec, k, by=[label], exclude_self=True)
     n_nn = nn.groupBy("qkey").agg(F.count(F.lit(1)).alias("n_nn"))
-    pick = seeds.join(n_nn, seeds[key] == n_nn["qkey"]).drop("qkey")
+    pick = seeds.join(n_nn.withColumnRenamed("qkey", key), key)
     pick = pick.withColumn("nn_rank", (F.floor(_u01(F.col(key), F.col("j"), F.lit(seed), F.lit("nn")) * F.col("n_nn")) + 1).cast("int")) \
         .withColumn("u", _u01(F.col(key), F.col("j"), F.lit(seed), F.lit("u")))
     chosen = pick.join(nn.select(F.col("qkey").alias(key), "nn_rank", "rkey"), [key, "nn_rank"])

@@ -33,13 +33,29 @@ def _p(name, doc, conv=None):
 
 
 class _Stage(DefaultParamsReadable, DefaultParamsWritable):
+    """Shared helpers.  ``passthrough`` columns (keys, label codes, folds)
+    travel through every stage unchanged and are excluded from every fit."""
+
+    passthrough = Param(Params._dummy(), "passthrough", "columns carried through unchanged")
+
     def _init(self, defaults, kwargs):
-        self._setDefault(**defaults)
+        self._setDefault(passthrough=[], **defaults)
         self._set(**{k: v for k, v in kwargs.items() if v is not None})
 
     def get(self, p):
         return self.getOrDefault(getattr(self, p))
 
+    def _pt(self, df):
+        return [c for c in self.get("passthrough") if c in df.columns]
+
+    def _fit_input(self, df):
+        pt = set(self._pt(df))
+        return df.select(*[c for c in df.columns if c not in pt])
+
+    def _with_pt(self, out_cols, df):
+        extra = [F.col(c) for c in self._pt(df) if c not in set(x if isinstance(x, str) else "" for x in out_cols)]
+        return df.select(*out_cols, *extra)
+
 
 # ---- P3 as a stage -------------------------------------------------------------
 
@@ -49,12 +65,14 @@ class LeakageDropper(Transformer, _Stage):
     keep = _p("keep", "forbidden columns to retain")
 
     @keyword_only
-    def __init__(self, policy=None, target=None, keep=None):
+    def __init__(self, policy=None, target=None, keep=None, passthrough=None):
         super().__init__()
         self._init({"policy": KOI_POLICY, "target": KOI_TARGET, "keep": []}, self._input_kwargs)
 
     def _transform(self, df):
-        return drop_forbidden(df, self.get("policy"), self.get("target"), self.get("keep"))
+        pt = set(self._pt(df))
+        kept = set(drop_forbidden(df, self.get("policy"), self.get("target"), self.get("keep")).columns)
+        return df.drop(*[c for c in df.columns if c not in kept and c not in pt])
 
 
 # ---- A4 column pruner ------------------------------------------------------------
@@ -103,28 +121,28 @@ class ColumnPruner(Estimator, _Stage):
     dominantLimit = _p("dominantLimit", "drop if top value share reaches", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, missingLimit=None, dominantLimit=None):
+    def __init__(self, missingLimit=None, dominantLimit=None, passthrough=None):
         super().__init__()
         self._init({"missingLimit": MISSING_LIMIT, "dominantLimit": DOMINANT_LIMIT}, self._input_kwargs)
 
     def _fit(self, df):
-        dec = prune_decisions(df, None, self.get("missingLimit"), self.get("dominantLimit")).orderBy("pos").collect()
-        return ColumnPrunerModel(columns=[r["column"] for r in dec if r["keep"]])
+        dec = prune_decisions(self._fit_input(df), None, self.get("missingLimit"), self.get("dominantLimit")).orderBy("pos").collect()
+        return ColumnPrunerModel(columns=[r["column"] for r in dec if r["keep"]], passthrough=self.get("passthrough"))
 
 
 class ColumnPrunerModel(Model, _Stage):
     columns = _p("columns", "surviving columns in order")
 
     @keyword_only
-    def __init__(self, columns=None):
+    def __init__(self, columns=None, passthrough=None):
         super().__init__()
         self._init({"columns": []}, self._input_kwargs)
 
     def _transform(self, df):
         """Coerce, re-add absent fitted columns as NULL, fixed order, drop extras."""
         types = {f.name: f.dataType for f in df.schema.fields}
-        return df.select(*[to_number(c, types[c]).alias(c) if c in types else F.lit(None).cast("double").alias(c)
-                           for c in self.get("columns")])
+        return self._with_pt([to_number(c, types[c]).alias(c) if c in types else F.lit(None).cast("double").alias(c)
+                              for c in self.get("columns")], df)
 
 
 # ---- A6 correlation pruner ---------------------------------------------------------
@@ -133,16 +151,17 @@ class CorrelationPruner(Estimator, _Stage):
     threshold = _p("threshold", "|r| above which one column of the pair goes", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, threshold=None):
+    def __init__(self, threshold=None, passthrough=None):
         super().__init__()
         self._init({"threshold": CORR_LIMIT}, self._input_kwargs)
 
     def _fit(self, df):
+        df = self._fit_input(df)
         cols = list(df.columns)
         pairs = [(r["i"], r["j"], r["r"]) for r in corr_matrix(df, cols).filter(F.abs("r") > self.get("threshold")).collect()]
         miss = {r["column"]: r["missing_frac"] for r in missing_fraction(df, cols).collect()}
         kept, dropped = greedy_prune(cols, pairs, miss, self.get("threshold"))
-        return CorrelationPrunerModel(columns=kept, droppedBy=dropped)
+        return CorrelationPrunerModel(columns=kept, droppedBy=dropped, passthrough=self.get("passthrough"))
 
 
 class CorrelationPrunerModel(Model, _Stage):
@@ -150,13 +169,13 @@ class CorrelationPrunerModel(Model, _Stage):
     droppedBy = _p("droppedBy", "dropped column -> partner that removed it")
 
     @keyword_only
-    def __init__(self, columns=None, droppedBy=None):
+    def __init__(self, columns=None, droppedBy=None, passthrough=None):
         super().__init__()
         self._init({"columns": [], "droppedBy": {}}, self._input_kwargs)
 
     def _transform(self, df):
         present = set(df.columns)
-        return df.select(*[F.col(c) if c in present else F.lit(None).cast("double").alias(c) for c in self.get("columns")])
+        return self._with_pt([F.col(c) if c in present else F.lit(None).cast("double").alias(c) for c in self.get("columns")], df)
 
     def decisions(self, spark):
         d = self.get("droppedBy")
@@ -172,11 +191,12 @@ class MedianImputer(Estimator, _Stage):
     approx = _p("approx", "use percentile_approx", TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, approx=None):
+    def __init__(self, approx=None, passthrough=None):
         super().__init__()
         self._init({"approx": False}, self._input_kwargs)
 
     def _fit(self, df):
+        df = self._fit_input(df)
         cols = list(df.columns)
         if self.get("approx"):
             row = df.agg(*[F.percentile_approx(c, 0.5, 100000).alias(c) for c in cols]).first()
@@ -184,14 +204,14 @@ class MedianImputer(Estimator, _Stage):
         else:
             from .quantiles import quantiles
             med = {r["column"]: r["value"] for r in quantiles(df, cols, [0.5]).collect()}
-        return MedianImputerModel(medians={c: med.get(c) for c in cols})
+        return MedianImputerModel(medians={c: med.get(c) for c in cols}, passthrough=self.get("passthrough"))
 
 
 class MedianImputerModel(Model, _Stage):
     medians = _p("medians", "column -> median")
 
     @keyword_only
-    def __init__(self, medians=None):
+    def __init__(self, medians=None, passthrough=None):
         super().__init__()
         self._init({"medians": {}}, self._input_kwargs)
 
@@ -206,15 +226,17 @@ class Scaler(Estimator, _Stage):
     """Centre and divide by the population std; a zero std divides by 1."""
 
     @keyword_only
-    def __init__(self):
+    def __init__(self, passthrough=None):
         super().__init__()
         self._init({}, self._input_kwargs)
 
     def _fit(self, df):
+        df = self._fit_input(df)
         cols = list(df.columns)
         row = df.agg(*[x for c in cols for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
         return ScalerModel(means={c: row[f"m_{c}"] for c in cols},
-                           scales={c: (row[f"s_{c}"] if row[f"s_{c}"] else 1.0) for c in cols})
+                           scales={c: (row[f"s_{c}"] if row[f"s_{c}"] else 1.0) for c in cols},
+                           passthrough=self.get("passthrough"))
 
 
 class ScalerModel(Model, _Stage):
@@ -222,7 +244,7 @@ class ScalerModel(Model, _Stage):
     scales = _p("scales", "column -> population std (0 -> 1)")
 
     @keyword_only
-    def __init__(self, means=None, scales=None):
+    def __init__(self, means=None, scales=None, passthrough=None):
         super().__init__()
         self._init({"means": {}, "scales": {}}, self._input_kwargs)
 
@@ -234,17 +256,41 @@ class ScalerModel(Model, _Stage):
 
 # ---- A9 / A10 --------------------------------------------------------------------------
 
+class PersistingPipeline(Pipeline):
+    """``Pipeline`` whose fit persists each stage's output (MEMORY_AND_DISK)
+    before the next stage fits on it, so the derivation and coercion
+    expressions run once per fit instead of once per statistics job.  The
+    persisted intermediates are released when the fit ends; a lost block
+    is recomputed from lineage."""
+
+    def _fit(self, dataset):
+        from pyspark import StorageLevel
+        from pyspark.ml import PipelineModel
+        cur, held, fitted = dataset, [], []
+        stages = self.getStages()
+        for i, st in enumerate(stages):
+            model = st.fit(cur) if isinstance(st, Estimator) else st
+            fitted.append(model)
+            if i < len(stages) - 1:
+                cur = model.transform(cur).persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(cur)
+        for h in held:
+            h.unpersist()
+        return PipelineModel(fitted)
+
+
 def build_preprocessor(scale: bool = True, derive: bool = True, policy=None, target=None, keep=None,
-                       preset=None) -> Pipeline:
+                       preset=None, passthrough=None) -> Pipeline:
     """Firewall -> derivation -> column pruner -> correlation pruner ->
     median imputer -> [scaler].  ``derive=False`` is the ablation arm (A10)."""
-    stages = [LeakageDropper(policy=policy or KOI_POLICY, target=target or KOI_TARGET, keep=keep or [])]
+    pt = list(passthrough or [])
+    stages = [LeakageDropper(policy=policy or KOI_POLICY, target=target or KOI_TARGET, keep=keep or [], passthrough=pt)]
     if derive:
         stages.append(FeatureEngineer(preset=preset or dict(KOI_PRESET)))
-    stages += [ColumnPruner(), CorrelationPruner(), MedianImputer()]
+    stages += [ColumnPruner(passthrough=pt), CorrelationPruner(passthrough=pt), MedianImputer(passthrough=pt)]
     if scale:
-        stages.append(Scaler())
-    return Pipeline(stages=stages)
+        stages.append(Scaler(passthrough=pt))
+    return PersistingPipeline(stages=stages)
 
 
 def feature_names(model) -> list[str]:

@@ -29,6 +29,9 @@ def get_spark(master: str | None = None, app: str = "kestrel", shuffle_partition
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
