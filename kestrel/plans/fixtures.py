@@ -132,3 +132,59 @@ def w_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 W_COLUMNS = ["doc_id", "n_chars", "lang", "source", "quality", "toxic", "empty_col", "const_col", "rare_col"]
+
+
+# ---- O: keyed numeric projection of ``orders`` (attribution fixtures) ------------
+
+O_CLASSES = ["F", "O", "P"]
+O_FEATURES = ["x_price", "x_cust", "x_day", "x_prio"]
+O_COLUMNS: list[tuple[str, str]] = [
+    ("o_orderkey", "o_orderkey"),
+    ("y", "CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END"),
+    ("x_price", "o_totalprice / 1000.0"),
+    ("x_cust", "CAST(o_custkey % 100 AS DOUBLE)"),
+    ("x_day", "CAST(dayofmonth(o_orderdate) AS DOUBLE)"),
+    ("x_prio", "TRY_CAST(substring(o_orderpriority, 1, 1) AS DOUBLE)"),
+]
+# Weights of the closed-form linear scorer, one row per class.
+O_WEIGHTS: dict[int, list[float]] = {
+    0: [0.02, 0.01, -0.03, 0.2],
+    1: [-0.01, 0.02, 0.01, -0.1],
+    2: [0.005, -0.01, 0.02, 0.05],
+}
+
+
+def o_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(*[F.expr(e).alias(n) for n, e in O_COLUMNS]).withColumn("y", F.col("y").cast("int"))
+
+
+def o_sql() -> str:
+    return "SELECT " + ", ".join(f"{e} AS {n}" for n, e in O_COLUMNS) + " FROM orders"
+
+
+def o_score(c: int):
+    """Linear score of class c, left to right (same rounding as the SQL twin)."""
+    out = F.lit(0.0)
+    for w, f in zip(O_WEIGHTS[c], O_FEATURES):
+        out = out + F.lit(w) * F.col(f)
+    return out
+
+
+def o_score_sql(c: int, cols=None) -> str:
+    cols = cols or O_FEATURES
+    return "(0.0 + " + " + ".join(f"{w!r} * {f}" for w, f in zip(O_WEIGHTS[c], cols)) + ")"
+
+
+def o_pred(df=None):
+    return first_argmax_expr([o_score(c) for c in range(3)])
+
+
+def first_argmax_expr(cols):
+    arr = F.array(*cols)
+    return (F.array_position(arr, F.array_max(arr)) - 1).cast("int")
+
+
+def o_pred_sql(cols=None) -> str:
+    s = [o_score_sql(c, cols) for c in range(3)]
+    return f"CASE WHEN {s[0]} >= {s[1]} AND {s[0]} >= {s[2]} THEN 0 WHEN {s[1]} >= {s[2]} THEN 1 ELSE 2 END"
