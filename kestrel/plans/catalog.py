@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import registry
-from . import suite_rowwise, suite_profile, suite_split, suite_metrics, suite_neighbors, suite_models, suite_attrib  # noqa: F401
+from . import suite_rowwise, suite_profile, suite_split, suite_metrics, suite_neighbors, suite_models, suite_attrib, suite_sources  # noqa: F401
 
 
 def queries():

@@ -44,17 +44,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the setting is unset (local tests) do we make a private folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return sc._jsc.sc().getCheckpointDir().get()
+    # unset: local runs and tests only
     path = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut_lineage(df):
