@@ -32,11 +32,12 @@ def _unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> Data
     return df.select(*keep, arr.alias("s")).select(*keep, "s.feature", "s.v")
 
 
-def value_ranks(long: DataFrame, part: Sequence[str], value: str = "v") -> DataFrame:
+def value_ranks(long: DataFrame, part: Sequence[str], value: str = "v", weight: str | None = None) -> DataFrame:
     """(part..., v, c, n_less, n): per distinct value, how many values of the
-    part are smaller.  Bucketed running sums (no part sorted on one task)."""
+    part are smaller.  Bucketed running sums (no part sorted on one task).
+    ``weight`` names a count column when ``long`` is already aggregated."""
     part = list(part)
-    d = long.groupBy(*part, value).agg(F.count(F.lit(1)).alias("c"))
+    d = long.groupBy(*part, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("c"))
     rng = d.groupBy(*part).agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("c").alias("n"))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(BUCKETS))),
@@ -54,10 +55,13 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
     """(feature, mi, n, estimator) ranked; natural log; equal-frequency
     bins floor(bins * n_less / n) over the non-null values of each feature."""
     long = _unpivot(df, features, [label]).filter(F.col("v").isNotNull())
-    ranks = value_ranks(long, ["feature"])
-    binned = long.join(ranks.select("feature", "v", "n_less", "n"), ["feature", "v"]) \
+    # distinct (feature, value, label) counts first: every later step works on
+    # that (map-side reduced) table, never again on the rows
+    vl = long.groupBy("feature", "v", label).agg(F.count(F.lit(1)).alias("c"))
+    ranks = value_ranks(vl, ["feature"], weight="c")
+    binned = vl.join(ranks.select("feature", "v", "n_less", "n"), ["feature", "v"]) \
         .withColumn("bin", F.floor(F.lit(float(bins)) * F.col("n_less") / F.col("n")).cast("int"))
-    joint = binned.groupBy("feature", "bin", label).agg(F.count(F.lit(1)).alias("nxy"), F.first("n").alias("n"))
+    joint = binned.groupBy("feature", "bin", label).agg(F.sum("c").alias("nxy"), F.first("n").alias("n"))
     w_x = Window.partitionBy("feature", "bin")
     w_y = Window.partitionBy("feature", label)
     t = joint.withColumn("nx", F.sum("nxy").over(w_x)).withColumn("ny", F.sum("nxy").over(w_y))
