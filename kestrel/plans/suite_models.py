@@ -155,6 +155,13 @@ def _k_keyed(spark, sf, extra_leaks=False):
 PT = ["y", "fold"]
 
 
+def _concurrently(fn, items, workers: int = 3):
+    """Independent fits as concurrent Spark jobs from a few driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return list(pool.map(fn, list(items)))
+
+
 def _prep_fit(train, derive=True, keep=None, model="logistic", k=K3):
     """A9 (or A10) + classifier fitted on training rows; y/fold pass through."""
     pre = prep.build_preprocessor(scale=True, derive=derive, target="label", keep=keep, passthrough=PT).fit(train)
@@ -200,12 +207,14 @@ def q_leakage_benchmark(spark, sf):
     restored; premium = F1 with leakage - F1 without (J3)."""
     k = _k_keyed(spark, sf, extra_leaks=True)
     train, test = k.filter(F.col("fold") != 0), k.filter(F.col("fold") == 0)
-    rows = []
-    for arm, keep in [("leakage_free", None), ("with_leakage", LEAKS)]:
+
+    def arm(a):
+        name, keep = a
         pre, names, clf = _prep_fit(train, keep=keep)
         sc = _prep_score(pre, names, clf, test)
-        f1 = mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"]
-        rows.append((arm, f1, len(names)))
+        return (name, mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"], len(names))
+
+    rows = _concurrently(arm, [("leakage_free", None), ("with_leakage", LEAKS)])
     df = spark.createDataFrame(rows, "arm string, f1_weighted double, n_features int")
     base = rows[0][1]
     return df.withColumn("premium", F.col("f1_weighted") - F.lit(base))
@@ -216,12 +225,14 @@ def q_feature_ablation(spark, sf):
     """3-fold CV with vs without derived features; delta vs the
     without-arm.  Preprocessing is refitted inside each fold."""
     k = _k_keyed(spark, sf).withColumn("fold", F.col("fold") % 3)
-    rows = []
-    for arm, derive in [("with_features", True), ("without_features", False)]:
-        for f in range(3):
-            pre, names, clf = _prep_fit(k.filter(F.col("fold") != f), derive=derive)
-            sc = _prep_score(pre, names, clf, k.filter(F.col("fold") == f))
-            rows.append((arm, f, mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"]))
+
+    def one(a):
+        arm, derive, f = a
+        pre, names, clf = _prep_fit(k.filter(F.col("fold") != f), derive=derive)
+        sc = _prep_score(pre, names, clf, k.filter(F.col("fold") == f))
+        return (arm, f, mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"])
+
+    rows = _concurrently(one, [(a, d, f) for a, d in [("with_features", True), ("without_features", False)] for f in range(3)])
     folds = spark.createDataFrame(rows, "arm string, fold int, f1_weighted double")
     summ = mt.fold_summary(folds, ["arm"], "f1_weighted")
     base = summ.filter(F.col("arm") == "without_features").select(F.lit(1).alias("__k"), F.col("f1_weighted_mean").alias("__b"))
@@ -249,8 +260,9 @@ def q_learning_curve(spark, sf):
     all scorings are unioned and scored in one grouped aggregation."""
     e = sp.stratified_folds(_emb3(spark, sf), "label", ["vec_id"], 3).cache()
     fracs = [0.1, 0.28, 0.46, 0.64, 0.82, 1.0]
-    parts = []
-    for f in range(3):
+
+    def fold(f):
+        out = []
         train = sp.learning_subsets(e.filter(F.col("fold") != f).drop("rank"), ["vec_id"], fracs).cache()
         test = e.filter(F.col("fold") == f)
         n_sub = train.agg(F.max("first_subset")).first()[0]
@@ -258,9 +270,12 @@ def q_learning_curve(spark, sf):
             sub = train.filter(F.col("first_subset") <= i)
             model = ml.make_estimator("logistic", K3, 64).fit(sub)
             for part, d in [("train", sub), ("test", test)]:
-                parts.append(ml.scored_frame(model, d, K3, ["label"]).select(
+                out.append(ml.scored_frame(model, d, K3, ["label"]).select(
                     F.lit(fracs[min(i, len(fracs) - 1)]).alias("train_fraction"), F.lit(f).alias("fold"),
                     F.lit(part).alias("part"), F.col("label").alias("y"), *PROBS, "pred"))
+        return out
+
+    parts = [p for out in _concurrently(fold, range(3)) for p in out]
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
