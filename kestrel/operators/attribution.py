@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import metrics as mt
+from .bounded import bounded
 from .split import SEED, exact_rank
 
 BUCKETS = 4096
@@ -42,12 +43,12 @@ def value_ranks(long: DataFrame, part: Sequence[str], value: str = "v", weight:
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(BUCKETS))),
                 F.lit(BUCKETS - 1))).cast("int")
-    db = d.join(F.broadcast(rng), part).withColumn("__b", b)
+    db = d.join(bounded(rng), part).withColumn("__b", b)
     bt = db.groupBy(*part, "__b").agg(F.sum("c").alias("__bc"))
     wo = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     off = bt.select(*part, "__b", F.coalesce(F.sum("__bc").over(wo), F.lit(0)).alias("__o"))
     wi = Window.partitionBy(*part, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (db.join(F.broadcast(off), part + ["__b"])
+    return (db.join(bounded(off), part + ["__b"])
             .select(*part, value, "c", (F.coalesce(F.sum("c").over(wi), F.lit(0)) + F.col("__o")).alias("n_less"), "n"))
 
 

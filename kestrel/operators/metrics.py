@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bounded import bounded
+
 BUCKETS = 4096
 
 
@@ -103,13 +105,13 @@ def score_table(df: DataFrame, scores: Sequence[str], y: str = "y", by: Sequence
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("hi") - F.col("score")) / (F.col("hi") - F.col("lo")) * F.lit(float(BUCKETS))),
                 F.lit(BUCKETS - 1))).cast("int")
-    sb = st.join(F.broadcast(rng), part).withColumn("__b", b)
+    sb = st.join(bounded(rng), part).withColumn("__b", b)
     bt = sb.groupBy(*part, "__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"))
     wo = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     off = bt.select(*part, "__b", F.coalesce(F.sum("__bp").over(wo), F.lit(0)).alias("__op"),
                     F.coalesce(F.sum("__bn").over(wo), F.lit(0)).alias("__on"))
     wi = Window.partitionBy(*part, "__b").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return (sb.join(F.broadcast(off), part + ["__b"])
+    return (sb.join(bounded(off), part + ["__b"])
             .select(*part, "score", "pos", "neg",
                     (F.sum("pos").over(wi) + F.col("__op")).alias("tp"),
                     (F.sum("neg").over(wi) + F.col("__on")).alias("fp"), "P", "N"))

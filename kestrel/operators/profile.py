@@ -153,8 +153,10 @@ def log_histogram(df: DataFrame, column: str, label: str, bins: int = 40) -> Dat
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
-    cnt = pos.join(F.broadcast(rng), label).groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return cnt.join(F.broadcast(rng), label).select(
+    from .bounded import bounded
+    rng = bounded(rng)
+    cnt = pos.join(rng, label).groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return cnt.join(rng, label).select(
         label, "bin", (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("edge_lo"), "n")
 
 

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bounded import bounded
+
 SEED = 42
 ROWS_PER_BUCKET = 200_000
 MAX_PREFIX = 5          # 16^5 buckets per class at most (broadcast table bound)
@@ -48,7 +50,7 @@ def exact_rank(df: DataFrame, by: Sequence[str], keys: Sequence[str], seed: int
     wo = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.withColumn("__off", F.sum("__c").over(wo) - F.col("__c")).drop("__c")
     wr = Window.partitionBy(*by, "__b").orderBy("__h", *keys)
-    return (h.join(F.broadcast(offsets), by + ["__b"])
+    return (h.join(bounded(offsets), by + ["__b"])
             .withColumn(out, (F.row_number().over(wr) + F.col("__off")).cast("long"))
             .drop("__h", "__b", "__off"))
 
@@ -79,7 +81,7 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_frac:
     quotas = stratified_quotas(counts, label, n, take)
     mx = counts.agg(F.max("n_class")).first()[0] or 0
     ranked = exact_rank(df, [label], keys, seed, max_group=mx)
-    out = ranked.join(F.broadcast(quotas.select(label, "quota")), label, "left") \
+    out = ranked.join(bounded(quotas.select(label, "quota")), label, "left") \
         .withColumn("split", F.when(F.col("rank") <= F.col("quota"), F.lit("test")).otherwise(F.lit("train"))) \
         .drop("quota")
     counts.unpersist()
@@ -103,7 +105,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     w = Window.partitionBy()   # over the class table only
     wt = counts.select(label, "n_class", F.sum("n_class").over(w).alias("n"), F.count(F.lit(1)).over(w).alias("k")) \
         .select(label, (F.col("n") / (F.col("k") * F.col("n_class"))).alias("weight"))
-    return df.join(F.broadcast(wt), label, "left")
+    return df.join(bounded(wt), label, "left")
 
 
 def oversample(df: DataFrame, label: str, keys: Sequence[str], seed: int = SEED) -> DataFrame:
@@ -116,7 +118,7 @@ def oversample(df: DataFrame, label: str, keys: Sequence[str], seed: int = SEED)
     plan = counts.select(label, "n_class", F.max("n_class").over(w).alias("n_max"))
     ranked = exact_rank(df, [label], keys, seed)
     reps = (F.floor(F.col("n_max") / F.col("n_class")) + (F.col("rank") <= F.col("n_max") % F.col("n_class")).cast("long"))
-    return (ranked.join(F.broadcast(plan), label)
+    return (ranked.join(bounded(plan), label)
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), reps.cast("long"))))
             .drop("n_class", "n_max"))
 
