@@ -351,3 +351,13 @@ def q_score_job(spark, sf):
     out = _model_path(spark, "scored")
     score_job(spark, path, f"{sf.rstrip('/')}/embeddings.parquet", out, ["c0", "c1", "c2"], keep=["vec_id", "label"])
     return spark.read.parquet(out)
+
+
+@query("forest_interval")
+def q_forest_interval(spark, sf):
+    """I3 on a fitted forest: mean +- 1.96 population std of the winning
+    class probability over the trees, clipped to [0, 1]."""
+    from ..operators.scoring import forest_interval
+    e = _emb3(spark, sf)
+    model = ml.make_estimator("forest", K3, 64, {"numTrees": 10}).fit(e)
+    return forest_interval(model, e, keep=["vec_id"])

@@ -91,3 +91,18 @@ def test_sampled_shapley_sums_to_score_difference(spark):
     chk = tot.join(f_x, "vec_id").select((F.col("s") - (F.col("p")[F.col("class")] - F.lit(0.0))).alias("s_minus_fx"), "class").collect()
     for r in chk:
         assert abs(r.s_minus_fx + f_ref[r["class"]]) < 1e-9
+
+
+def test_forest_interval_mean_is_forest_probability(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from kestrel.operators import ml
+    from kestrel.operators.scoring import forest_interval
+    e = ml.with_vector(read_table(spark, SF, "embeddings").filter(F.col("label").isin(0, 1, 2)), "embedding")
+    model = ml.make_estimator("forest", 3, 64, {"numTrees": 6, "maxDepth": 4}).fit(e)
+    iv = forest_interval(model, e, keep=["vec_id"])
+    p = model.transform(e).select("vec_id", vector_to_array("probability").alias("p"))
+    rows = iv.join(p, "vec_id").select(F.abs(F.col("member_mean") - F.col("p")[F.col("pred")]).alias("d"),
+                                       "confidence_low", "confidence_high").collect()
+    assert max(r.d for r in rows) < 1e-9
+    assert all(0.0 <= r.confidence_low <= r.confidence_high <= 1.0 for r in rows)
