@@ -46,11 +46,13 @@ def test_quantiles_match_numpy_with_ties(spark):
     rng = np.random.default_rng(0)
     vals = np.concatenate([rng.normal(size=300), np.full(50, 0.5), rng.integers(0, 5, 100).astype(float)])
     df = spark.createDataFrame([(float(v), int(i % 3)) for i, v in enumerate(vals)], "x double, g int")
-    got = {(r["g"], r["prob"]): r["value"] for r in quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.9], by=["g"]).collect()}
-    for g in range(3):
-        sub = vals[np.arange(len(vals)) % 3 == g]
-        for q in [0.1, 0.25, 0.5, 0.9]:
-            assert abs(got[(g, q)] - np.quantile(sub, q)) < 1e-9
+    from kestrel.operators.quantiles import _quantiles_join
+    for fn in (quantiles, _quantiles_join):
+        got = {(r["g"], r["prob"]): r["value"] for r in fn(df, ["x"], [0.1, 0.25, 0.5, 0.9], by=["g"]).collect()}
+        for g in range(3):
+            sub = vals[np.arange(len(vals)) % 3 == g]
+            for q in [0.1, 0.25, 0.5, 0.9]:
+                assert abs(got[(g, q)] - np.quantile(sub, q)) < 1e-9
 
 
 def test_constant_column_correlation_is_null(spark):
