@@ -25,7 +25,7 @@ from .schema import KOI_POLICY, KOI_TARGET, drop_forbidden
 MISSING_LIMIT = 0.60
 DOMINANT_LIMIT = 0.999
 CORR_LIMIT = 0.97
-HLL_RSD = 0.05
+MEDIAN_ACCURACY = 1_000   # rank error <= n / 1000; a >= 0.999 block spans the middle +-0.499 n
 
 
 def _p(name, doc, conv=None):
@@ -80,40 +80,37 @@ class LeakageDropper(Transformer, _Stage):
 def prune_decisions(df: DataFrame, columns: Sequence[str] | None = None, missing_limit: float = MISSING_LIMIT,
                     dominant_limit: float = DOMINANT_LIMIT) -> DataFrame:
     """Decision table (column, pos, missing_frac, keep, reason) after numeric
-    coercion.  Job 1: one global aggregate of row count, non-null counts and
-    HLL distinct estimates.  A column whose top value holds >= dominant_limit
-    of n non-nulls has at most 1 + (1 - dominant_limit) n distinct values, so
-    job 2 (unpivot -> value counts) runs only for columns under that bound
-    (with a 3-sigma sketch margin); high-cardinality columns never shuffle."""
+    coercion, from two plain aggregates over all columns (no unpivot, no
+    value-count shuffle).
+
+    A value holding >= dominant_limit (> 1/2) of the n non-nulls occupies every
+    rank in the middle of the order, so an approximate median with rank error
+    <= n / MEDIAN_ACCURACY (< the dominant block's margin) is exactly that
+    value.  Job 1: row count, non-null counts and approximate medians.  Job 2:
+    how many values equal each column's candidate.  The decision is exact."""
     columns = list(df.columns) if columns is None else list(columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     num = df.select(*[to_number(c, types[c]).alias(c) for c in columns])
     stats = num.agg(F.count(F.lit(1)).alias("__n"), *[x for i, c in enumerate(columns) for x in (
-        F.count(c).alias(f"c{i}"), F.approx_count_distinct(c, HLL_RSD).alias(f"d{i}"))]).first()
+        F.count(c).alias(f"c{i}"), F.percentile_approx(c, 0.5, MEDIAN_ACCURACY).alias(f"m{i}"))]).first()
     n = stats["__n"]
-    rows, candidates = [], []
+    cand = {c: stats[f"m{i}"] for i, c in enumerate(columns) if stats[f"m{i}"] is not None}
+    hits = num.agg(*[F.count_if(F.col(c) == F.lit(v)).alias(c) for c, v in cand.items()]).first() if cand else {}
+    rows = []
     for i, c in enumerate(columns):
         nn = stats[f"c{i}"]
         miss = (n - nn) / n if n else None
-        rows.append((c, i, nn, miss))
-        bound = (1 + (1 - dominant_limit) * nn) * (1 + 3 * HLL_RSD) + 1
-        if miss is not None and miss <= missing_limit and nn > 0 and stats[f"d{i}"] <= bound:
-            candidates.append(c)
-    spark = df.sparkSession
-    base = spark.createDataFrame(rows, "column string, pos int, n_nonnull long, missing_frac double")
-    if candidates:
-        arr = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in candidates])).alias("s")
-        vc = num.select(arr).select("s.*").filter(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
-        top = vc.groupBy("column").agg(F.max("c").alias("top"), F.sum("c").alias("nn"))
-        top = top.select("column", (F.col("top") / F.col("nn")).alias("dominant_frac"))
-    else:
-        top = spark.createDataFrame([], "column string, dominant_frac double")
-    reason = (F.when(F.col("missing_frac") > missing_limit, F.lit("missing"))
-              .when(F.col("n_nonnull") == 0, F.lit("empty"))
-              .when(F.coalesce(F.col("dominant_frac") >= dominant_limit, F.lit(False)), F.lit("dominant"))
-              .otherwise(F.lit("kept")))
-    return (base.join(F.broadcast(top), "column", "left")
-            .select("column", "pos", "missing_frac", (reason == "kept").alias("keep"), reason.alias("reason")))
+        share = (hits[c] / nn) if (c in cand and nn) else None
+        if miss is not None and miss > missing_limit:
+            reason = "missing"
+        elif nn == 0:
+            reason = "empty"
+        elif share is not None and share >= dominant_limit:
+            reason = "dominant"
+        else:
+            reason = "kept"
+        rows.append((c, i, miss, reason == "kept", reason))
+    return df.sparkSession.createDataFrame(rows, "column string, pos int, missing_frac double, keep boolean, reason string")
 
 
 class ColumnPruner(Estimator, _Stage):
