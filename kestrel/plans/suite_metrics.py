@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.expr import first_argmax
 from ..operators import metrics as m
 from ..operators import scoring as sc
 from .fixtures import K_CLASSES, N_MEMBERS, s_sql, s_table

@@ -15,11 +15,10 @@ from ..operators import ml
 from ..operators import prep
 from ..operators import split as sp
 from ..operators.neighbors import adasyn, smote
-from ..operators.schema import drop_forbidden
 from ..operators.scoring import score_job, score_with_model
 from ..session import checkpoint_dir
 from ..sources.tables import read_table
-from .fixtures import K_CLASSES, k_table
+from .fixtures import K_CLASSES
 from .registry import query
 
 K3 = 3

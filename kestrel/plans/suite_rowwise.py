@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import features as fe
-from ..functions.expr import (binary_target, clipped_log, coerce_numeric, finite_only, label_decode,
-                              label_encode, ordinal_bin, range_flag, safe_div, to_number)
+from ..functions.expr import (binary_target, coerce_numeric, finite_only, label_decode, label_encode,
+                              safe_div, to_number)
 from ..operators import schema as sc
 from ..operators.profile import class_distribution
 from ..sources.tables import read_table

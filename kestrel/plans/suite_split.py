@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from ..operators import split as sp
 from ..sources.tables import read_table

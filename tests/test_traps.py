@@ -1,7 +1,5 @@
 """Semantics traps (T1-T17, D1) on tiny literal frames with hand results."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from kestrel.functions.expr import clipped_log, finite, ordinal_bin, range_flag, safe_div, to_number
