@@ -64,3 +64,22 @@ def slices(batches, rows: int = SLICE):
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)
                                        for c, f in zip(columns, schema)], schema=schema)
+
+
+class Memo(dict):
+    """``memo[key]`` is ``make(key)``, computed once while the key stays in use.  Bounded: at
+    ``limit`` entries the table becomes the old generation and only keys met again survive."""
+
+    def __init__(self, make, limit: int = 1 << 18):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value

@@ -7,7 +7,17 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, simhash, warc
+from . import decontaminate, exact_dedup, language_id, sentencepiece_codec, simhash, token_files, warc
+from .common import held_out
+
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file; the files are installed on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
 
 LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
@@ -27,6 +37,11 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM (SELECT doc_id, {LOWER} AS t FROM documents)"""
 
 
+def op5_sentencepiece(spark, sf_dir):
+    """All documents encoded by streaming Viterbi and decoded again."""
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), vocabulary(PIECES))
+
+
 def op6_warc(spark, sf_dir):
     """All pages written as WARC archives and read back by byte ranges."""
     return warc.archive_pages(table(spark, sf_dir, "pages"))
@@ -46,6 +61,19 @@ def op7_simhash(spark, sf_dir):
     return simhash.simhash_near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op8_language_id(spark, sf_dir):
+    """Language of all documents, learned from those whose crc32(doc_id) mod 5 is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    aside = held_out(F.col("doc_id"), 5, 0)
+    found = language_id.predict(docs, language_id.train(docs, ~aside))
+    return found.select("doc_id", aside.alias("held_out"), "lang_pred", "score")
+
+
+def op9_token_files(spark, sf_dir):
+    """Token files of all documents, written and read back."""
+    return token_files.token_file_digest(table(spark, sf_dir, "documents"), vocabulary(TOKENIZER))
+
+
 def op10_decontaminate(spark, sf_dir):
     """Documents that contain a benchmark item (5-word shingles, containment 0.8 or more)."""
     found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -73,8 +101,11 @@ GROUP BY g.doc_id, s.item_id HAVING count(*) >= 0.8 * any_value(t.total) - 1e-9"
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
+    "op8_language_id": op8_language_id,
+    "op9_token_files": op9_token_files,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLE = {"op4_exact_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op10_decontaminate": OP10_SQL}
