@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, sentencepiece_codec, simhash, token_files, warc
+from . import decontaminate, exact_dedup, language_id, lattice, sentencepiece_codec, simhash, token_files, warc
 from .common import held_out
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -26,6 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_lattice(spark, sf_dir):
+    """Lattice scores of all documents, learned from those whose crc32(doc_id) mod 7 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    aside = held_out(F.col("doc_id"), 7, 2)
+    found = lattice.score_documents(docs, ~aside, vocabulary(PIECES))
+    return found.select("doc_id", aside.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Exact duplicate classes of all documents; the largest doc_id stays."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="max")
@@ -100,6 +108,7 @@ FROM g JOIN s ON g.g = s.g AND g.k = s.k JOIN t ON t.item_id = s.item_id
 GROUP BY g.doc_id, s.item_id HAVING count(*) >= 0.8 * any_value(t.total) - 1e-9"""
 
 QUERIES = {
+    "op1_lattice": op1_lattice,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_warc": op6_warc,
