@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, lattice, sentencepiece_codec, simhash, token_files, warc
+from . import decontaminate, exact_dedup, language_id, lattice, sentencepiece_codec, simhash, token_files, toxicity, warc
 from .common import held_out
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -34,6 +34,14 @@ def op1_lattice(spark, sf_dir):
     return found.select("doc_id", aside.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_toxicity(spark, sf_dir):
+    """Toxicity of all documents, learned from labels whose crc32(doc_id) mod 5 is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    aside = held_out(F.col("doc_id"), 5, 0)
+    found = toxicity.predict(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), ~aside))
+    return found.select("doc_id", aside.alias("held_out"), "score", "predicted")
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Exact duplicate classes of all documents; the largest doc_id stays."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="max")
@@ -109,6 +117,7 @@ GROUP BY g.doc_id, s.item_id HAVING count(*) >= 0.8 * any_value(t.total) - 1e-9"
 
 QUERIES = {
     "op1_lattice": op1_lattice,
+    "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_warc": op6_warc,
