@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, lattice, sentencepiece_codec, simhash, token_files, toxicity, warc
+from . import decontaminate, exact_dedup, html_extract, language_id, lattice, sentencepiece_codec, simhash, token_files, toxicity, warc
 from .common import held_out
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -42,6 +42,12 @@ def op2_toxicity(spark, sf_dir):
     return found.select("doc_id", aside.alias("held_out"), "score", "predicted")
 
 
+def op3_html(spark, sf_dir):
+    """Main text of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract_pages(pages, html_extract.train(pages))
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Exact duplicate classes of all documents; the largest doc_id stays."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="max")
@@ -118,6 +124,7 @@ GROUP BY g.doc_id, s.item_id HAVING count(*) >= 0.8 * any_value(t.total) - 1e-9"
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_toxicity": op2_toxicity,
+    "op3_html": op3_html,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_warc": op6_warc,

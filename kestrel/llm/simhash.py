@@ -8,10 +8,10 @@ a variant.  Candidates come from an equality join on the variant key and are
 verified on the whole fingerprint inside the join, so only true links leave it.
 
 Large groups of near copies are never paired out.  First every fingerprint is
-linked to the smallest one of each bucket (a map-side combined minimum), which
-joins most of a group into one component.  Then only fingerprints of
-*different* components meet, and in each bucket the members of its largest
-component are only looked up by the others."""
+compared with one drawn member of each of its buckets (a map-side combined
+minimum), which joins most of a group into one component.  Then only
+fingerprints of *different* components meet, and in each bucket the members of
+its largest component are only looked up by the others."""
 
 from __future__ import annotations
 
@@ -86,26 +86,42 @@ def near(a: str, b: str, max_bits: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
 
 
-def fingerprint_components(fps: DataFrame, max_bits: int) -> DataFrame:
+def star_links(rooted: DataFrame, max_bits: int, turn: int) -> DataFrame:
+    """Links ``a, b`` between roots: every fingerprint against one member of each of its buckets.
+
+    The member is drawn by a hash of fingerprint, bucket and ``turn``, so the buckets of a large group
+    offer different members and the group grows together in very few turns; a bucket of m
+    fingerprints costs m comparisons."""
+    keyed = variants(rooted, max_bits, "root")
+    draw = F.xxhash64("fp", "key", F.lit(turn))
+    tops = (keyed.groupBy("key").agg(F.min(F.struct(draw.alias("h"), "fp", "root")).alias("top"), F.count(F.lit(1)).alias("n"))
+            .where("n > 1").select(F.col("key").alias("k2"), F.col("top.fp").alias("fp2"), F.col("top.root").alias("root2")))
+    return (keyed.join(tops, (F.col("key") == F.col("k2")) & (F.col("root") != F.col("root2")) & near("fp", "fp2", max_bits))
+            .select(F.col("root").alias("a"), F.col("root2").alias("b")).distinct())
+
+
+def merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
+    """``fp, root`` with the roots that ``links`` join made one."""
+    tops = components(links).withColumnRenamed("root", "top")
+    return written(rooted.join(tops, rooted["root"] == tops["node"], "left")
+                   .select("fp", F.coalesce("top", "root").alias("root")), "simhash-rooted")
+
+
+def fingerprint_components(fps: DataFrame, max_bits: int, turns: int = 2) -> DataFrame:
     """``fp, root`` for every distinct fingerprint of the table ``fps`` (column ``fp``):
     equal roots exactly when a chain of links of at most ``max_bits`` bits joins them."""
-    keyed = variants(fps, max_bits)
-    tops = keyed.groupBy("key").agg(F.min("fp").alias("top"), F.max("fp").alias("last")).where("top <> last").select("key", "top")
-    stars = (keyed.join(tops, (keyed["key"] == tops["key"]) & (F.col("fp") != F.col("top")) & near("fp", "top", max_bits))
-             .select(F.col("fp").alias("a"), F.col("top").alias("b")))
-    first = components(stars)
-    rooted = written(fps.join(first, fps["fp"] == first["node"], "left")
-                     .select("fp", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
-
-    # links between components: the largest component of a bucket is looked up by the rest
+    rooted = fps.select("fp", F.col("fp").alias("root"))
+    for turn in range(turns):
+        rooted = merged(rooted, star_links(rooted, max_bits, turn))
+
+    # all links that are left lie between components: the largest component of a bucket is looked up by the rest
     keyed = variants(rooted, max_bits, "root")
     mains = (keyed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
              .agg(F.max_by("root", F.struct("n", "root")).alias("root"), F.sum("n").alias("n")).where("n > 1").drop("n"))
     rest = keyed.join(mains, ["key", "root"], "left_anti").select(F.col("key").alias("k2"), F.col("fp").alias("fp2"), F.col("root").alias("root2"))
     cross = (keyed.join(rest, (F.col("key") == F.col("k2")) & (F.col("root") != F.col("root2")) & near("fp", "fp2", max_bits))
              .select(F.col("root").alias("a"), F.col("root2").alias("b")).distinct())
-    second = components(cross).withColumnRenamed("root", "top")
-    return rooted.join(second, rooted["root"] == second["node"], "left").select("fp", F.coalesce("top", "root").alias("root"))
+    return merged(rooted, cross)
 
 
 def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -118,7 +134,7 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Repeated rows are returned repeated.  An empty table gives no rows."""
     marked = written(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     distinct = written(marked.groupBy("fp").agg(F.min("id").alias("low")), "simhash-distinct")
-    roots = written(fingerprint_components(distinct.select("fp"), max_bits), "simhash-roots")
+    roots = fingerprint_components(distinct.select("fp"), max_bits)
     lowest = (roots.join(distinct, "fp").groupBy("root").agg(F.min("low").alias("component_id")))
     by_fp = roots.join(lowest, "root").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
