@@ -257,7 +257,10 @@ class Trees:
         return out
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int, depth: int, rate: float = 0.2, bins: int = 32, l2: float = 5.0):
+    def fit(cls, x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int, depth: int, rate: float = 0.2, bins: int = 32, l2: float = 5.0,
+            share: float = 0.3, seed: int = 1):
+        """Each tree may use a random ``share`` of the features, so that no single sign carries the model."""
+        rng = np.random.default_rng(seed)
         cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
         binned = np.column_stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T)])     # bin b: cuts[b-1] < v <= cuts[b]
         mean = np.clip((weight @ y) / weight.sum(), 0.01, 0.99)
@@ -270,7 +273,7 @@ class Trees:
             feature, threshold, left, right, value = [], [], [], [], []
             pending = [(np.arange(len(y)), 0)]
             feature.append(0), threshold.append(0.0), left.append(-1), right.append(-1), value.append(0.0)
-            spots = [0]
+            spots, usable = [0], np.flatnonzero(rng.random(x.shape[1]) < share)
             while pending:
                 rows, level = pending.pop()
                 spot = spots.pop()
@@ -279,7 +282,8 @@ class Trees:
                 if level == depth or len(rows) < 40:
                     continue
                 best, where = 1e-3, None
-                for j, cut in enumerate(cuts):
+                for j in usable:
+                    cut = cuts[j]
                     if not len(cut):
                         continue
                     gl = np.cumsum(np.bincount(binned[rows, j], g[rows], width))[:len(cut)]
@@ -540,7 +544,7 @@ def extract(pages: list[str], trees: Trees | None) -> list[str]:
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = 300, most_chars: int = 20_000, copies: int = 4,
-          rounds: int = 50, depth: int = 4, seed: int = 5) -> Trees | None:
+          rounds: int = 120, depth: int = 4, seed: int = 5) -> Trees | None:
     """Fit on at most about ``sample`` pages of at most ``most_chars`` characters (bounds of the training set
     alone; extraction reads whole pages).  None if no sample page states its article."""
     known = pages.where(F.col(html_col).isNotNull() & (F.length(html_col) <= most_chars)).select(F.col(html_col).alias("h"))
