@@ -78,9 +78,9 @@ def clipped_log(c) -> Column:
 
 def ordinal_bin(c, edges: Sequence[float]) -> Column:
     """right-closed bins (-inf, e1], (e1, e2], ..., (ek, inf) -> 0..k as
-    double; missing -> missing.  ``Bucketizer`` is left-closed, so not used."""
+    double; NULL, NaN and -inf -> missing.  ``Bucketizer`` is left-closed, so not used."""
     c = _c(c)
-    out = F.when(c.isNull(), F.lit(None).cast("double"))
+    out = F.when(c.isNull() | F.isnan(c.cast("double")) | (c == F.lit(-INF)), F.lit(None).cast("double"))
     for i, e in enumerate(edges):
         out = out.when(c <= F.lit(float(e)), F.lit(float(i)))
     return out.otherwise(F.lit(float(len(edges))))

@@ -22,11 +22,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import metrics as mt
-from .bounded import bounded
+from .running import running_totals
 from .split import SEED, exact_rank
 
-BUCKETS = 4096
-
 
 def _unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
     arr = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns]))
@@ -35,21 +33,10 @@ def _unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> Data
 
 def value_ranks(long: DataFrame, part: Sequence[str], value: str = "v", weight: str | None = None) -> DataFrame:
     """(part..., v, c, n_less, n): per distinct value, how many values of the
-    part are smaller.  Bucketed running sums (no part sorted on one task).
+    part are smaller (``running.py``: no part sorted on one task).
     ``weight`` names a count column when ``long`` is already aggregated."""
-    part = list(part)
     d = long.groupBy(*part, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("c"))
-    rng = d.groupBy(*part).agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("c").alias("n"))
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(BUCKETS))),
-                F.lit(BUCKETS - 1))).cast("int")
-    db = d.join(bounded(rng), part).withColumn("__b", b)
-    bt = db.groupBy(*part, "__b").agg(F.sum("c").alias("__bc"))
-    wo = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    off = bt.select(*part, "__b", F.coalesce(F.sum("__bc").over(wo), F.lit(0)).alias("__o"))
-    wi = Window.partitionBy(*part, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (db.join(bounded(off), part + ["__b"])
-            .select(*part, value, "c", (F.coalesce(F.sum("c").over(wi), F.lit(0)) + F.col("__o")).alias("n_less"), "n"))
+    return running_totals(d, part, value, {"n_less": "c"}, inclusive=False, totals={"n": "c"}).select(*part, value, "c", "n_less", "n")
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins: int = 10) -> DataFrame:

@@ -9,11 +9,11 @@ Two primitives carry everything:
 * ``confusion`` - one aggregate of k^2 conditional counts per group (no join
   against a class list, absent classes still get their cells);
 * ``score_table`` - per (group, class, distinct score) positive/negative
-  counts with running totals in descending score order.  The running totals
-  use equal-width score buckets: bucket totals (a groups x classes x B table)
-  give offsets, and the window runs inside (group, class, bucket) only, so no
-  class is sorted on one task.  Ties share one row, which makes AUC, AP and
-  the curves exact under ties.
+  counts with running totals in descending score order (``running.py``: rows
+  dealt by range, so no class is sorted on one task and no distribution of
+  scores is hot).  Ties share one row, which makes AUC, AP and the curves
+  exact under ties.  NaN scores are missing; a NULL label is a negative of
+  every class.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bounded import bounded
-
-BUCKETS = 4096
+from ..functions.expr import finite
+from .bounded import bounded, join_on
+from .running import running_totals
 
 
 def _safe(num, den):
@@ -95,26 +95,12 @@ def score_table(df: DataFrame, scores: Sequence[str], y: str = "y", by: Sequence
     by = list(by)
     classes = list(range(len(scores))) if classes is None else list(classes)
     long = df.select(*by, F.col(y).alias("__y"), F.explode(F.array(*[
-        F.struct(F.lit(c).alias("class"), F.col(scores[i]).cast("double").alias("score")) for i, c in enumerate(classes)
+        F.struct(F.lit(c).alias("class"), finite(F.col(scores[i]).cast("double")).alias("score")) for i, c in enumerate(classes)
     ])).alias("s")).select(*by, "__y", "s.*").filter(F.col("score").isNotNull())
     part = by + ["class"]
     st = long.groupBy(*part, "score").agg(F.count_if(F.col("__y") == F.col("class")).alias("pos"),
-                                          F.count_if(F.col("__y") != F.col("class")).alias("neg"))
-    rng = st.groupBy(*part).agg(F.min("score").alias("lo"), F.max("score").alias("hi"),
-                                F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("hi") - F.col("score")) / (F.col("hi") - F.col("lo")) * F.lit(float(BUCKETS))),
-                F.lit(BUCKETS - 1))).cast("int")
-    sb = st.join(bounded(rng), part).withColumn("__b", b)
-    bt = sb.groupBy(*part, "__b").agg(F.sum("pos").alias("__bp"), F.sum("neg").alias("__bn"))
-    wo = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    off = bt.select(*part, "__b", F.coalesce(F.sum("__bp").over(wo), F.lit(0)).alias("__op"),
-                    F.coalesce(F.sum("__bn").over(wo), F.lit(0)).alias("__on"))
-    wi = Window.partitionBy(*part, "__b").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return (sb.join(bounded(off), part + ["__b"])
-            .select(*part, "score", "pos", "neg",
-                    (F.sum("pos").over(wi) + F.col("__op")).alias("tp"),
-                    (F.sum("neg").over(wi) + F.col("__on")).alias("fp"), "P", "N"))
+                                          F.count_if(~F.col("__y").eqNullSafe(F.col("class"))).alias("neg"))
+    return running_totals(st, part, "score", {"tp": "pos", "fp": "neg"}, descending=True, totals={"P": "pos", "N": "neg"})
 
 
 def roc_auc(st: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -182,7 +168,7 @@ def scorecard(df: DataFrame, k: int, scores: Sequence[str], y: str = "y", pred:
     avg = averaged_scores(per_class_scores(df, k, y, pred, by), by)
     auc = roc_auc_weighted(score_table(df, scores, y, by), by)
     if by:
-        return acc.join(avg, by).join(auc, by)
+        return join_on(join_on(acc, avg, by), auc, by)
     one = F.lit(1)
     return (acc.withColumn("__k", one).join(avg.withColumn("__k", one), "__k").join(auc.withColumn("__k", one), "__k").drop("__k"))
 
@@ -195,7 +181,7 @@ def binary_scorecard(df: DataFrame, y: str, pred: str, score: str, part: str) ->
     st = score_table(df, [score], y, [part], classes=[1])
     auc = roc_auc(st, [part]).select(part, "roc_auc")
     ap = average_precision(st, [part]).select(part, "average_precision")
-    card = acc.join(pc, part).join(auc, part, "left").join(ap, part, "left")
+    card = join_on(join_on(join_on(acc, pc, [part]), auc, [part], "left"), ap, [part], "left")
     w = Window.partitionBy()
     train_f1 = F.max(F.when(F.col(part) == "train", F.col("f1"))).over(w)
     return card.withColumn("train_f1", train_f1).withColumn("overfit_gap", F.col("train_f1") - F.col("f1"))
@@ -224,10 +210,11 @@ def error_breakdown(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFram
 def confidence_histogram(df: DataFrame, confidence: str, correct: str, bins: int = 20) -> DataFrame:
     """Histogram of confidence for correct and wrong rows, each over its
     own [min, max] in ``bins`` equal bins (last bin closed)."""
-    rng = df.groupBy(correct).agg(F.min(confidence).alias("lo"), F.max(confidence).alias("hi"))
+    df = df.withColumn(confidence, finite(F.col(confidence).cast("double"))).filter(F.col(confidence).isNotNull())
+    rng = bounded(df.groupBy(correct).agg(F.min(confidence).alias("lo"), F.max(confidence).alias("hi")))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(confidence) - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
-    cnt = df.join(F.broadcast(rng), correct).groupBy(correct, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return cnt.join(F.broadcast(rng), correct).select(
+    cnt = join_on(df, rng, [correct]).groupBy(correct, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return join_on(cnt, rng, [correct]).select(
         correct, "bin", (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("edge_lo"), "n")

@@ -130,8 +130,8 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
     from .split import exact_rank
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
     plan = counts.withColumn("n_max", F.max("n_c").over(Window.partitionBy())).withColumn("m", F.col("n_max") - F.col("n_c"))
-    from .bounded import bounded
-    ranked = exact_rank(df.select(key, label), [label], [key], seed).join(bounded(plan), label)
+    from .bounded import bounded, join_on
+    ranked = join_on(exact_rank(df.select(key, label), [label], [key], seed), bounded(plan), [label])
     reps = F.floor(F.col("m") / F.col("n_c")) + (F.col("rank") <= F.col("m") % F.col("n_c")).cast("long")
     # sequence(1, 0) counts down in Spark, so zero-copy rows are filtered first
     seeds = (ranked.withColumn("reps", reps.cast("long")).filter(F.col("reps") > 0)
@@ -147,13 +147,13 @@ def adasyn_density(df: DataFrame, key: str, vec: str, label: str, k: int = 5) ->
     lab = df.select(F.col(key).alias("rkey"), F.col(label).alias("nlabel"))
     me = df.select(F.col(key).alias("qkey"), F.col(label).alias(label))
     ratio = nn.join(lab, "rkey").join(me, "qkey").groupBy("qkey", label).agg(
-        (F.count_if(F.col("nlabel") != F.col(label)) / F.lit(float(k))).alias("ratio"))
+        (F.count_if(~F.col("nlabel").eqNullSafe(F.col(label))) / F.lit(float(k))).alias("ratio"))
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
     plan = counts.withColumn("n_max", F.max("n_c").over(Window.partitionBy()))
-    w = Window.partitionBy(label)
-    from .bounded import bounded
-    out = (ratio.join(bounded(plan), label)
-           .withColumn("weight", F.when(F.sum("ratio").over(w) > 0, F.col("ratio") / F.sum("ratio").over(w)).otherwise(F.lit(0.0)))
+    from .bounded import bounded, join_on
+    mass = ratio.groupBy(label).agg(F.sum("ratio").alias("__mass"))
+    out = (join_on(ratio, bounded(join_on(plan, mass, [label])), [label])
+           .withColumn("weight", F.when(F.col("__mass") > 0, F.col("ratio") / F.col("__mass")).otherwise(F.lit(0.0)))
            .withColumn("n_synthetic", F.rint(F.col("weight") * (F.col("n_max") - F.col("n_c"))).cast("long")))
     return out.select(F.col("qkey").alias(key), label, "ratio", "weight", "n_synthetic")
 

@@ -13,6 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import finite
+
+
+def _known(df: DataFrame, c: str):
+    """Column ``c`` with NaN and infinities as NULL if it holds floating numbers, else as it is."""
+    return finite(F.col(c)) if dict(df.dtypes)[c] in ("double", "float") else F.col(c)
+
 
 def class_distribution(df: DataFrame, label: str, classes: Sequence, by: Sequence[str] = ()) -> DataFrame:
     """Count and share of every class in fixed order; an absent class
@@ -43,9 +50,10 @@ def _positions(columns: Sequence[str]):
 
 def missing_fraction(df: DataFrame, columns: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
     """A1: (column, n_missing, missing_frac) from one global aggregate of
-    non-null counts (no shuffle of rows), ranked by fraction desc."""
+    counts of values that are neither NULL nor NaN (no shuffle of rows), ranked by fraction desc."""
     columns = list(df.columns) if columns is None else list(columns)
-    agg = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(c)).alias(f"__c{i}") for i, c in enumerate(columns)])
+    agg = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.when(~F.isnan(c), F.lit(1)) if dict(df.dtypes)[c] in ("double", "float") else F.col(c)).alias(f"__c{i}")
+                                                           for i, c in enumerate(columns)])
     arr = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"), F.col(f"__c{i}").alias("nn"))
                               for i, c in enumerate(columns)])).alias("s")
     out = agg.select("__n", arr).select(
@@ -111,6 +119,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact median, max per column.
     Moments in one global aggregate; the median by exact selection."""
     from .quantiles import quantiles
+    df = df.select(*[_known(df, c).alias(c) for c in columns])
     agg = df.agg(*[x for i, c in enumerate(columns) for x in (
         F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
         F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"))])
@@ -125,7 +134,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def top_variance_columns(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     """A15 (first half): columns ranked by sample variance, top n."""
-    agg = df.agg(*[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    agg = df.agg(*[F.var_samp(_known(df, c)).alias(f"v{i}") for i, c in enumerate(columns)])
     arr = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"), F.col(f"v{i}").alias("variance"))
                               for i, c in enumerate(columns)])).alias("s")
     return agg.select(arr).select("s.*").filter(F.col("variance").isNotNull()) \
@@ -148,15 +157,15 @@ def log_histogram(df: DataFrame, column: str, label: str, bins: int = 40) -> Dat
     """Histogram of log10 of the positive values, per class, ``bins``
     equal bins over each class's own [min, max]; the last bin is closed.
     One small aggregate for the ranges (broadcast back), one for the counts."""
-    pos = df.filter(F.col(column).isNotNull() & (F.col(column) > 0)).select(label, F.log10(column).alias("x"))
+    pos = df.withColumn(column, finite(F.col(column).cast("double"))).filter(F.col(column) > 0).select(label, F.log10(column).alias("x"))
     rng = pos.groupBy(label).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
-    from .bounded import bounded
+    from .bounded import bounded, join_on
     rng = bounded(rng)
-    cnt = pos.join(rng, label).groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return cnt.join(rng, label).select(
+    cnt = join_on(pos, rng, [label]).groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return join_on(cnt, rng, [label]).select(
         label, "bin", (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("edge_lo"), "n")
 
 
@@ -164,7 +173,8 @@ def class_quantiles(df: DataFrame, column: str, label: str) -> DataFrame:
     """Per-class min, q1, median, q3, max and Tukey whiskers (1.5 IQR,
     clipped to the data range) behind box/violin plots."""
     from .quantiles import quantiles
-    q = quantiles(df.filter(F.col(column).isNotNull()), [column], [0.0, 0.25, 0.5, 0.75, 1.0], by=[label])
+    known = finite(F.col(column).cast("double"))
+    q = quantiles(df.filter(known.isNotNull()), [column], [0.0, 0.25, 0.5, 0.75, 1.0], by=[label])
     w = q.groupBy(label).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(a)
                                for p, a in [(0.0, "min"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1.0, "max")]],
                              F.max("n").alias("n"))

@@ -19,11 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bounded import bounded
+from .bounded import bounded, join_on
 
 SEED = 42
 ROWS_PER_BUCKET = 200_000
-MAX_PREFIX = 5          # 16^5 buckets per class at most (broadcast table bound)
 
 
 def order_hash(keys: Sequence[str], seed: int = SEED) -> Column:
@@ -31,8 +30,8 @@ def order_hash(keys: Sequence[str], seed: int = SEED) -> Column:
 
 
 def _prefix_len(max_group: int) -> int:
-    need = max(1, math.ceil(math.log(max(max_group, 1) / ROWS_PER_BUCKET, 16))) if max_group > ROWS_PER_BUCKET else 1
-    return min(MAX_PREFIX, max(2, need))
+    """Leading hex digits of the md5 so that a bucket holds about ``ROWS_PER_BUCKET`` rows at most."""
+    return max(2, math.ceil(math.log(max(max_group, 1) / ROWS_PER_BUCKET, 16)))
 
 
 def exact_rank(df: DataFrame, by: Sequence[str], keys: Sequence[str], seed: int = SEED,
@@ -50,7 +49,7 @@ def exact_rank(df: DataFrame, by: Sequence[str], keys: Sequence[str], seed: int
     wo = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.withColumn("__off", F.sum("__c").over(wo) - F.col("__c")).drop("__c")
     wr = Window.partitionBy(*by, "__b").orderBy("__h", *keys)
-    return (h.join(bounded(offsets), by + ["__b"])
+    return (join_on(h, bounded(offsets), by + ["__b"])
             .withColumn(out, (F.row_number().over(wr) + F.col("__off")).cast("long"))
             .drop("__h", "__b", "__off"))
 
@@ -81,7 +80,7 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_frac:
     quotas = stratified_quotas(counts, label, n, take)
     mx = counts.agg(F.max("n_class")).first()[0] or 0
     ranked = exact_rank(df, [label], keys, seed, max_group=mx)
-    out = ranked.join(bounded(quotas.select(label, "quota")), label, "left") \
+    out = join_on(ranked, bounded(quotas.select(label, "quota")), [label], "left") \
         .withColumn("split", F.when(F.col("rank") <= F.col("quota"), F.lit("test")).otherwise(F.lit("train"))) \
         .drop("quota")
     counts.unpersist()
@@ -105,20 +104,20 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     w = Window.partitionBy()   # over the class table only
     wt = counts.select(label, "n_class", F.sum("n_class").over(w).alias("n"), F.count(F.lit(1)).over(w).alias("k")) \
         .select(label, (F.col("n") / (F.col("k") * F.col("n_class"))).alias("weight"))
-    return df.join(bounded(wt), label, "left")
+    return join_on(df, bounded(wt), [label], "left")
 
 
 def oversample(df: DataFrame, label: str, keys: Sequence[str], seed: int = SEED) -> DataFrame:
     """T-5: every class grown to the majority count.  Each row is repeated
     floor(n_max / n_c) times; the first (n_max mod n_c) rows in md5 order get
     one more copy.  Copies are cycles rather than draws with replacement.
-    Adds ``copy`` (1-based).  Rows are generated in place (no shuffle)."""
+    Adds ``copy`` (1-based).  NULL is a class.  One shuffle (the rank); copies are made in place."""
     counts = class_counts(df, label)
     w = Window.partitionBy()
     plan = counts.select(label, "n_class", F.max("n_class").over(w).alias("n_max"))
     ranked = exact_rank(df, [label], keys, seed)
     reps = (F.floor(F.col("n_max") / F.col("n_class")) + (F.col("rank") <= F.col("n_max") % F.col("n_class")).cast("long"))
-    return (ranked.join(bounded(plan), label)
+    return (join_on(ranked, bounded(plan), [label])
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), reps.cast("long"))))
             .drop("n_class", "n_max"))
 

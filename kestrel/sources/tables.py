@@ -6,21 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One driver table: ``{sf_dir}/{name}.parquet``.
-
-    A Parquet file with a single row group is one scan split, so a small
-    table lands on one task however many cores there are.  When the scan has
-    fewer splits than half the default parallelism, the rows are spread
-    round-robin (column pruning and filters still reach the scan below the
-    exchange).  On a cluster reading many files the check is false and no
-    shuffle is added."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() * 2 < par:
-            df = df.repartition(par)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table: ``{sf_dir}/{name}.parquet``, scanned as it is stored; how large a split is
+    belongs to the session settings."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = ",") -> DataFrame:

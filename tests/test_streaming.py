@@ -15,16 +15,16 @@ from kestrel.streaming.scoring import read_scored, score_stream
 def test_stream_scores_each_file_once(spark):
     from pyspark.ml import Pipeline
     base = checkpoint_dir(spark)
-    e = read_table(spark, SF, "embeddings", spread=False).filter(F.col("label").isin(0, 1, 2))
+    e = read_table(spark, SF, "embeddings").filter(F.col("label").isin(0, 1, 2))
     model = Pipeline(stages=[ml.ArrayToVector(inputCol="embedding"), ml.make_estimator("forest", 3, 64, {"numTrees": 3})]).fit(e)
     mpath = os.path.join(base, f"m-{uuid.uuid4().hex}")
     model.write().save(mpath)
     inp, out = os.path.join(base, f"in-{uuid.uuid4().hex}"), os.path.join(base, f"out-{uuid.uuid4().hex}")
     e.filter(F.col("vec_id") % 2 == 0).write.parquet(os.path.join(inp, "part1"))
-    q = score_stream(spark, mpath, os.path.join(inp, "*"), out, e.schema, ["c0", "c1", "c2"], keep=["vec_id"])
+    q = score_stream(spark, mpath, os.path.join(inp, "*"), out, e.schema, ["c0", "c1", "c2"], out + "-progress", keep=["vec_id"])
     q.awaitTermination()
     e.filter(F.col("vec_id") % 2 == 1).write.parquet(os.path.join(inp, "part2"))
-    q = score_stream(spark, mpath, os.path.join(inp, "*"), out, e.schema, ["c0", "c1", "c2"], keep=["vec_id"])
+    q = score_stream(spark, mpath, os.path.join(inp, "*"), out, e.schema, ["c0", "c1", "c2"], out + "-progress", keep=["vec_id"])
     q.awaitTermination()
     got = read_scored(spark, out)
     assert got.count() == e.count()
