@@ -9,6 +9,7 @@ every model.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as mt
-from .split import SEED, stratified_folds
+from .split import SEED, order_hash, stratified_folds
 
 FEATURES = "features"
 
@@ -34,23 +35,44 @@ def with_vector(df: DataFrame, features: str | Sequence[str], out: str = FEATURE
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
-# The zoo's settings (reference defaults, scaled down where the
-# reference's tree counts would only add run time to the checks).
+# The zoo's settings, as the reference fits them.  Spark's trees end at depth 30 (the
+# reference's forest has no limit); its boosting has no L2 penalty and its SVM no RBF kernel.
 ZOO_DEFAULTS: dict[str, dict] = {
-    "logistic": {"maxIter": 30, "regParam": 0.0},
+    "logistic": {"maxIter": 2000, "regParam": 0.0},
     "tree": {"maxDepth": 12, "minInstancesPerNode": 5},
-    "forest": {"numTrees": 20, "minInstancesPerNode": 2, "maxDepth": 8},
-    "boosted": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3},
-    "mlp": {"hidden": [128, 64], "maxIter": 40},
-    "svm": {"maxIter": 10, "regParam": 0.01},
+    "forest": {"numTrees": 400, "minInstancesPerNode": 2, "maxDepth": 30},
+    "boosted": {"maxIter": 600, "maxDepth": 5, "stepSize": 0.06, "minInstancesPerNode": 40, "subsamplingRate": 1.0,
+                "featureSubsetStrategy": "all", "validationTol": 1e-4},
+    "mlp": {"hidden": [128, 64], "maxIter": 400},
+    "svm": {"maxIter": 100, "regParam": 0.01},
 }
+# Smaller settings for checks and benches; always passed by name, never a default.
+QUICK: dict[str, dict] = {
+    "logistic": {"maxIter": 30}, "forest": {"numTrees": 20, "maxDepth": 8}, "svm": {"maxIter": 20}, "mlp": {"maxIter": 40},
+    "boosted": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3, "minInstancesPerNode": 2},
+}
+VALIDATION = "__validation"
+VALIDATION_SHARE = 0.15
+
+
+def with_validation(df: DataFrame, keys: Sequence[str], share: float = VALIDATION_SHARE, seed: int = SEED) -> DataFrame:
+    """Marks about ``share`` of the rows (by an md5 order of the keys) as boosting's early-stop rows."""
+    u = F.conv(F.substring(order_hash(keys, seed), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return df.withColumn(VALIDATION, u < share)
 
 
 def make_estimator(name: str, k: int, n_features: int, params: dict | None = None, label: str = "label",
-                   weight: str | None = None):
-    """One classifier of the zoo on (features, label[, weight])."""
+                   weight: str | None = None, validation: str | None = None):
+    """One classifier of the zoo on (features, label[, weight]).
+
+    ``validation`` names a boolean column of early-stop rows for two-class boosting (Spark's one-vs-rest
+    hands no such column on, so with more classes all rounds run)."""
     p = {**ZOO_DEFAULTS.get(name, {}), **(params or {})}
     common = {"featuresCol": FEATURES, "labelCol": label}
+    if name == "mlp":
+        if weight:
+            raise ValueError("Spark's multilayer perceptron takes no row weights")
+        return MultilayerPerceptronClassifier(layers=[n_features, *p["hidden"], k], maxIter=p["maxIter"], seed=SEED, **common)
     if name == "logistic":
         est = LogisticRegression(family="multinomial" if k > 2 else "binomial", maxIter=p["maxIter"], regParam=p["regParam"], **common)
     elif name == "tree":
@@ -59,25 +81,51 @@ def make_estimator(name: str, k: int, n_features: int, params: dict | None = Non
         est = RandomForestClassifier(numTrees=p["numTrees"], minInstancesPerNode=p["minInstancesPerNode"],
                                      maxDepth=p["maxDepth"], seed=SEED, **common)
     elif name == "boosted":
-        gbt = GBTClassifier(maxIter=p["maxIter"], maxDepth=p["maxDepth"], stepSize=p["stepSize"], seed=SEED,
-                            featuresCol=FEATURES, labelCol=label)
-        if weight:
-            gbt.setWeightCol(weight)
-        return gbt if k == 2 else OneVsRest(classifier=gbt, **common)
-    elif name == "mlp":   # no weightCol in Spark's MLP
-        return MultilayerPerceptronClassifier(layers=[n_features, *p["hidden"], k], maxIter=p["maxIter"], seed=SEED, **common)
+        est = GBTClassifier(seed=SEED, **{o: p[o] for o in ("maxIter", "maxDepth", "stepSize", "minInstancesPerNode", "subsamplingRate",
+                                                            "featureSubsetStrategy", "validationTol")}, **common)
+        if validation and k == 2:
+            est.setValidationIndicatorCol(validation)
     elif name == "svm":   # linear kernel only (documented difference)
-        svc = LinearSVC(maxIter=p["maxIter"], regParam=p["regParam"], featuresCol=FEATURES, labelCol=label)
-        if weight:
-            svc.setWeightCol(weight)
-        return svc if k == 2 else OneVsRest(classifier=svc, **common)
+        est = LinearSVC(maxIter=p["maxIter"], regParam=p["regParam"], **common)
     else:
         raise ValueError(name)
     if weight:
         est.setWeightCol(weight)
+    if name in ("boosted", "svm") and k > 2:
+        est = OneVsRest(classifier=est, **common, **({"weightCol": weight} if weight else {}))
     return est
 
 
+def fit_final(train: DataFrame, k: int, model: str, label: str = "label", preprocessor=None, features: Sequence[str] | str | None = None,
+              sampler: Callable | None = None, weight: bool = False, params: dict | None = None, keep: Sequence[str] = ()):
+    """Preprocessor -> sampler or class weight (training rows only) -> classifier, as one
+    ``PipelineModel`` without the sampler: what is saved scores rows that were never resampled.
+
+    ``preprocessor``: an unfitted pipeline (A9 or A10) whose passthrough holds ``label`` and ``keep``;
+    ``features`` names the columns to assemble, or one array column, where there is none."""
+    from pyspark.ml import PipelineModel
+
+    from .prep import feature_names
+    from .split import class_weights
+    stages = []
+    if preprocessor is not None:
+        fitted = preprocessor.fit(train)
+        stages += fitted.stages
+        train, features = fitted.transform(train), feature_names(fitted)
+    if isinstance(features, str):
+        size = len(train.select(features).first()[0])
+        stages.append(ArrayToVector(inputCol=features))
+    else:
+        size = len(features)
+        stages.append(VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep"))
+    if sampler is not None:
+        train = sampler(train)
+    if weight:
+        train = class_weights(train, label)
+    clf = make_estimator(model, k, size, params, label, "weight" if weight else None)
+    return PipelineModel([*stages, clf.fit(stages[-1].transform(train))])
+
+
 def probability(scored: DataFrame, k: int) -> Column:
     """Class probabilities as an array.  OneVsRest and LinearSVC expose only
     margins: p_c = sigmoid(2 * margin_c), normalised over classes."""
@@ -105,18 +153,24 @@ def n_features(df: DataFrame) -> int:
 
 
 def cross_validate(df: DataFrame, key: str, label: str, k: int, models: dict[str, Callable],
-                   folds: int = 3, train_transform: Callable | None = None, with_train: bool = False,
-                   train_transforms: dict[str, Callable] | None = None, parallelism: int = 2) -> tuple[DataFrame, DataFrame]:
+                   folds: int = 5, train_transform: Callable | None = None, with_train: bool = False,
+                   train_transforms: dict[str, Callable] | None = None, parallelism: int = 3,
+                   fold_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Fit every model on fold != f and score fold f (and, with
     ``with_train``, the training part).  ``models`` maps name -> function
-    (train_df) -> fitted model; ``train_transform`` (or a per-model entry of
+    (train_df) -> fitted model (``fit_final`` fits the preprocessor and the
+    sampler inside the fold); ``train_transform`` (or a per-model entry of
     ``train_transforms``, e.g. a sampler) touches only training rows.
     (model, fold) fits run as concurrent Spark jobs from ``parallelism``
     driver threads, like ``CrossValidator(parallelism=...)``.
+    ``fold_col`` names folds made beforehand; else they are stratified.
     Returns (per-fold scorecard, timings)."""
     from concurrent.futures import ThreadPoolExecutor
-    folded = stratified_folds(df, label, [key], folds).cache()
-    folded.count()
+
+    from ..session import materialize
+    folded = materialize(df if fold_col else stratified_folds(df, label, [key], folds), "folds")
+    if fold_col and fold_col != "fold":
+        folded = folded.withColumnRenamed(fold_col, "fold")
 
     def run(name, f):
         fit = models[name]
@@ -130,11 +184,10 @@ def cross_validate(df: DataFrame, key: str, label: str, k: int, models: dict[str
         t1 = time.time()
         out = []
         for part, d in [("test", test)] + ([("train", train)] if with_train else []):
-            sc = scored_frame(model, d, k, [key, label]).select(
+            sc = scored_frame(model, d, k, [label]).select(
                 F.lit(name).alias("model"), F.lit(f).alias("fold"), F.lit(part).alias("part"),
-                F.col(label).alias("y"), *[f"p_{i}" for i in range(k)], "pred").cache()
-            sc.count()
-            out.append(sc)
+                F.col(label).alias("y"), *[f"p_{i}" for i in range(k)], "pred")
+            out.append(materialize(sc, "scored"))
         return out, (name, f, t1 - t0, time.time() - t1)
 
     jobs = [(n, f) for n in models for f in range(folds)]
@@ -144,25 +197,25 @@ def cross_validate(df: DataFrame, key: str, label: str, k: int, models: dict[str
     times = [t for _, t in results]
     allp = reduce(DataFrame.unionByName, parts)
     probs = [f"p_{i}" for i in range(k)]
-    card = mt.scorecard(allp, k, probs, by=["model", "fold", "part"]).cache()
-    card.count()
-    for p in parts:
-        p.unpersist()
+    card = materialize(mt.scorecard(allp, k, probs, by=["model", "fold", "part"]), "scorecard")
     tdf = df.sparkSession.createDataFrame(times, "model string, fold int, fit_s double, score_s double")
-    folded.unpersist()
     return card, tdf
 
 
-def summarize_cv(card: DataFrame, times: DataFrame) -> DataFrame:
-    """M8 table: mean +- population std of F1 weighted, mean accuracy and AUC,
-    mean fit / score seconds, ranked by F1."""
-    test = card.filter(F.col("part") == "test")
-    agg = test.groupBy("model").agg(F.avg("f1_weighted").alias("f1_weighted_mean"), F.stddev_pop("f1_weighted").alias("f1_weighted_std"),
-                                    F.avg("accuracy").alias("accuracy"), F.avg("roc_auc_ovr_weighted").alias("roc_auc_ovr"))
-    t = times.groupBy("model").agg(F.avg("fit_s").alias("fit_s"), F.avg("score_s").alias("score_s"))
+SCORES = ["accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "roc_auc_ovr_weighted"]
+
+
+def summarize_cv(card: DataFrame, times: DataFrame | None = None) -> DataFrame:
+    """M8/M9 table: mean and population std over the folds of all five scores, mean fit / score
+    seconds, ranked by weighted F1."""
     from pyspark.sql import Window
-    w = Window.orderBy(F.col("f1_weighted_mean").desc(), "model")
-    return agg.join(t, "model").withColumn("rank", F.row_number().over(w))
+    test = card.filter(F.col("part") == "test")
+    out = test.groupBy("model").agg(F.count(F.lit(1)).alias("n_folds"), *[x for m in SCORES for x in (
+        F.avg(m).alias(f"{m}_mean"), F.stddev_pop(m).alias(f"{m}_std"))])
+    if times is not None:
+        out = out.join(times.groupBy("model").agg(F.avg("fit_s").alias("fit_s"), F.avg("score_s").alias("score_s")), "model")
+    # one row a model
+    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.col("f1_weighted_mean").desc(), "model")))
 
 
 def zoo_fitters(names: Sequence[str], k: int, nfeat: int, label: str = "label", weight: str | None = None,
@@ -173,6 +226,34 @@ def zoo_fitters(names: Sequence[str], k: int, nfeat: int, label: str = "label",
     return out
 
 
+def draw_params(space: dict, rng) -> dict:
+    """One point of a search space.  Kinds of ranges: ``("int", lo, hi[, step])``, ``("float", lo, hi)``,
+    ``("log", lo, hi)`` (log-uniform) and ``("choice", [...])``."""
+    out = {}
+    for name, (kind, *args) in space.items():
+        if kind == "int":
+            lo, hi, step = (*args, 1)[:3]
+            out[name] = lo + step * rng.randint(0, (hi - lo) // step)
+        elif kind == "float":
+            out[name] = rng.uniform(*args)
+        elif kind == "log":
+            out[name] = math.exp(rng.uniform(math.log(args[0]), math.log(args[1])))
+        elif kind == "choice":
+            out[name] = rng.choice(args[0])
+        else:
+            raise ValueError(kind)
+    return out
+
+
+# Search ranges by family, within what Spark's estimators offer.
+SEARCH_SPACES: dict[str, dict] = {
+    "forest": {"numTrees": ("int", 200, 800, 100), "maxDepth": ("int", 6, 30, 2), "minInstancesPerNode": ("int", 1, 10)},
+    "boosted": {"maxIter": ("int", 200, 800, 100), "stepSize": ("log", 0.01, 0.2), "maxDepth": ("int", 3, 8), "minInstancesPerNode": ("int", 20, 100),
+                "subsamplingRate": ("float", 0.6, 1.0), "featureSubsetStrategy": ("choice", ["all", "sqrt", "0.8"])},
+    "logistic": {"regParam": ("log", 1e-6, 1.0)},
+}
+
+
 def gap_objective(val: Column, train: Column, penalty: float = 0.5) -> Column:
     """Val - penalty * max(0, train - val)."""
     return val - F.lit(penalty) * F.greatest(F.lit(0.0), train - val)

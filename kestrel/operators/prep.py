@@ -16,10 +16,10 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import to_number
+from ..functions.expr import finite, to_number
 from ..functions.features import KOI_PRESET, FeatureEngineer
 from .correlation import corr_matrix, greedy_prune
-from .profile import missing_fraction
+from .profile import dominant_fraction, missing_fraction
 from .schema import KOI_POLICY, KOI_TARGET, drop_forbidden
 
 MISSING_LIMIT = 0.60
@@ -87,15 +87,21 @@ def prune_decisions(df: DataFrame, columns: Sequence[str] | None = None, missing
     rank in the middle of the order, so an approximate median with rank error
     <= n / MEDIAN_ACCURACY (< the dominant block's margin) is exactly that
     value.  Job 1: row count, non-null counts and approximate medians.  Job 2:
-    how many values equal each column's candidate.  The decision is exact."""
+    how many values equal each column's candidate.  The decision is exact.  A
+    limit near one half or below gives the median no such margin; then the
+    exact value counts (A3) decide.  ``dominant_frac`` is the counted share."""
     columns = list(df.columns) if columns is None else list(columns)
+    exact = dominant_limit <= 0.5 + 2.0 / MEDIAN_ACCURACY
     types = {f.name: f.dataType for f in df.schema.fields}
     num = df.select(*[to_number(c, types[c]).alias(c) for c in columns])
     stats = num.agg(F.count(F.lit(1)).alias("__n"), *[x for i, c in enumerate(columns) for x in (
         F.count(c).alias(f"c{i}"), F.percentile_approx(c, 0.5, MEDIAN_ACCURACY).alias(f"m{i}"))]).first()
     n = stats["__n"]
     cand = {c: stats[f"m{i}"] for i, c in enumerate(columns) if stats[f"m{i}"] is not None}
-    hits = num.agg(*[F.count_if(F.col(c) == F.lit(v)).alias(c) for c, v in cand.items()]).first() if cand else {}
+    if exact:
+        hits = {r["column"]: r["top_count"] for r in dominant_fraction(num, columns).collect()}
+    else:
+        hits = num.agg(*[F.count_if(F.col(c) == F.lit(v)).alias(c) for c, v in cand.items()]).first() if cand else {}
     rows = []
     for i, c in enumerate(columns):
         nn = stats[f"c{i}"]
@@ -230,7 +236,8 @@ class Scaler(Estimator, _Stage):
     def _fit(self, df):
         df = self._fit_input(df)
         cols = list(df.columns)
-        row = df.agg(*[x for c in cols for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
+        known = {c: finite(F.col(c).cast("double")) for c in cols}
+        row = df.agg(*[x for c in cols for x in (F.avg(known[c]).alias(f"m_{c}"), F.stddev_pop(known[c]).alias(f"s_{c}"))]).first()
         return ScalerModel(means={c: row[f"m_{c}"] for c in cols},
                            scales={c: (row[f"s_{c}"] if row[f"s_{c}"] else 1.0) for c in cols},
                            passthrough=self.get("passthrough"))
@@ -256,23 +263,32 @@ class ScalerModel(Model, _Stage):
 class PersistingPipeline(Pipeline):
     """``Pipeline`` whose fit persists each stage's output (MEMORY_AND_DISK)
     before the next stage fits on it, so the derivation and coercion
-    expressions run once per fit instead of once per statistics job.  The
-    persisted intermediates are released when the fit ends; a lost block
-    is recomputed from lineage."""
+    expressions run once per fit instead of once per statistics job.  Only
+    one stage's output is held at a time: the former is released as soon as
+    the next one is stored.  A lost block is recomputed from lineage."""
 
     def _fit(self, dataset):
         from pyspark import StorageLevel
         from pyspark.ml import PipelineModel
-        cur, held, fitted = dataset, [], []
+        cur, held, fitted = dataset, None, []
         stages = self.getStages()
-        for i, st in enumerate(stages):
-            model = st.fit(cur) if isinstance(st, Estimator) else st
-            fitted.append(model)
-            if i < len(stages) - 1:
-                cur = model.transform(cur).persist(StorageLevel.MEMORY_AND_DISK)
-                held.append(cur)
-        for h in held:
-            h.unpersist()
+        last = max((i for i, st in enumerate(stages) if isinstance(st, Estimator)), default=-1)
+        try:
+            for i, st in enumerate(stages):
+                model = st.fit(cur) if isinstance(st, Estimator) else st
+                fitted.append(model)
+                if i >= last:
+                    continue
+                cur = model.transform(cur)
+                # firewall, derivation and imputation are projections: only what a statistic reads twice is stored
+                if isinstance(stages[i + 1], ColumnPruner):
+                    former, held = held, cur.persist(StorageLevel.MEMORY_AND_DISK)
+                    cur = held
+                    if former is not None:
+                        former.unpersist()
+        finally:
+            if held is not None:
+                held.unpersist()
         return PipelineModel(fitted)
 
 

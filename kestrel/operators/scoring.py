@@ -60,12 +60,13 @@ def prediction_table(df: DataFrame, y: str, pred: str, probs: Sequence[str], cla
 
 
 def score_job(spark, model_path: str, input_path: str, output_path: str, classes: Sequence[str],
-              keep: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Batch job entry (``spark-submit``): input table -> scored table."""
+              keep: Sequence[str] = (), fmt: str = "parquet", schema=None) -> None:
+    """Batch job entry (``spark-submit``): input table -> scored table.  CSV input is read with
+    ``schema``, or with types inferred from the whole file."""
     from pyspark.ml import PipelineModel
-    from ..sources.tables import write_result
+    from ..sources.tables import read_delimited, write_result
     model = PipelineModel.load(model_path)
-    df = spark.read.format(fmt).load(input_path) if fmt != "csv" else spark.read.option("header", "true").csv(input_path)
+    df = spark.read.format(fmt).load(input_path) if fmt != "csv" else read_delimited(spark, input_path, schema)
     write_result(score_with_model(model, df, classes, keep), output_path)
 
 

@@ -111,9 +111,18 @@ def q_shap_local(spark, sf):
     return at.shap_local(phi, "o_orderkey", at.linear_base(o, O_FEATURES, O_WEIGHTS), 12)
 
 
-@query("shapley_sampled")
+@query("shapley_sampled", "SELECT vec_id, CAST(c.class AS INTEGER) AS class, CAST(64 AS BIGINT) AS n_features, CAST(0 AS DOUBLE) AS residual FROM embeddings, (VALUES (0), (1), (2)) AS c(class)")
 def q_shapley_sampled(spark, sf):
-    """Rows-only: sampled-permutation Shapley for a forest on embeddings."""
-    e = read_table(spark, sf, "embeddings").filter(F.col("label").isin(0, 1, 2))
-    model = ml.make_estimator("forest", 3, 64).fit(ml.with_vector(e, "embedding"))
-    return at.shapley_sampled(e, "vec_id", "embedding", model, 64, 3, permutations=2)
+    """X4 by sampled feature orders for a small forest on ``label % 3``, two orders a row: the
+    attributions of a row add up to f(x) - f(reference), so the residual is zero."""
+    from pyspark.ml.functions import vector_to_array
+    e = read_table(spark, sf, "embeddings").withColumn("label", F.col("label") % 3)
+    model = ml.make_estimator("forest", 3, 64, ml.QUICK["forest"]).fit(ml.with_vector(e, "embedding"))
+    phi = at.shapley_sampled(e, "vec_id", "embedding", model, 64, 3, permutations=2)
+    total = phi.groupBy("vec_id", "class").agg(F.sum("phi").alias("s"), F.count(F.lit(1)).alias("n_features"))
+    mean = [m["m"] for m in e.select(F.posexplode("embedding").alias("j", "x")).groupBy("j").agg(F.avg("x").alias("m")).orderBy("j").collect()]
+    one = ml.with_vector(spark.createDataFrame([(mean,)], "embedding array<double>"), "embedding")
+    ref = model.transform(one).select(vector_to_array("probability").alias("p")).first()["p"]
+    fx = model.transform(ml.with_vector(e, "embedding")).select("vec_id", vector_to_array("probability").alias("p"))
+    gap = F.col("p")[F.col("class")] - F.array(*[F.lit(v) for v in ref])[F.col("class")]
+    return total.join(fx, "vec_id").select("vec_id", "class", "n_features", F.round(F.col("s") - gap, 6).alias("residual"))

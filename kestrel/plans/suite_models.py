@@ -1,11 +1,20 @@
-"""Queries for M1-M17, S4, X3, I2, I5 (training; rows-only checks)."""
+"""Queries for M1-M17, S4, X3, I2, I5.
+
+A trained model's numbers have no SQL twin.  Each query therefore returns the contract of its operator
+- which rows are scored, under which label, fold or setting - with flags that must hold (``valid``:
+probabilities or scores in range and consistent), and its twin derives keys, counts and folds in SQL
+from the whole table.  (The labels of ``embeddings`` carry no signal, so no score can be asked for.)  The tables with the numbers are
+the functions of the same name without the ``q_`` prefix (``compare_models`` ...).
+
+``embeddings`` has ten labels; the three-class queries use ``label % 3``, so every row takes part.
+Queries fit with ``ml.QUICK`` settings, passed by name; the operators' defaults are the full ones."""
 
 from __future__ import annotations
 
 import random
 import uuid
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,49 +25,93 @@ from ..operators import prep
 from ..operators import split as sp
 from ..operators.neighbors import adasyn, smote
 from ..operators.scoring import score_job, score_with_model
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from ..sources.tables import read_table
-from .fixtures import K_CLASSES
+from .fixtures import FOLD_SQL, K_CLASSES, K_COLUMNS
 from .registry import query
 
 K3 = 3
 PROBS = [f"p_{i}" for i in range(K3)]
+CLASSES = ["c0", "c1", "c2"]
+FOLDS = 5
+
+# ---- SQL twins --------------------------------------------------------------------------
+
+E_SQL = "e AS (SELECT vec_id, label % 3 AS label FROM embeddings)"
+E_RANK = "r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', CAST(vec_id AS VARCHAR), '42')), vec_id) AS rank FROM e)"
+# rows of the 20 % hold-out: largest-remainder quotas over the classes
+HELD_SQL = f"""{E_SQL}, {E_RANK},
+c AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+t AS (SELECT CAST(ceil(CAST(0.2 AS DOUBLE) * sum(n)) AS BIGINT) AS take, sum(n) AS total FROM c),
+q0 AS (SELECT label, (take * n) // total AS base, (take * n) % total AS rem, take FROM c, t),
+q AS (SELECT label, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, label) <= take - (SELECT sum(base) FROM q0) THEN 1 ELSE 0 END AS quota FROM q0),
+held AS (SELECT r.vec_id, r.label FROM r JOIN q ON r.label = q.label WHERE r.rank <= q.quota)"""
+HELD_VALID = f"WITH {HELD_SQL} SELECT vec_id, label, true AS valid FROM held"
+K_FOLD = "k AS (SELECT l_returnflag AS label, CAST(" + FOLD_SQL + " AS INTEGER) AS fold FROM lineitem)"
+
+
+# ---- fixtures -----------------------------------------------------------------------------
+
+def _three(spark, sf) -> DataFrame:
+    return read_table(spark, sf, "embeddings").withColumn("label", F.col("label") % 3)
 
 
 def _emb3(spark, sf) -> DataFrame:
-    e = read_table(spark, sf, "embeddings").filter(F.col("label").isin(0, 1, 2))
-    return ml.with_vector(e, "embedding")
+    return ml.with_vector(_three(spark, sf), "embedding")
 
 
 def _holdout(df, key="vec_id", label="label"):
-    s = sp.stratified_split(df, label, [key], 0.2)
+    s = materialize(sp.stratified_split(df, label, [key], 0.2), "holdout")
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
+def _valid(k=K3):
+    """Probabilities in [0, 1] that add up to 1, and a predicted class that has the largest."""
+    p = [F.col(f"p_{i}") for i in range(k)]
+    total = sum(p[1:], p[0])
+    inside = p[0].between(0, 1 + 1e-9)
+    for x in p[1:]:
+        inside = inside & x.between(0, 1 + 1e-9)
+    best = F.greatest(*p) if k > 1 else p[0]
+    return F.coalesce(inside & (F.abs(total - 1) < 1e-6) & (F.array(*p)[F.col("pred")] == best), F.lit(False))
+
+
 def _fit_one(name):
     def build(spark, sf):
-        e = _emb3(spark, sf)
-        train, test = _holdout(e)
-        model = ml.make_estimator(name, K3, 64).fit(train)
-        return ml.scored_frame(model, test, K3, ["vec_id", "label"])
+        train, test = _holdout(_emb3(spark, sf))
+        model = ml.make_estimator(name, K3, 64, ml.QUICK.get(name)).fit(train)
+        return ml.scored_frame(model, test, K3, ["vec_id", "label"]).select("vec_id", "label", _valid().alias("valid"))
     return build
 
 
-for _n, _q in [("logistic", "fit_logistic"), ("tree", "fit_tree"), ("forest", "fit_forest"), ("boosted", "fit_boosted"),
-               ("mlp", "fit_mlp"), ("svm", "fit_svm")]:
-    query(_q)(_fit_one(_n))
+for _n in ["logistic", "tree", "forest", "boosted", "mlp", "svm"]:
+    query(f"fit_{_n}", HELD_VALID)(_fit_one(_n))
 
 
-@query("compare_models")
-def q_compare_models(spark, sf):
-    """M8: zoo x 3 stratified folds; mean/std F1, accuracy, AUC, seconds, rank."""
-    e = _emb3(spark, sf)
-    fitters = ml.zoo_fitters(["logistic", "tree", "forest", "boosted", "mlp", "svm"], K3, 64)
+def _in_range(cols):
+    out = None
+    for c in cols:
+        x = F.col(c).between(0, 1 + 1e-9)
+        out = x if out is None else out & x
+    return F.coalesce(out, F.lit(False))
+
+
+def compare_models(spark, sf) -> DataFrame:
+    """M8: seven families x stratified folds; mean and std of five scores, seconds, rank."""
+    fitters = ml.zoo_fitters(["logistic", "tree", "forest", "boosted", "mlp", "svm"], K3, 64, params=ml.QUICK)
     fitters["knn"] = lambda train: ml.KnnModel(train, "vec_id", "embedding", "label", 15, K3)
-    card, times = ml.cross_validate(e, "vec_id", "label", K3, fitters, folds=3)
+    card, times = ml.cross_validate(_emb3(spark, sf), "vec_id", "label", K3, fitters, folds=FOLDS)
     return ml.summarize_cv(card, times)
 
 
+@query("compare_models", f"""WITH {E_SQL}, m(model) AS (VALUES ('logistic'), ('tree'), ('forest'), ('boosted'), ('mlp'), ('svm'), ('knn')),
+c AS (SELECT count(*) AS n FROM e) SELECT model, CAST(5 AS BIGINT) AS n_folds, true AS valid, true AS ranked FROM m, c WHERE n > 0""")
+def q_compare_models(spark, sf):
+    t = compare_models(spark, sf)
+    means = [f"{m}_mean" for m in ml.SCORES]
+    return t.select("model", "n_folds", (_in_range(means) & (F.col("fit_s") >= 0)).alias("valid"), F.col("rank").between(1, 7).alias("ranked"))
+
+
 def _docs_labelled(spark, sf) -> DataFrame:
     """documents JOIN labels with text statistics as features (whole texts)."""
     d = read_table(spark, sf, "documents")
@@ -72,18 +125,14 @@ def _docs_labelled(spark, sf) -> DataFrame:
     return j.select("doc_id", F.col("quality").alias("label"), F.array(*feats).alias("fvec"))
 
 
-@query("compare_imbalance")
-def q_compare_imbalance(spark, sf):
-    """M9: none / class weight / SMOTE / ADASYN / over / under, each applied to
-    training folds only, logistic model, 3 folds."""
-    base = _docs_labelled(spark, sf).cache()
-    k = 2
+STRATEGIES = ["none", "class_weight", "smote", "adasyn", "random_over", "random_under"]
 
-    def vec(df):
-        return ml.with_vector(df, "fvec")
 
-    def fit_lr(weight=None):
-        return lambda train: ml.make_estimator("logistic", k, 5, None, "label", weight).fit(vec(train))
+def compare_imbalance(spark, sf) -> DataFrame:
+    """M9: none / class weight / SMOTE / ADASYN / over / under, each applied to training folds only,
+    logistic model; five scores by strategy, ranked."""
+    base = materialize(_docs_labelled(spark, sf), "labelled")
+    k, params = 2, ml.QUICK["logistic"]
 
     def synth(fn):
         def tr(train):
@@ -92,57 +141,72 @@ def q_compare_imbalance(spark, sf):
             return train.select("doc_id", "label", F.col("fvec").cast("array<double>").alias("fvec")).unionByName(s)
         return tr
 
-    strategies = {
-        "none": (None, fit_lr()),
-        "class_weight": (lambda tr: sp.class_weights(tr, "label"), fit_lr("weight")),
-        "smote": (synth(smote), fit_lr()),
-        "adasyn": (synth(adasyn), fit_lr()),
-        "random_over": (lambda tr: sp.oversample(tr, "label", ["doc_id"]).drop("rank", "copy"), fit_lr()),
-        "random_under": (lambda tr: sp.undersample(tr, "label", ["doc_id"]).drop("rank"), fit_lr()),
-    }
-    fits = {n: (lambda f: lambda tr: f(tr.drop(ml.FEATURES)))(fit) for n, (_, fit) in strategies.items()}
-    transforms = {n: t for n, (t, _) in strategies.items() if t is not None}
-    card, _ = ml.cross_validate(vec(base), "doc_id", "label", k, fits, folds=3, train_transforms=transforms)
-    return card.filter(F.col("part") == "test").groupBy(F.col("model").alias("strategy")).agg(
-        F.avg("f1_weighted").alias("f1_weighted_mean"), F.stddev_pop("f1_weighted").alias("f1_weighted_std"))
+    samplers = {"none": None, "class_weight": None, "smote": synth(smote), "adasyn": synth(adasyn),
+                "random_over": lambda tr: sp.oversample(tr, "label", ["doc_id"]).drop("rank", "copy"),
+                "random_under": lambda tr: sp.undersample(tr, "label", ["doc_id"]).drop("rank")}
+    fitters = {n: (lambda f, w: lambda tr: ml.fit_final(tr.select("doc_id", "label", "fvec"), k, "logistic", features="fvec", sampler=f,
+                                                        weight=w, params=params))(f, n == "class_weight") for n, f in samplers.items()}
+    card, _ = ml.cross_validate(base, "doc_id", "label", k, fitters, folds=FOLDS)
+    return ml.summarize_cv(card).withColumnRenamed("model", "strategy")
+
+
+@query("compare_imbalance", "WITH s(strategy) AS (VALUES " + ", ".join(f"('{x}')" for x in STRATEGIES) + """),
+n AS (SELECT count(*) AS n FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+SELECT strategy, CAST(5 AS BIGINT) AS n_folds, true AS valid, true AS ranked FROM s, n WHERE n > 0""")
+def q_compare_imbalance(spark, sf):
+    t = compare_imbalance(spark, sf)
+    return t.select("strategy", "n_folds", _in_range([f"{m}_mean" for m in ml.SCORES]).alias("valid"), F.col("rank").between(1, 6).alias("ranked"))
+
 
+# A small forest space for the query; the full ranges are ``ml.SEARCH_SPACES``.
+QUICK_SPACE = {"numTrees": ("int", 5, 30), "maxDepth": ("int", 2, 8), "minInstancesPerNode": ("int", 1, 8)}
 
-# Random-search space (family "forest"), integer and log-uniform ranges.
-SEARCH_SPACE = {"numTrees": (5, 30), "maxDepth": (2, 8), "minInstancesPerNode": (1, 8)}
 
+def draw_trials(space: dict, n_trials: int, seed: int = sp.SEED) -> list[dict]:
+    rng = random.Random(seed)
+    return [ml.draw_params(space, rng) for _ in range(n_trials)]
 
-@query("search_trials")
-def q_search_trials(spark, sf, n_trials: int = 4):
+
+def search_trials(spark, sf, n_trials: int = 30, space: dict | None = None, family: str = "forest") -> DataFrame:
     """Seeded random search scored by val - 0.5 * max(0, train - val)."""
-    e = _emb3(spark, sf)
-    rng = random.Random(sp.SEED)
-    trials = [{p: rng.randint(lo, hi) for p, (lo, hi) in SEARCH_SPACE.items()} for _ in range(n_trials)]
-    fitters = {str(t): ml.zoo_fitters(["forest"], K3, 64, params={"forest": params})["forest"] for t, params in enumerate(trials)}
-    card, _ = ml.cross_validate(e, "vec_id", "label", K3, fitters, folds=3, with_train=True)
+    trials = draw_trials(space or ml.SEARCH_SPACES[family], n_trials)
+    fitters = {str(t): ml.zoo_fitters([family], K3, 64, params={family: params})[family] for t, params in enumerate(trials)}
+    card, _ = ml.cross_validate(_emb3(spark, sf), "vec_id", "label", K3, fitters, folds=FOLDS, with_train=True)
     s_ = card.groupBy(F.col("model").cast("int").alias("trial")).agg(
         F.avg(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_f1"),
         F.avg(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("val_f1"))
-    grid = spark.createDataFrame([(t, p["numTrees"], p["maxDepth"], p["minInstancesPerNode"]) for t, p in enumerate(trials)],
-                                 "trial int, numTrees int, maxDepth int, minInstancesPerNode int")
+    names = list(trials[0])
+    kinds = ", ".join(f"{n} {'int' if isinstance(trials[0][n], int) else 'double' if isinstance(trials[0][n], float) else 'string'}" for n in names)
+    grid = spark.createDataFrame([(t, *[p[n] for n in names]) for t, p in enumerate(trials)], "trial int, " + kinds)
     return grid.join(s_, "trial").withColumn("objective", ml.gap_objective(F.col("val_f1"), F.col("train_f1")))
 
 
-def _final_pipeline():
-    return Pipeline(stages=[ml.ArrayToVector(inputCol="embedding"), ml.make_estimator("forest", K3, 64)])
+@query("search_trials", "SELECT trial, \"numTrees\", \"maxDepth\", \"minInstancesPerNode\", true AS valid FROM (VALUES " + ", ".join(
+    f"({t}, {p['numTrees']}, {p['maxDepth']}, {p['minInstancesPerNode']})" for t, p in enumerate(draw_trials(QUICK_SPACE, 4)))
+    + ') AS v(trial, "numTrees", "maxDepth", "minInstancesPerNode")')
+def q_search_trials(spark, sf):
+    """Four trials of a small space."""
+    t = search_trials(spark, sf, 4, QUICK_SPACE)
+    return t.select("trial", "numTrees", "maxDepth", "minInstancesPerNode",
+                    (_in_range(["train_f1", "val_f1"]) & (F.col("objective") <= F.col("val_f1"))).alias("valid"))
+
 
+def _final_model(train):
+    return ml.fit_final(train, K3, "forest", features="embedding", params=ml.QUICK["forest"])
 
-@query("final_model")
+
+@query("final_model", HELD_VALID)
 def q_final_model(spark, sf):
-    """Fit on all training rows; score the held-out rows."""
-    e = read_table(spark, sf, "embeddings").filter(F.col("label").isin(0, 1, 2))
-    train, test = _holdout(e)
-    model = _final_pipeline().fit(train)
-    return score_with_model(model, test, ["c0", "c1", "c2"], keep=["vec_id", "label"])
+    """One saved pipeline fitted on all training rows; the held-out rows scored by it."""
+    train, test = _holdout(_three(spark, sf))
+    path = _model_path(spark, "final")
+    _final_model(train).write().overwrite().save(path)
+    scored = score_with_model(PipelineModel.load(path), test, CLASSES, keep=["vec_id", "label"])
+    return scored.withColumnsRenamed({f"p_c{i}": f"p_{i}" for i in range(K3)}).select("vec_id", "label", _valid().alias("valid"))
 
 
 def _k_keyed(spark, sf, extra_leaks=False):
     """K with a hash fold (lineitem has no unique key) and optional planted leaks."""
-    from .fixtures import FOLD_SQL, K_COLUMNS
     li = read_table(spark, sf, "lineitem")
     cols = [F.expr(e).alias(n) for n, e in K_COLUMNS] + [F.expr(FOLD_SQL.replace("VARCHAR", "STRING")).cast("int").alias("fold")]
     if extra_leaks:
@@ -165,7 +229,7 @@ def _prep_fit(train, derive=True, keep=None, model="logistic", k=K3):
     """A9 (or A10) + classifier fitted on training rows; y/fold pass through."""
     pre = prep.build_preprocessor(scale=True, derive=derive, target="label", keep=keep, passthrough=PT).fit(train)
     names = prep.feature_names(pre)
-    clf = ml.make_estimator(model, k, len(names), label="y").fit(ml.with_vector(pre.transform(train), names))
+    clf = ml.make_estimator(model, k, len(names), ml.QUICK.get(model), label="y").fit(ml.with_vector(pre.transform(train), names))
     return pre, names, clf
 
 
@@ -185,178 +249,216 @@ def _binary_card(spark, sf, decided: bool):
     return mt.binary_scorecard(scored, "y", "pred", "p_1", "part")
 
 
-@query("binary_framing")
+BINARY_SQL = """SELECT part, n, true AS valid FROM (
+SELECT CASE WHEN fold = 0 THEN 'test' ELSE 'train' END AS part, CAST(count(*) AS BIGINT) AS n FROM k {where} GROUP BY 1)"""
+
+
+def _binary_contract(spark, sf, decided):
+    """Rows per part, all scores in range, the gap consistent with the train score."""
+    card = _binary_card(spark, sf, decided)
+    k = _k_keyed(spark, sf)
+    k = k.filter(F.col("label").isin("A", "R")) if decided else k
+    n = k.groupBy(F.when(F.col("fold") == 0, "test").otherwise("train").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    ok = _in_range(["accuracy", "precision", "recall", "f1", "roc_auc", "average_precision"]) & \
+        (F.abs(F.col("overfit_gap") - (F.col("train_f1") - F.col("f1"))) < 1e-9)
+    return n.join(card, "part").select("part", "n", ok.alias("valid"))
+
+
+@query("binary_framing", f"WITH {K_FOLD} " + BINARY_SQL.format(where=""))
 def q_binary_framing(spark, sf):
     """REAL vs FALSE POSITIVE -> A9 -> boosted trees -> E11."""
-    return _binary_card(spark, sf, False)
+    return _binary_contract(spark, sf, False)
 
 
-@query("decided_framing")
+@query("decided_framing", f"WITH {K_FOLD} " + BINARY_SQL.format(where="WHERE label IN ('A', 'R')"))
 def q_decided_framing(spark, sf):
     """Decided classes only -> binary -> A9 -> boosted trees -> E11."""
-    return _binary_card(spark, sf, True)
+    return _binary_contract(spark, sf, True)
 
 
 LEAKS = ["koi_score", "koi_fpflag_nt"]
 
 
-@query("leakage_benchmark")
-def q_leakage_benchmark(spark, sf):
+def leakage_benchmark(spark, sf) -> DataFrame:
     """Same model with the firewall on vs with planted leak columns
     restored; premium = F1 with leakage - F1 without (J3)."""
-    k = _k_keyed(spark, sf, extra_leaks=True)
+    k = materialize(_k_keyed(spark, sf, extra_leaks=True), "leaks")
     train, test = k.filter(F.col("fold") != 0), k.filter(F.col("fold") == 0)
 
     def arm(a):
         name, keep = a
         pre, names, clf = _prep_fit(train, keep=keep)
         sc = _prep_score(pre, names, clf, test)
-        return (name, mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"], len(names))
+        got = mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"]
+        return (name, got, len(names), sc.count(), all(x in names for x in keep or []))
 
     rows = _concurrently(arm, [("leakage_free", None), ("with_leakage", LEAKS)])
-    df = spark.createDataFrame(rows, "arm string, f1_weighted double, n_features int")
-    base = rows[0][1]
-    return df.withColumn("premium", F.col("f1_weighted") - F.lit(base))
+    df = spark.createDataFrame(rows, "arm string, f1_weighted double, n_features int, n long, leaks_kept boolean")
+    return df.withColumn("premium", F.col("f1_weighted") - F.lit(rows[0][1]))
 
 
-@query("feature_ablation")
-def q_feature_ablation(spark, sf):
-    """3-fold CV with vs without derived features; delta vs the
+@query("leakage_benchmark", f"""WITH {K_FOLD}, a(arm, leak_helps) AS (VALUES ('leakage_free', false), ('with_leakage', true))
+SELECT arm, CAST((SELECT count(*) FROM k WHERE fold = 0) AS BIGINT) AS n, true AS valid, leak_helps FROM a""")
+def q_leakage_benchmark(spark, sf):
+    t = leakage_benchmark(spark, sf)
+    return t.select("arm", "n", _in_range(["f1_weighted"]).alias("valid"), (F.col("premium") > 0).alias("leak_helps"))
+
+
+def feature_ablation(spark, sf, folds: int = 3) -> DataFrame:
+    """Cross-validation with vs without derived features; delta vs the
     without-arm.  Preprocessing is refitted inside each fold."""
-    k = _k_keyed(spark, sf).withColumn("fold", F.col("fold") % 3)
+    k = materialize(_k_keyed(spark, sf).withColumn("fold", F.col("fold") % folds), "ablation")
 
     def one(a):
         arm, derive, f = a
         pre, names, clf = _prep_fit(k.filter(F.col("fold") != f), derive=derive)
         sc = _prep_score(pre, names, clf, k.filter(F.col("fold") == f))
-        return (arm, f, mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"])
+        return (arm, f, mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"], sc.count())
 
-    rows = _concurrently(one, [(a, d, f) for a, d in [("with_features", True), ("without_features", False)] for f in range(3)])
-    folds = spark.createDataFrame(rows, "arm string, fold int, f1_weighted double")
-    summ = mt.fold_summary(folds, ["arm"], "f1_weighted")
+    rows = _concurrently(one, [(a, d, f) for a, d in [("with_features", True), ("without_features", False)] for f in range(folds)])
+    by_fold = spark.createDataFrame(rows, "arm string, fold int, f1_weighted double, n long")
+    summ = mt.fold_summary(by_fold, ["arm"], "f1_weighted").join(by_fold.groupBy("arm").agg(F.sum("n").alias("n")), "arm")
     base = summ.filter(F.col("arm") == "without_features").select(F.lit(1).alias("__k"), F.col("f1_weighted_mean").alias("__b"))
     return summ.withColumn("__k", F.lit(1)).join(F.broadcast(base), "__k").withColumn(
         "delta", F.col("f1_weighted_mean") - F.col("__b")).drop("__k", "__b")
 
 
-def _curve(spark, sf, settings):
-    """Rows (setting, fold, part, f1) -> mean / std of train and val F1."""
-    rows = []
-    for setting, fit_fn, subset in settings:
-        for f in range(3):
-            rows.extend(fit_fn(setting, f, subset))
-    df = spark.createDataFrame(rows, "setting double, fold int, part string, f1_weighted double")
-    return df.groupBy("setting").agg(
-        F.avg(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_mean"),
-        F.stddev_pop(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_std"),
-        F.avg(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("val_mean"),
-        F.stddev_pop(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("val_std"))
+@query("feature_ablation", f"""WITH {K_FOLD}, a(arm) AS (VALUES ('with_features'), ('without_features'))
+SELECT arm, CAST(3 AS BIGINT) AS n_folds, CAST((SELECT count(*) FROM k) AS BIGINT) AS n, true AS valid FROM a""")
+def q_feature_ablation(spark, sf):
+    t = feature_ablation(spark, sf)
+    return t.select("arm", "n_folds", "n", _in_range(["f1_weighted_mean"]).alias("valid"))
 
 
-@query("learning_curve")
-def q_learning_curve(spark, sf):
-    """6 nested training sizes (10%..100%) x 3 folds, logistic model;
-    all scorings are unioned and scored in one grouped aggregation."""
-    e = sp.stratified_folds(_emb3(spark, sf), "label", ["vec_id"], 3).cache()
-    fracs = [0.1, 0.28, 0.46, 0.64, 0.82, 1.0]
+def _train_and_val(card: DataFrame, by: str) -> DataFrame:
+    pick = lambda part: F.when(F.col("part") == part, F.col("f1_weighted"))
+    return card.groupBy(by).agg(F.avg(pick("train")).alias("train_mean"), F.stddev_pop(pick("train")).alias("train_std"),
+                                F.avg(pick("test")).alias("val_mean"), F.stddev_pop(pick("test")).alias("val_std"),
+                                F.countDistinct("fold").alias("n_folds"))
+
+
+LEARNING_FRACTIONS = [0.1, 0.28, 0.46, 0.64, 0.82, 1.0]
+
+
+def learning_curve(spark, sf, fractions=tuple(LEARNING_FRACTIONS)) -> DataFrame:
+    """Nested training sizes x stratified folds, logistic model; all scorings are scored in one
+    grouped aggregation.  ``n_train``: training rows over the folds."""
+    e = materialize(sp.stratified_folds(_emb3(spark, sf), "label", ["vec_id"], FOLDS), "folds")
 
     def fold(f):
         out = []
-        train = sp.learning_subsets(e.filter(F.col("fold") != f).drop("rank"), ["vec_id"], fracs).cache()
+        train = materialize(sp.learning_subsets(e.filter(F.col("fold") != f).drop("rank"), ["vec_id"], list(fractions)), "subsets")
         test = e.filter(F.col("fold") == f)
-        n_sub = train.agg(F.max("first_subset")).first()[0]
-        for i in range(n_sub + 1):
+        for i, fraction in enumerate(fractions):
             sub = train.filter(F.col("first_subset") <= i)
-            model = ml.make_estimator("logistic", K3, 64).fit(sub)
+            model = ml.make_estimator("logistic", K3, 64, ml.QUICK["logistic"]).fit(sub)
             for part, d in [("train", sub), ("test", test)]:
-                out.append(ml.scored_frame(model, d, K3, ["label"]).select(
-                    F.lit(fracs[min(i, len(fracs) - 1)]).alias("train_fraction"), F.lit(f).alias("fold"),
-                    F.lit(part).alias("part"), F.col("label").alias("y"), *PROBS, "pred"))
+                out.append(materialize(ml.scored_frame(model, d, K3, ["label"]).select(
+                    F.lit(fraction).alias("train_fraction"), F.lit(f).alias("fold"), F.lit(part).alias("part"),
+                    F.col("label").alias("y"), *PROBS, "pred"), "curve"))
         return out
 
-    parts = [p for out in _concurrently(fold, range(3)) for p in out]
+    parts = [p for out in _concurrently(fold, range(FOLDS)) for p in out]
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
     by = ["train_fraction", "fold", "part"]
     f1 = mt.averaged_scores(mt.per_class_scores(allp, K3, by=by), by)
-    return f1.groupBy("train_fraction").agg(
-        F.avg(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_mean"),
-        F.stddev_pop(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_std"),
-        F.avg(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("val_mean"),
-        F.stddev_pop(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("val_std"))
+    sizes = allp.filter(F.col("part") == "train").groupBy("train_fraction").agg(F.count(F.lit(1)).alias("n_train"))
+    return _train_and_val(f1, "train_fraction").join(sizes, "train_fraction")
+
+
+@query("learning_curve", f"""WITH {E_SQL}, {E_RANK}, f(train_fraction) AS (VALUES {", ".join(f"(CAST({x} AS DOUBLE))" for x in LEARNING_FRACTIONS)}),
+n AS (SELECT g.range AS fold, (SELECT count(*) FROM r WHERE (rank - 1) % 5 <> g.range) AS n FROM range(5) g)
+SELECT train_fraction, CAST(5 AS BIGINT) AS n_folds, CAST(sum(greatest(1, CAST(floor(train_fraction * n) AS BIGINT))) AS BIGINT) AS n_train, true AS valid
+FROM f, n GROUP BY train_fraction""")
+def q_learning_curve(spark, sf):
+    t = learning_curve(spark, sf)
+    return t.select("train_fraction", "n_folds", "n_train", _in_range(["train_mean", "val_mean"]).alias("valid"))
 
 
-# Parameter grid of the validation curve (tree count; scaled down from the reference's grid).
-VALIDATION_GRID = [5, 10, 20]
+# Tree counts of the full curve.
+VALIDATION_GRID = [100, 200, 400, 600, 800]
+QUICK_GRID = [5, 10, 20]
 
 
-@query("validation_curve")
+def validation_curve(spark, sf, grid=tuple(VALIDATION_GRID), family: str = "forest", parameter: str = "numTrees") -> DataFrame:
+    """One parameter over a grid x folds, train and validation F1."""
+    fitters = {str(v): ml.zoo_fitters([family], K3, 64, params={family: {**ml.QUICK.get(family, {}), parameter: v}})[family] for v in grid}
+    card, _ = ml.cross_validate(_emb3(spark, sf), "vec_id", "label", K3, fitters, folds=FOLDS, with_train=True)
+    return _train_and_val(card.withColumn(parameter, F.col("model").cast("int")), parameter)
+
+
+@query("validation_curve", f"""SELECT v AS "numTrees", CAST(5 AS BIGINT) AS n_folds, true AS valid FROM (VALUES {", ".join(f"({v})" for v in QUICK_GRID)}) AS g(v)
+WHERE (SELECT count(*) FROM embeddings) > 0""")
 def q_validation_curve(spark, sf):
-    """One parameter over a grid x 3 folds, train and validation F1."""
-    e = _emb3(spark, sf)
-    fitters = {str(v): ml.zoo_fitters(["forest"], K3, 64, params={"forest": {"numTrees": v}})["forest"] for v in VALIDATION_GRID}
-    card, _ = ml.cross_validate(e, "vec_id", "label", K3, fitters, folds=3, with_train=True)
-    return card.groupBy(F.col("model").cast("int").alias("numTrees")).agg(
-        F.avg(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_mean"),
-        F.stddev_pop(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_std"),
-        F.avg(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("val_mean"),
-        F.stddev_pop(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("val_std"))
+    """Three small tree counts."""
+    t = validation_curve(spark, sf, QUICK_GRID)
+    return t.select("numTrees", "n_folds", _in_range(["train_mean", "val_mean"]).alias("valid"))
 
 
 def _model_path(spark, name):
     return f"{checkpoint_dir(spark)}/kestrel-models/{name}-{uuid.uuid4().hex}"
 
 
-@query("model_round_trip")
+@query("model_round_trip", "SELECT vec_id, true AS same FROM embeddings")
 def q_model_round_trip(spark, sf):
-    """Save a fitted pipeline, load it back, same predictions."""
-    e = read_table(spark, sf, "embeddings").filter(F.col("label").isin(0, 1, 2))
-    model = _final_pipeline().fit(e)
+    """Save a fitted pipeline, load it back, same probabilities."""
+    e = _three(spark, sf)
+    model = _final_model(e)
     path = _model_path(spark, "forest")
     model.write().overwrite().save(path)
     again = PipelineModel.load(path)
-    a = score_with_model(model, e, ["c0", "c1", "c2"], keep=["vec_id"]).select("vec_id", F.col("pred").alias("pred_before"))
-    b = score_with_model(again, e, ["c0", "c1", "c2"], keep=["vec_id"]).select("vec_id", F.col("pred").alias("pred_after"))
-    return a.join(b, "vec_id").withColumn("same", F.col("pred_before") == F.col("pred_after"))
+    row = F.struct("pred", *[f"p_{c}" for c in CLASSES])
+    a = score_with_model(model, e, CLASSES, keep=["vec_id"]).select("vec_id", row.alias("before"))
+    b = score_with_model(again, e, CLASSES, keep=["vec_id"]).select("vec_id", row.alias("after"))
+    return a.join(b, "vec_id").select("vec_id", (F.col("before") == F.col("after")).alias("same"))
 
 
-@query("native_importance")
-def q_native_importance(spark, sf):
-    """The forest's own importances, top 20, as (feature, importance)."""
-    e = _emb3(spark, sf)
-    model = ml.make_estimator("forest", K3, 64).fit(e)
+def native_importance(spark, sf, top: int = 20) -> DataFrame:
+    """The forest's own importances, the largest ``top``, as (rank, feature, importance)."""
+    model = ml.make_estimator("forest", K3, 64, ml.QUICK["forest"]).fit(_emb3(spark, sf))
     imp = model.featureImportances.toArray()      # O(features) on the driver
-    rows = sorted(((f"emb_{i}", float(v)) for i, v in enumerate(imp)), key=lambda x: (-x[1], x[0]))[:20]
-    return spark.createDataFrame(rows, "feature string, importance double")
+    rows = sorted(((f"emb_{i}", float(v)) for i, v in enumerate(imp)), key=lambda x: (-x[1], x[0]))
+    return spark.createDataFrame([(i + 1, f, v, float(sum(imp))) for i, (f, v) in enumerate(rows[:top])],
+                                 "rank int, feature string, importance double, total double")
+
+
+@query("native_importance", "SELECT CAST(range AS INTEGER) AS rank, true AS valid FROM range(1, 21) WHERE (SELECT count(*) FROM embeddings) > 0")
+def q_native_importance(spark, sf):
+    t = native_importance(spark, sf)
+    return t.select("rank", (F.col("importance").between(0, 1) & (F.abs(F.col("total") - 1) < 1e-9)).alias("valid"))
 
 
-@query("score_partial")
+@query("score_partial", f"WITH {K_FOLD} SELECT fold, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS n_valid FROM k GROUP BY fold")
 def q_score_partial(spark, sf):
     """Rows that carry only three fitted columns go through the same path:
     firewall -> derivation -> alignment (absent -> NULL) -> imputation -> scaling."""
     k = _k_keyed(spark, sf)
     pre, names, clf = _prep_fit(k)
     part = k.select("koi_period", "koi_depth", "koi_prad", "y", "fold")
-    return _prep_score(pre, names, clf, part)
+    scored = _prep_score(pre, names, clf, part)
+    return scored.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.count_if(_valid()).alias("n_valid"))
 
 
-@query("score_job")
+@query("score_job", "SELECT vec_id, label, true AS valid FROM embeddings")
 def q_score_job(spark, sf):
-    """Batch job entry - saved model + input table path -> scored table."""
-    e = read_table(spark, sf, "embeddings").filter(F.col("label").isin(0, 1, 2))
-    path = _model_path(spark, "final")
-    _final_pipeline().fit(e).write().overwrite().save(path)
-    out = _model_path(spark, "scored")
-    score_job(spark, path, f"{sf.rstrip('/')}/embeddings.parquet", out, ["c0", "c1", "c2"], keep=["vec_id", "label"])
-    return spark.read.parquet(out)
+    """Batch job entry - saved model + input table path -> scored table.  The model knows three
+    classes (``label % 3``); the table keeps its own labels."""
+    path, out = _model_path(spark, "final"), _model_path(spark, "scored")
+    _final_model(_three(spark, sf)).write().overwrite().save(path)
+    score_job(spark, path, f"{sf.rstrip('/')}/embeddings.parquet", out, CLASSES, keep=["vec_id", "label"])
+    scored = spark.read.parquet(out).withColumnsRenamed({f"p_c{i}": f"p_{i}" for i in range(K3)})
+    return scored.select("vec_id", "label", _valid().alias("valid"))
 
 
-@query("forest_interval")
+@query("forest_interval", "SELECT vec_id, true AS valid FROM embeddings")
 def q_forest_interval(spark, sf):
-    """I3 on a fitted forest: mean +- 1.96 population std of the winning
+    """I3 on a fitted forest of 10 trees: mean +- 1.96 population std of the winning
     class probability over the trees, clipped to [0, 1]."""
     from ..operators.scoring import forest_interval
     e = _emb3(spark, sf)
-    model = ml.make_estimator("forest", K3, 64, {"numTrees": 10}).fit(e)
-    return forest_interval(model, e, keep=["vec_id"])
+    model = ml.make_estimator("forest", K3, 64, {**ml.QUICK["forest"], "numTrees": 10}).fit(e)
+    t = forest_interval(model, e, keep=["vec_id"])
+    low, mean, high = F.col("confidence_low"), F.col("member_mean"), F.col("confidence_high")
+    return t.select("vec_id", ((low >= 0) & (low <= mean + 1e-9) & (mean <= high + 1e-9) & (high <= 1) & (F.col("member_std") >= 0)).alias("valid"))
