@@ -29,6 +29,7 @@ def main():
     from kestrel.session import checkpoint_dir, get_spark
     spark = get_spark(f"local[{cpus}]", app="kestrel-bench", shuffle_partitions=int(cpus))
     checkpoint_dir(spark)
+    spark.conf.set("spark.kestrel.scan.minPartitions", cpus)      # the bench files have one row group each
     qs = catalog.queries()
     # warm-up (JVM, Python workers), not timed
     qs["label_encode"](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -63,16 +63,19 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
                            scorer, repeats: int = 10, seed: int = SEED) -> DataFrame:
     """Drop in weighted F1 when one feature is shuffled; mean and
     population std over ``repeats``.  ``scorer(df) -> Column`` is the
-    model's predicted class code as a column expression of the features."""
+    model's predicted class code as a column expression of the features.
+
+    Positions are ranks of (key, repeat) alone; the features join last, once as the row's own and
+    once as its donor's, and each row scores all its variants in one projection."""
     base = df.select(key, label, *features)
     base_f1 = mt.averaged_scores(mt.per_class_scores(base.withColumn("pred", scorer(base)).withColumnRenamed(label, "y"), k))
-    rep = base.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    rep = base.select(key).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     a = exact_rank(rep, ["repeat"], [key, "repeat"], seed, out="pos")            # position of every row
     b = exact_rank(rep, ["repeat"], [key, "repeat"], seed + 1, out="pos")        # an independent order
-    donors = b.select("repeat", "pos", *[F.col(f).alias(f"__d_{f}") for f in features])
-    joined = a.join(donors, ["repeat", "pos"])
-    arr = F.explode(F.array(*[F.lit(f) for f in features])).alias("feature")
-    long = joined.select("*", arr)
+    pairs = a.join(b.select("repeat", "pos", F.col(key).alias("__donor")), ["repeat", "pos"]).drop("pos")
+    donors = base.select(F.col(key).alias("__donor"), *[F.col(f).alias(f"__d_{f}") for f in features])
+    joined = pairs.join(base, key).join(donors, "__donor")
+    long = joined.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
     shuffled = long.select(key, F.col(label).alias("y"), "repeat", "feature",
                            *[F.when(F.col("feature") == f, F.col(f"__d_{f}")).otherwise(F.col(f)).alias(f) for f in features])
     scored = shuffled.withColumn("pred", scorer(shuffled))
@@ -123,17 +126,21 @@ def shapley_sampled(df: DataFrame, key: str, vec: str, model, n_features: int, n
     # inverse permutation once per (row, permutation), before the steps explode
     rows = rows.withColumn("__pos", F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
                                                 lambda j: F.array_position(F.col("__order"), j) - 1))
+    # one row a step, numbered; only (row, step) and the probabilities travel, not the order
     steps = rows.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n_features))))
     hybrid = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
                          lambda j: F.when(F.col("__pos")[j] < F.col("step"), F.col("__x")[j]).otherwise(ref_arr[j]))
-    feats = steps.select(key, "perm", "step", "__order", array_to_vector(hybrid).alias("features"))
-    scored = model.transform(feats).select(key, "perm", "step", "__order", vector_to_array(F.col(prob_col)).alias("__p"))
-    w = Window.partitionBy(key, "perm").orderBy("step")
-    diffs = scored.withColumn("__prev", F.lag("__p").over(w)).filter(F.col("step") > 0)
-    arr = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), (F.col("__p")[c] - F.col("__prev")[c]).alias("d"))
-                              for c in range(n_classes)]))
-    long = diffs.select(key, "perm", F.element_at("__order", F.col("step")).alias("j"), arr.alias("s")).select(key, "perm", "j", "s.*")
-    return long.groupBy(key, "class", "j").agg(F.avg("d").alias("phi")) \
+    switched = F.when(F.col("step") > 0, F.element_at("__order", F.greatest(F.col("step"), F.lit(1))))
+    following = F.when(F.col("step") < n_features, F.element_at("__order", F.least(F.col("step") + 1, F.lit(n_features))))
+    feats = steps.select(key, switched.alias("j_in"), following.alias("j_out"), array_to_vector(hybrid).alias("features"))
+    scored = model.transform(feats).select(key, "j_in", "j_out", vector_to_array(F.col(prob_col)).alias("__p"))
+    # phi of the feature switched at a step: + the score after it, - the score before it; so each scored
+    # hybrid adds to the feature that led to it and takes from the one that follows, and the sums
+    # need no order (partial sums are combined before the shuffle)
+    arr = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), F.col(j).alias("j"), (sign * F.col("__p")[c]).alias("d"))
+                              for c in range(n_classes) for j, sign in (("j_in", 1.0), ("j_out", -1.0))]))
+    long = scored.select(key, arr.alias("s")).select(key, "s.*").filter(F.col("j").isNotNull())
+    return long.groupBy(key, "class", "j").agg((F.sum("d") / F.lit(float(permutations))).alias("phi")) \
         .select(key, "class", F.concat(F.lit("f"), F.col("j").cast("string")).alias("feature"), "phi")
 
 
@@ -158,11 +165,16 @@ def shap_by_class(phi: DataFrame, top: int = 15) -> DataFrame:
 
 def shap_local(phi: DataFrame, key: str, base: DataFrame, top: int = 12) -> DataFrame:
     """Per row, the class with the largest sum |phi| (ties: lowest class)
-    and its top features by |phi|, with the class base value."""
-    tot = phi.groupBy(key, "class").agg(F.sum(F.abs("phi")).alias("s"))
-    wc = Window.partitionBy(key).orderBy(F.col("s").desc(), "class")
-    best = tot.withColumn("__r", F.row_number().over(wc)).filter(F.col("__r") == 1).select(key, "class")
-    sel = phi.join(best, [key, "class"])
-    wf = Window.partitionBy(key).orderBy(F.abs("phi").desc(), "feature")
-    return (sel.withColumn("rank", F.row_number().over(wf)).filter(F.col("rank") <= top)
-            .join(F.broadcast(base), "class"))
+    and its top features by |phi|, with the class base value.  One grouping by row
+    (classes x features entries); the choice and the ranking are array functions."""
+    item = F.struct(F.col("class"), F.col("feature"), F.col("phi"))
+    rows = phi.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("all"))
+    total = lambda c: F.aggregate(F.filter("all", lambda x: x["class"] == c), F.lit(0.0), lambda s, x: s + F.abs(x["phi"]))
+    ranked = F.array_sort(F.transform(F.array_distinct(F.transform("all", lambda x: x["class"])),
+                                      lambda c: F.struct((-total(c)).alias("s"), c.alias("class"))))
+    best = rows.withColumn("class", ranked[0]["class"])
+    own = F.array_sort(F.transform(F.filter("all", lambda x: x["class"] == F.col("class")),
+                                   lambda x: F.struct((-F.abs(x["phi"])).alias("s"), x["feature"].alias("feature"), x["phi"].alias("phi"))))
+    out = best.select(key, "class", F.posexplode(F.slice(own, 1, top)).alias("pos", "x")).select(
+        "class", key, "x.feature", "x.phi", (F.col("pos") + 1).alias("rank"))
+    return out.join(F.broadcast(base), "class")

@@ -6,10 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+MIN_PARTITIONS = "spark.kestrel.scan.minPartitions"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table: ``{sf_dir}/{name}.parquet``, scanned as it is stored; how large a split is
-    belongs to the session settings."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table: ``{sf_dir}/{name}.parquet``, scanned as it is stored.
+
+    A Parquet file of one row group is one split, so a small table lies on one task however many cores
+    there are.  A session may ask for more with ``spark.kestrel.scan.minPartitions`` (the bench does);
+    unset, as on a cluster, no shuffle is ever added."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    wanted = int(spark.conf.get(MIN_PARTITIONS, "0"))
+    return df.repartition(wanted) if wanted else df
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = ",") -> DataFrame:
