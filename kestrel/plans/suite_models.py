@@ -25,6 +25,7 @@ from ..operators import prep
 from ..operators import split as sp
 from ..operators.neighbors import adasyn, smote
 from ..operators.scoring import score_job, score_with_model
+from ..operators.training import train_job
 from ..session import checkpoint_dir, materialize
 from ..sources.tables import read_table
 from .fixtures import FOLD_SQL, K_CLASSES, K_COLUMNS
@@ -205,6 +206,19 @@ def q_final_model(spark, sf):
     return scored.withColumnsRenamed({f"p_c{i}": f"p_{i}" for i in range(K3)}).select("vec_id", "label", _valid().alias("valid"))
 
 
+@query("train_job", f"""WITH {K_FOLD} SELECT part, n, true AS valid, CAST(9 AS BIGINT) AS n_cells FROM (
+SELECT CASE WHEN fold = 0 THEN 'test' ELSE 'train' END AS part, CAST(count(*) AS BIGINT) AS n FROM k GROUP BY 1)""")
+def q_train_job(spark, sf):
+    """The whole job: table with planted leaks -> firewall, A9, class weights, logistic model -> saved
+    pipeline, scored rows and metric tables, read back."""
+    k = materialize(_k_keyed(spark, sf, extra_leaks=True), "train-job")
+    out = _model_path(spark, "job")
+    pre = prep.build_preprocessor(target="label", passthrough=PT)
+    card = train_job(k, out, K3, "logistic", F.col("fold") == 0, "y", pre, weight=True, params=ml.QUICK["logistic"], keep=["fold"])
+    cells = spark.read.parquet(f"{out}/confusion").groupBy("part").agg(F.count(F.lit(1)).alias("n_cells"))
+    return card.join(cells, "part").select("part", "n", _in_range(ml.SCORES).alias("valid"), "n_cells")
+
+
 def _k_keyed(spark, sf, extra_leaks=False):
     """K with a hash fold (lineitem has no unique key) and optional planted leaks."""
     li = read_table(spark, sf, "lineitem")
