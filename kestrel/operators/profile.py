@@ -52,8 +52,9 @@ def missing_fraction(df: DataFrame, columns: Sequence[str] | None = None, top: i
     """A1: (column, n_missing, missing_frac) from one global aggregate of
     counts of values that are neither NULL nor NaN (no shuffle of rows), ranked by fraction desc."""
     columns = list(df.columns) if columns is None else list(columns)
-    agg = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.when(~F.isnan(c), F.lit(1)) if dict(df.dtypes)[c] in ("double", "float") else F.col(c)).alias(f"__c{i}")
-                                                           for i, c in enumerate(columns)])
+    floating = {c for c, t in df.dtypes if t in ("double", "float")}
+    known = {c: F.when(F.col(c).isNotNull() & ~F.isnan(c), F.lit(1)) if c in floating else F.col(c) for c in columns}
+    agg = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(known[c]).alias(f"__c{i}") for i, c in enumerate(columns)])
     arr = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"), F.col(f"__c{i}").alias("nn"))
                               for i, c in enumerate(columns)])).alias("s")
     out = agg.select("__n", arr).select(

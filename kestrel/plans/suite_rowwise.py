@@ -98,8 +98,9 @@ def _k(spark, sf):
 def _derive_one(names):
     """Spark builder: K -> selected derived columns (label kept)."""
     def build(spark, sf):
-        d = dict(fe.derived_columns(K_ALL))
-        return _k(spark, sf).select("label", *[d[n].alias(n) for n in names])
+        k = _k(spark, sf)
+        d = dict(fe.derived_columns(k.select(*K_ALL)))
+        return k.select("label", *[d[n].alias(n) for n in names])
     return build
 
 

@@ -88,6 +88,8 @@ def test_derivation_takes_nan_infinity_and_text(spark):
 def test_nan_is_missing_in_statistics(spark):
     df = spark.createDataFrame([(NAN, 1.0), (2.0, 2.0), (3.0, 3.0), (4.0, NAN)], "a double, b double")
     assert {r.column: r.missing_frac for r in missing_fraction(df).collect()} == {"a": 0.25, "b": 0.25}
+    holes = spark.createDataFrame([(None, 1.0), (NAN, None), (1.0, None), (2.0, None)], "a double, b double")
+    assert {r.column: r.missing_frac for r in missing_fraction(holes).collect()} == {"a": 0.5, "b": 0.75}
     assert corr_matrix(df, ["a", "b"]).first().r == pytest.approx(1.0)
     scaled = prep.Scaler().fit(df)
     assert scaled.get("means")["a"] == 3.0
