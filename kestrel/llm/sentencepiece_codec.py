@@ -24,6 +24,8 @@ SPACE = "▁"             # how pieces write a space
 LITERAL = "\ud800"           # stands for a "▁" of the text itself; cannot occur in valid text
 UNKNOWN_PENALTY = 10.0
 ZIPF_SHIFT = 2.7
+NEVER = float("-inf")
+SHORT = 64               # a text of so few characters is one window
 SPACED = re.compile(r" +[^ ]*")
 
 
@@ -43,10 +45,16 @@ class PieceModel:
         self.text = {i: p.replace(SPACE, " ").encode() for p, i in self.id.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
         self.longest = max(map(len, self.score))
         self.starts = {p[:k] for p in self.score for k in range(1, len(p))}      # proper prefixes of pieces
+        self.trie = self.with_prefixes(self.score, NEVER)
         self.unknown = min(self.score.values()) - UNKNOWN_PENALTY
         # no piece goes on after a space run ended: a boundary stands before each run of spaces
         self.space_bound = not any(SPACE in p.lstrip(SPACE) for p in self.score)
 
+    def with_prefixes(self, weights: dict, none: float) -> dict:
+        """``weights`` by piece, and ``none`` for strings that only begin a piece: one look-up tells both
+        whether a string is a piece and whether a longer one can be."""
+        return dict.fromkeys(self.starts, none) | weights
+
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in (SPACE if char == LITERAL else char).encode()]
 
@@ -59,48 +67,67 @@ def viterbi(model: PieceModel, text: str, on_window=None) -> list[int]:
     """Ids of the best segmentation of ``text`` (spaces already written as ``▁``).  Of equal sums the
     one found from the earliest start of the last piece wins.  ``on_window`` is told how many
     positions are held (tests)."""
-    ids, base = [], 0                    # base: last committed boundary
-    best, back = {0: 0.0}, {}            # by boundary position
-    score, starts, longest = model.score, model.starts, model.longest
-    n, check = len(text), longest
-    for start in range(n):
-        here = best.get(start)
-        if here is not None:
-            char = text[start]
-            value = score.get(char)
-            value = here + (model.unknown if value is None else value)
-            if value > best.get(start + 1, -np.inf):
-                best[start + 1], back[start + 1] = value, start
-            stop = start + 1
-            while text[start:stop] in starts and stop < n:
-                stop += 1
-                value = score.get(text[start:stop])
-                if value is not None and here + value > best.get(stop, -np.inf):
-                    best[stop], back[stop] = here + value, start
-        best.pop(start, None)            # every piece from here is laid; later pieces start further on
-        if start >= check:
-            check = start + longest
-            alive = {p for p in best if p > start}
-            while len(alive) > 1:        # follow the furthest path back until all paths meet
-                furthest = max(alive)
-                alive.remove(furthest)
-                alive.add(back[furthest])
-            meet = alive.pop()
-            if on_window:
-                on_window(start + longest - base)
-            if meet > base:
-                ids += _path(model, text, back, base, meet)
-                back = {p: b for p, b in back.items() if p > meet}
-                base = meet
-    return ids + _path(model, text, back, base, n)
-
-
-def _path(model, text, back, base, end):
+    if len(text) <= SHORT:
+        best, back = [0.0] + [NEVER] * len(text), [0] * (len(text) + 1)
+        _lay(model, text, 0, len(text), best, back)
+        return _path(model, text, back, 0, len(text))
+    ids, base, longest, n = [], 0, model.longest, len(text)      # base: last committed boundary
+    best, back = [0.0], [0]              # by boundary position, from ``base`` on
+    at = 0                               # pieces are laid from every position before this one
+    while at < n:
+        stop = min(at + longest, n)
+        size = min(stop + longest, n) - base + 1
+        best += [NEVER] * (size - len(best))
+        back += [0] * (size - len(back))
+        part = text[base:base + size - 1]
+        _lay(model, part, at - base, stop - base, best, back)
+        at = stop
+        if on_window:
+            on_window(size)
+        if at == n:
+            break
+        # only boundaries that pieces laid so far reach can be extended; where do their paths meet?
+        alive = {p for p in range(at - base, size) if best[p] > NEVER}
+        while len(alive) > 1:            # follow the furthest path back
+            furthest = max(alive)
+            alive.remove(furthest)
+            alive.add(back[furthest])
+        meet = alive.pop()
+        if meet:
+            ids += _path(model, part, back, 0, meet)
+            best, back, base = best[meet:], [b - meet for b in back[meet:]], base + meet
+    return ids + _path(model, text[base:], back, 0, n - base)
+
+
+def _lay(model: PieceModel, text: str, start: int, stop: int, best: list, back: list):
+    """Try every piece that begins at a position from ``start`` to before ``stop``."""
+    get, n, unknown = model.trie.get, len(text), model.unknown
+    for begin in range(start, stop):
+        here, end = best[begin], begin + 1
+        value = get(text[begin])
+        if value is None or value == NEVER:
+            if here + unknown > best[end]:
+                best[end], back[end] = here + unknown, begin
+        while value is not None:
+            if here + value > best[end]:
+                best[end], back[end] = here + value, begin
+            end += 1
+            if end > n:
+                break
+            value = get(text[begin:end])
+
+
+def _path(model, text, back, start, end):
+    """Ids of the pieces on the best path from ``start`` to ``end``."""
     out = []
-    while end > base:
+    while end > start:
         out.append(text[back[end]:end])
         end = back[end]
-    return [i for piece in reversed(out) for i in model.emit(piece)]
+    out.reverse()
+    try:
+        return [model.id[p] for p in out]
+    except KeyError:                     # a character outside the vocabulary
+        return [i for p in out for i in model.emit(p)]
 
 
 class PieceEncoder:
