@@ -432,6 +432,11 @@ class Rewriter:
                 for made in self.vary(x):
                     label[id(made)] = 1
         keep = [x for x in blocks(root) if label.get(id(x)) == 1 and x.parent is not None and label.get(id(x.parent), 0) != 1]
+        if keep and self.rng.random() < 0.1:                     # a very short article
+            whole = keep[0]
+            whole.items = [x for x in whole.items if type(x) is Node][:int(self.rng.integers(1, 4))]
+            for x in whole.children:
+                x.items = [self.prose(int(self.rng.integers(1, 8)))]
         if keep and self.rng.random() < 0.3:                     # a part that is not the article inside it
             extra = self.other()
             extra.parent = keep[0]
@@ -476,6 +481,19 @@ def blocks_of(node: Node):
 
 # ---------------------------------------------------------------- decoding
 
+INHERITED = 0.25         # share of its parent's log odds that an element takes on
+
+
+def inherit(nodes: list[Node], odds: np.ndarray) -> np.ndarray:
+    """Log odds with what the element's ancestors say: doubt about one paragraph doesn't drop it out of a
+    certain article, nor does it lift one out of a certain menu."""
+    out = odds.copy()
+    out[0] = 0
+    for k in range(1, len(nodes)):
+        out[k] += INHERITED * out[nodes[k].parent.number]
+    return out
+
+
 def decode(nodes: list[Node], odds: np.ndarray) -> np.ndarray:
     """Which elements are kept: the largest sum of log odds with no element kept under a dropped one.
     The root is always open and has no say."""
@@ -540,7 +558,13 @@ def extract(pages: list[str], trees: Trees | None) -> list[str]:
         return [page_text(root, np.ones(len(nodes), bool)) for root, nodes in read]
     odds = trees.decision(np.concatenate([describe(nodes) for _, nodes in read]))
     ends = np.cumsum([len(nodes) for _, nodes in read])
-    return [page_text(root, decode(nodes, odds[end - len(nodes):end])) for (root, nodes), end in zip(read, ends.tolist())]
+    out = []
+    for (root, nodes), end in zip(read, ends.tolist()):
+        keep = decode(nodes, inherit(nodes, odds[end - len(nodes):end]))
+        if len(nodes) == 2 and nodes[1].tag == "p" and not nodes[1].tokens:
+            keep[1] = True               # nothing but one paragraph: there is no other part to tell it from
+        out.append(page_text(root, keep))
+    return out
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = 300, most_chars: int = 20_000, copies: int = 4,
