@@ -20,9 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, batch_of, shared_folder, slices, written
+from .common import batch_of, shared_folder, slices, written
 
-PLAIN = re.compile(r" (?=\s|\Z)")          # a space that white space or the end follows
 BEFORE_WORD = re.compile(r" (?=\S)")
 
 
@@ -31,21 +30,63 @@ class ChunkEncoder:
 
     The vocabulary's pre-tokenizer always starts a new piece at a space that stands before a
     non-space character, and merges never cross pieces; so a text may be cut there and the
-    chunks encoded one by one without changing any id."""
+    chunks encoded apart without changing any id.  Chunks not met before are encoded together
+    in one string (a call a chunk would cost more than the merges), and the ids are dealt back
+    by their lengths in bytes."""
 
-    def __init__(self, tokenizer_path: str):
+    TOGETHER = 2000
+
+    def __init__(self, tokenizer_path: str, limit: int = 1 << 19):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        vocabulary = self.tokenizer.get_vocab()
+        self.code = "H" if len(vocabulary) <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        self.memo = Memo(lambda chunk: self.ids(" " + chunk))
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)        # bytes of each token: a character stands for a byte
+        for token, i in vocabulary.items():
+            self.size[i] = len(token)
+        self.memo, self.old, self.limit = {}, {}, limit
 
     def ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        chunks = text.split(" ") if PLAIN.search(text) is None else BEFORE_WORD.split(text)
-        return self.ids(chunks[0]) + b"".join(map(self.memo.__getitem__, chunks[1:]))
+    def learn(self, chunks: list[str]):
+        """Remember the ids of chunks (each as it stands after a space)."""
+        for at in range(0, len(chunks), self.TOGETHER):
+            some = chunks[at:at + self.TOGETHER]
+            text = " " + " ".join(some)
+            if self.special(text):
+                self.memo.update((c, self.ids(" " + c)) for c in some)
+                continue
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.cumsum([1 + len(c.encode()) for c in some])
+            cuts = np.searchsorted(np.cumsum(self.size[ids]), ends) + 1      # a chunk ends where a token ends
+            raw, width, start = ids.tobytes(), self.dtype.itemsize, 0
+            for chunk, stop in zip(some, cuts.tolist()):
+                self.memo[chunk] = raw[start * width:stop * width]
+                start = stop
+
+    @staticmethod
+    def special(text: str) -> bool:
+        """A special token's name in the text has a length of its own."""
+        return "<|" in text
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        parts = [t.split(" ") for t in texts]
+        fresh = set().union(*[p[1:] for p in parts]).difference(self.memo)
+        # a space that white space or the end follows is no border; such chunks are never remembered
+        odd = {c for c in fresh if not c or c[0].isspace()}
+        if odd:
+            parts = [p if odd.isdisjoint(p[1:]) else BEFORE_WORD.split(t) for p, t in zip(parts, texts)]
+            fresh = set().union(*[p[1:] for p in parts]).difference(self.memo)
+        if len(self.memo) + len(fresh) > self.limit:         # the old generation keeps what this slice needs
+            self.old, self.memo = self.memo, {}
+            fresh = set().union(*[p[1:] for p in parts])
+        known = fresh.intersection(self.old)
+        self.memo.update((c, self.old[c]) for c in known)
+        self.learn(list(fresh - known))
+        get = self.memo.__getitem__
+        return [self.ids(p[0]) + b"".join(map(get, p[1:])) for p in parts]
 
 
 class SequenceWriter:
@@ -105,8 +146,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
                 index_schema = pa.schema([batch.schema.field(0), ("at", pa.int64()), ("n_tokens", pa.int64())])
                 index = pa.ipc.new_file(index_stream, index_schema)
             at, sizes = [], []
-            for text in batch.column(1).to_pylist():
-                ids = encode(text) + end
+            for ids in encode(batch.column(1).to_pylist()):
+                ids += end
                 at.append(writer.tokens)
                 sizes.append(len(ids) // encode.dtype.itemsize)
                 writer.add(ids)
