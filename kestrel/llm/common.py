@@ -6,7 +6,7 @@ import string
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.session import checkpoint_dir
@@ -54,6 +54,27 @@ def held_out(id_col: Column, modulus: int, rest: int) -> Column:
     return F.coalesce(remainder(id_col, modulus) == rest, F.lit(False))
 
 
+def hash_below(h: Column, share: float) -> Column:
+    """True for the smallest ``share`` of all 64-bit hashes ``h``.  The share is not rounded, so that a
+    bounded sample of any number of rows finds its rows."""
+    top = int(share * 2 ** 64) - 2 ** 63
+    return F.lit(True) if top >= 2 ** 63 else h <= F.lit(top)
+
+
+def smallest_hashes(rows: DataFrame, keys: list[str], most: int, group: str) -> tuple[DataFrame, dict]:
+    """(rows, distinct rows by group, estimated): of each value of ``group`` the ``most`` rows (all, if there
+    are fewer) whose ``keys`` have the smallest hashes.  Copies of a row count once, so that they fill no
+    sample; only about twice the rows asked for are moved."""
+    h = F.xxhash64(*keys)
+    sizes = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.approx_count_distinct(h).alias("n")).collect()}
+    near = F.lit(False)
+    for value, n in sizes.items():
+        near = F.when(F.col(group) == F.lit(value), hash_below(h, min(1.0, (2 * most + 50) / n))).otherwise(near)
+    place = F.row_number().over(Window.partitionBy(group).orderBy(h, *keys))
+    picked = rows.where(near).dropDuplicates([group, *keys]).withColumn("__place", place).where(F.col("__place") <= most).drop("__place")
+    return picked, sizes
+
+
 def slices(batches, rows: int = SLICE):
     """Arrow batches in short slices, so few Python objects live at a time."""
     for batch in batches:

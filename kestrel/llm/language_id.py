@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, smallest_hashes
 
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -120,17 +121,6 @@ def document_frequency(rows: DataFrame) -> tuple[np.ndarray, int]:
     return df[:BUCKETS], int(df[BUCKETS])
 
 
-def sample_rows(rows: DataFrame, label: str, per_label: int) -> DataFrame:
-    """At most about ``per_label`` rows of each label, picked by a hash of the row; ``limit`` makes the
-    bound hard when many rows are copies of each other."""
-    sizes = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    pick = F.pmod(F.xxhash64("id", "t"), F.lit(1_000_000))
-    share = F.lit(0)
-    for value, n in sizes.items():
-        share = F.when(F.col(label) == F.lit(value), F.lit(int(min(1.0, per_label / n) * 1_000_000))).otherwise(share)
-    return rows.where(pick < share).limit(2 * per_label * max(1, len(sizes)))
-
-
 def ftrl(x: list, y: np.ndarray, classes: int, epochs: int, alpha: float, beta: float, l1: float, l2: float, seed: int):
     """Weights (buckets + 1 x classes; the last row is the bias, not penalised) from sparse rows
     ``x`` of (bucket ids, values)."""
@@ -176,8 +166,9 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
           per_label: int = 1500, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01,
           seed: int = 7) -> LanguageModel | None:
     """Fit on the rows where ``learn`` holds and language and text are not null.  Document frequencies
-    cover all of them; the classifier is fitted on a sample of about ``per_label`` rows a language (never
-    more than twice that on average), of which every fifth sets the temperature.  None without rows."""
+    cover all of them; the classifier is fitted on ``per_label`` distinct rows of each language (all, if it
+    has fewer), of which every fifth sets the temperature.  None without rows; a language that has rows
+    but none in the sample is an error."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("y"))
     df, total = document_frequency(rows)
@@ -187,14 +178,19 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         for batch in slices(batches, GROUP):
-            n, known = group_counts(batch.column(0).to_pylist())
-            at = np.flatnonzero(known)
+            n, _ = group_counts(batch.column(0).to_pylist())
+            at = range(batch.num_rows)
             ids = [np.flatnonzero(n[k]) for k in at]
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(at)), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
                                               pa.array([n[k][i].astype(np.int32) for k, i in zip(at, ids)], pa.list_(pa.int32()))],
                                              names=["y", "ids", "n"])
 
-    got = sample_rows(rows, "y", per_label).select("t", "y").mapInArrow(run, "y string, ids array<int>, n array<int>").toArrow()
+    picked, sizes = smallest_hashes(rows, ["id", "t"], per_label, "y")
+    got = picked.select("t", "y").mapInArrow(run, "y string, ids array<int>, n array<int>").toArrow()
+    lost = sizes.keys() - set(got["y"].to_pylist())
+    if lost:
+        raise RuntimeError(f"languages with rows but without a training row: {sorted(lost)}")
+    got = got.filter(pc.greater(pc.list_value_length(got["ids"]), 0))         # texts without a letter teach nothing
     if not got.num_rows:
         return None
     labels = sorted(set(got["y"].to_pylist()))

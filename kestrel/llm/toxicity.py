@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, slices, text_bytes
+from .common import Memo, slices, smallest_hashes, text_bytes, written
 
 HASHES = 1 << 24         # word hashes; only those met in LEAST_TEXTS training texts get an embedding of their own
 LEAST_TEXTS = 5
@@ -208,20 +208,19 @@ def _calibrate(model: ToxicityModel, logits: np.ndarray, language: np.ndarray, y
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           per_class: int = 2000, most_words: int = 4000) -> ToxicityModel | None:
-    """Fit on labelled rows where ``learn`` (over the labels' id) holds: a sample of at most about ``per_class``
-    rows of each label, of texts of at most ``most_words`` words (bounds of the training set alone;
-    scoring reads whole texts).  None if no labelled row is left."""
+    """Fit on labelled rows where ``learn`` (over the labels' id) holds and the id has a text: a sample of
+    ``per_class`` ids of each label (all, if there are fewer), of texts of at most ``most_words`` words (bounds
+    of the training set alone; scoring reads whole texts).  None if no labelled row is left; a label that has
+    rows but none in the sample is an error."""
+    texts = docs.select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("t"))
     known = labels.where(learn & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
-    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = written(known.join(texts.select("id"), "id", "left_semi"), "toxicity-labels")
+    picked, sizes = smallest_hashes(known, ["id"], per_class, "y")
     if not sizes:
         return None
-    pick = F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1_000_000))
-    share = F.lit(0)
-    for value, n in sizes.items():
-        share = F.when(F.col("y") == value, F.lit(int(min(1.0, per_class / n) * 1_000_000))).otherwise(share)
-    known = known.where(pick < share).limit(4 * per_class)       # bounded by the parameter: a few thousand ids
-    texts = docs.select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("t"))
-    sample = texts.join(F.broadcast(known), "id").select("id", "t", "y").limit(8 * per_class)
+    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id", "t")))
+    sample = (texts.join(F.broadcast(picked), "id").dropDuplicates(["id", "t"])        # a few thousand ids, bounded by the parameter
+              .withColumn("place", place).where(F.col("place") <= 4 * per_class).select("id", "t", "y"))
 
     def run(batches):
         rows = Rows()
@@ -232,8 +231,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
                                               pa.array([g[2].astype(np.int32) for g in got], pa.list_(pa.int32()))], names=["y", "language", "hashes"])
 
     got = sample.mapInArrow(run, "y int, language int, hashes array<int>").toArrow()
-    if not got.num_rows:
-        return None
+    lost = sizes.keys() - set(got["y"].to_pylist())
+    if lost:
+        raise RuntimeError(f"labels with rows but without a text of at most {most_words} words in the sample: {sorted(lost)}")
     rows = [np.array(r.values, np.int64) for r in got["hashes"]]
     order = sorted(range(len(rows)), key=lambda k: (len(rows[k]), zlib.crc32(rows[k].tobytes())))     # whatever the partitions
     y, language = got["y"].to_numpy()[order].astype(np.int64), got["language"].to_numpy()[order]

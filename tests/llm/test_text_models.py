@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from kestrel.llm import language_id, lattice, sentencepiece_codec, token_files, toxicity
-from kestrel.llm.common import shared_folder
+from kestrel.llm.common import hash_below, shared_folder, smallest_hashes
 from kestrel.llm.queries import PIECES, TOKENIZER, vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, toxic string, ids string"
@@ -241,6 +241,34 @@ def test_temperature_lowers_the_loss():
     assert abs(language_id.fit_temperature(z * 5, y) - 5 * language_id.fit_temperature(z, y)) < 0.2
 
 
+def test_a_sample_of_any_number_of_rows_has_rows(spark, monkeypatch):
+    """A group estimated at 2e12 rows: the share is far below a millionth and still a share."""
+    h = F.xxhash64("id")
+    share = spark.range(1 << 20).where(hash_below(h, 3e-5)).count()
+    assert 10 < share < 70
+    asked = spark.range(1).select(hash_below(F.lit(-(1 << 63) + 10**7), 1550 / 2e12).alias("a"), hash_below(F.lit(0), 1550 / 2e12).alias("b")).first()
+    assert asked.a and not asked.b
+    rows = spark.range(5000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
+    many = rows.unionByName(rows.where("id = 10").crossJoin(spark.range(3000).select()))         # one row as most of its group
+    got, sizes = smallest_hashes(many, ["id"], 200, "y")
+    assert {r.y: r["count"] for r in got.groupBy("y").count().collect()} == {0: 200, 1: 200} and got.distinct().count() == 400
+    assert sizes.keys() == {0, 1}
+
+
+def test_copies_of_one_row_crowd_no_language_out(spark):
+    rows = [(1, "the same words again and again", "en")] * 3000 + [(i, f"ein Satz mit Nummer {'abcdefghij'[i % 10] * 3} darin", "de") for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs, F.lit(True), per_label=40)
+    assert model.labels == ["de", "en"]
+
+
+def test_a_label_without_a_training_row_is_an_error(spark):
+    docs = spark.createDataFrame([(i, "word " * (30 if i else 9000)) for i in range(12)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") == 0).cast("int").alias("toxic"))
+    with pytest.raises(RuntimeError, match="without a text"):
+        toxicity.train(docs, labels, F.lit(True))
+
+
 # ---------------------------------------------------------------- toxicity
 
 def test_toxicity_held_out_and_awkward_rows(spark):
