@@ -25,6 +25,7 @@ LEAST_TEXTS = 5
 WIDTHS = (1, 2, 3)
 FILTERS = 8              # of each width
 DIM = 8
+BINS, FAR = 128, 64      # logit histogram: bins a unit, and the largest logit told apart
 BLOCK = 1 << 16          # words of one text looked up at once
 STRIP = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
@@ -123,17 +124,12 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(hashes: list[np.ndarray], language: np.ndarray, y: np.ndarray, epochs: int = 6, rate: float = 0.03, seed: int = 11) -> ToxicityModel:
+def fit(hashes: list[np.ndarray], y: np.ndarray, epochs: int = 6, rate: float = 0.03, seed: int = 11) -> ToxicityModel:
     """Stochastic gradient descent on the log loss, classes weighted to equal mass.  The first embedding
     dimension starts as each word's signed root of the likelihood ratio between the classes, so that
-    the maxima look at telling words from the start.  A fifth of the rows is kept out of the descent
-    and sets thresholds."""
+    the maxima look at telling words from the start.  Thresholds are left at zero."""
     rng = np.random.default_rng(seed)
-    aside = np.zeros(len(y), bool)
-    for c in (0, 1):
-        own = np.flatnonzero(y == c)
-        aside[own[::5]] = len(own) >= 10
-    inside = np.flatnonzero(~aside)
+    inside = np.arange(len(y))
     seen: tuple[dict, dict] = ({}, {})
     for k in inside:
         for h in np.unique(hashes[k]).tolist():
@@ -175,69 +171,116 @@ def fit(hashes: list[np.ndarray], language: np.ndarray, y: np.ndarray, epochs: i
                     filters[w][j] -= step * embedding[hit].T * d
                     np.add.at(embedding, hit, -step * move.T)
         embedding[PAD] = 0
-    model.prepare()
-    logits = np.array([model.logit(rows[k]) for k in range(len(y))])
-    _calibrate(model, logits, language, y, np.flatnonzero(aside) if aside.any() else np.arange(len(y)))
-    return model
-
-
-def _best_threshold(logits: np.ndarray, y: np.ndarray) -> float:
-    """Mid-point between neighbouring logits with the best F1 (of ties, the lowest)."""
-    order = np.argsort(-logits, kind="stable")
-    z, t = logits[order], y[order]
-    hits = np.cumsum(t)
-    f1 = 2 * hits / (np.arange(1, len(t) + 1) + t.sum())
-    ends = np.append(z[:-1] > z[1:], True)
-    best = int(np.argmax(np.where(ends, f1, -1) + 1e-12 * np.arange(len(z))))
-    return float((z[best] + z[best + 1]) / 2) if best + 1 < len(z) else float(z[best] - 1)
-
-
-def _calibrate(model: ToxicityModel, logits: np.ndarray, language: np.ndarray, y: np.ndarray, rows: np.ndarray, least: int = 10):
-    """Thresholds by language from the calibration rows; a language with fewer than ``least`` toxic rows
-    takes the threshold of all together.  One class alone keeps the threshold beyond all logits."""
-    if len(set(y[rows].tolist())) < 2:
-        model.threshold[:] = logits.max() + 5 if not y.any() else logits.min() - 5
+    return model.prepare()
+
+
+def _best_threshold(bins: np.ndarray, n: np.ndarray) -> float:
+    """Middle of the gap below the histogram bin from which on toxic has the best F1 (of ties, the lowest).
+    ``bins``: numbers in ascending order; ``n``: weight of clean and toxic rows in each."""
+    bins, n = bins[::-1], n[::-1]
+    hits = np.cumsum(n[:, 1])
+    f1 = 2 * hits / (np.cumsum(n.sum(axis=1)) + hits[-1])
+    best = int(np.flatnonzero(f1 >= f1.max() - 1e-12)[-1])
+    low = bins[best] / BINS
+    return float((low + (bins[best + 1] + 1) / BINS) / 2) if best + 1 < len(bins) else float(low - 1)
+
+
+def _calibrate(model: ToxicityModel, found: np.ndarray, least: int = 10):
+    """Thresholds by language from ``found``, a row for each language, label, length (1: may be in the
+    descent), place (1: was in the descent) and logit bin with its number of rows.
+
+    Rows of the descent have no say; the others of their label and length weigh for them, so that every
+    label and length has the mass it has in all learnable rows, however large the descent's share.  A
+    language with fewer than ``least`` rows of a label takes the threshold of all together.  One class alone
+    keeps the threshold beyond all logits."""
+    language, y, short, inside, at, n = found.T
+    if len(set(y.tolist())) < 2:
+        model.threshold[:] = at.max() / BINS + 5 if not y.any() else at.min() / BINS - 5
         return
-    overall = _best_threshold(logits[rows], y[rows])
-    model.threshold[:] = overall
+    weight = np.zeros(len(n))
+    for c in (0, 1):
+        for length in (0, 1):
+            own = (y == c) & (short == length)
+            out = own & (inside == 0)
+            use = out if out.any() else own              # a handful of rows, all in the descent
+            if use.any():
+                weight[use] = n[use] * (n[own].sum() / n[use].sum())
+
+    def best(rows):
+        bins, place = np.unique(at[rows], return_inverse=True)
+        mass = np.zeros((len(bins), 2))
+        np.add.at(mass, (place, y[rows]), weight[rows])
+        return _best_threshold(bins, mass)
+
+    model.threshold[:] = best(weight > 0)
     for k in range(len(LANGUAGES)):
-        own = rows[language[rows] == k]
-        if min(y[own].sum(), (1 - y[own]).sum()) >= least:
-            model.threshold[k] = _best_threshold(logits[own], y[own])
+        own = (language == k) & (weight > 0)
+        if min(n[own & (y == c)].sum() for c in (0, 1)) >= least:
+            model.threshold[k] = best(own)
+
+
+def calibration(texts: DataFrame, known: DataFrame, descent: DataFrame, model: ToxicityModel, most_words: int) -> np.ndarray:
+    """Counts of all labelled rows by language, label, length, place and logit bin.  Texts are scored where
+    they lie; only their ids and bins meet the labels in a shuffle join."""
+    def run(batches):
+        model.prepare()
+        rows = Rows(model.row_of)
+        for batch in slices(batches):
+            told = [rows(t) for t in batch.column(1).to_pylist()]
+            at = np.clip(np.floor(np.array([model.logit(padded(r)) for r, _ in told]) * BINS), -FAR * BINS, FAR * BINS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for _, k in told], pa.int32()),
+                                              pa.array([int(len(r) <= most_words) for r, _ in told], pa.int32()), pa.array(at.astype(np.int32))],
+                                             names=["id", "language", "short", "bin"])
+
+    model.tables = None
+    id_type = texts.schema["id"].dataType.simpleString()
+    scored = texts.select("id", "t").mapInArrow(run, f"id {id_type}, language int, short int, bin int")
+    marked = known.join(F.broadcast(descent.withColumn("inside", F.lit(1))), "id", "left")
+    keys = ["language", "y", "short", "inside", "bin"]
+    got = (scored.join(marked, "id").withColumn("inside", F.coalesce("inside", F.lit(0)) * F.col("short"))
+           .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).orderBy(*keys).toArrow())
+    return np.stack([got[c].to_numpy().astype(np.int64) for c in [*keys, "n"]], axis=1)
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           per_class: int = 2000, most_words: int = 4000) -> ToxicityModel | None:
-    """Fit on labelled rows where ``learn`` (over the labels' id) holds and the id has a text: a sample of
-    ``per_class`` ids of each label (all, if there are fewer), of texts of at most ``most_words`` words (bounds
-    of the training set alone; scoring reads whole texts).  None if no labelled row is left; a label that has
-    rows but none in the sample is an error."""
+    """Fit on labelled rows where ``learn`` (over the labels' id) holds and the id has a text: the descent takes
+    a sample of ``per_class`` ids of each label (four fifths of them, if there are fewer), of texts of at most
+    ``most_words`` words (bounds of the descent alone; scoring reads whole texts).  All labelled rows that are
+    not in the descent set the thresholds.  None if no labelled row is left; a label that has rows but
+    none in the sample is an error."""
     texts = docs.select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("t"))
     known = labels.where(learn & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
     known = written(known.join(texts.select("id"), "id", "left_semi"), "toxicity-labels")
-    picked, sizes = smallest_hashes(known, ["id"], per_class, "y")
-    if not sizes:
+    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
         return None
+    # every fifth row by hash never descends; a label too small for that gives all its rows
+    small = [c for c, n in counts.items() if n < 10]
+    apart = (F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(5)) == 0) & ~F.col("y").isin(small)
+    picked, _ = smallest_hashes(known.where(~apart), ["id"], per_class, "y")
+    picked = written(picked, "toxicity-descent")
     place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id", "t")))
     sample = (texts.join(F.broadcast(picked), "id").dropDuplicates(["id", "t"])        # a few thousand ids, bounded by the parameter
-              .withColumn("place", place).where(F.col("place") <= 4 * per_class).select("id", "t", "y"))
+              .withColumn("place", place).where(F.col("place") <= 4 * per_class).select("t", "y"))
 
     def run(batches):
         rows = Rows()
         for batch in slices(batches):
-            got = [(i, y, *rows(t)) for i, t, y in zip(*(c.to_pylist() for c in batch.columns))]
-            got = [g for g in got if len(g[2]) <= most_words]
-            yield pa.RecordBatch.from_arrays([pa.array([g[1] for g in got], pa.int32()), pa.array([g[3] for g in got], pa.int32()),
-                                              pa.array([g[2].astype(np.int32) for g in got], pa.list_(pa.int32()))], names=["y", "language", "hashes"])
+            got = [(y, rows(t)[0]) for t, y in zip(*(c.to_pylist() for c in batch.columns))]
+            got = [g for g in got if len(g[1]) <= most_words]
+            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in got], pa.int32()),
+                                              pa.array([r.astype(np.int32) for _, r in got], pa.list_(pa.int32()))], names=["y", "hashes"])
 
-    got = sample.mapInArrow(run, "y int, language int, hashes array<int>").toArrow()
-    lost = sizes.keys() - set(got["y"].to_pylist())
+    got = sample.mapInArrow(run, "y int, hashes array<int>").toArrow()
+    lost = counts.keys() - set(got["y"].to_pylist())
     if lost:
         raise RuntimeError(f"labels with rows but without a text of at most {most_words} words in the sample: {sorted(lost)}")
     rows = [np.array(r.values, np.int64) for r in got["hashes"]]
     order = sorted(range(len(rows)), key=lambda k: (len(rows[k]), zlib.crc32(rows[k].tobytes())))     # whatever the partitions
-    y, language = got["y"].to_numpy()[order].astype(np.int64), got["language"].to_numpy()[order]
-    return fit([rows[k] for k in order], language, y)
+    model = fit([rows[k] for k in order], got["y"].to_numpy()[order].astype(np.int64))
+    _calibrate(model, calibration(texts, known, picked.select("id"), model, most_words))
+    return model
 
 
 def predict(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -289,6 +289,37 @@ def test_toxicity_held_out_and_awkward_rows(spark):
     assert {r.score for r in toxicity.predict(docs.limit(3), None).collect()} == {0.0}
 
 
+def test_thresholds_do_not_move_with_the_share_in_the_descent():
+    """The same rows with a tenth, half or most of the clean ones in the descent: one threshold."""
+    rng = np.random.default_rng(5)
+    made = []
+    for kept in ((0.9, 0.9), (0.5, 0.1), (0.1, 0.9)):
+        found = []
+        for c, (mean, size) in enumerate(((-1.0, 900_000), (1.0, 100_000))):
+            bins, n = np.unique(np.floor(rng.normal(mean, 1, size) * toxicity.BINS).astype(int), return_counts=True)
+            out = rng.binomial(n, kept[c])
+            found += [(0, c, 1, place, b, m) for b, o, i in zip(bins, out, n - out) for place, m in ((0, o), (1, i)) if m]
+        model = toxicity.ToxicityModel({}, None, {}, None, None, 0.0, np.zeros(5))
+        toxicity._calibrate(model, np.array(found))
+        made.append(model.threshold[0])
+    assert max(made) - min(made) < 0.15
+    grid = np.linspace(-2, 4, 601)                        # F1 of two normals at 10 % toxic
+    above = lambda mean: np.array([0.5 * math.erfc((g - mean) / math.sqrt(2)) for g in grid])
+    f1 = 2 * 0.1 * above(1) / (0.1 * above(1) + 0.9 * above(-1) + 0.1)
+    assert abs(np.mean(made) - grid[f1.argmax()]) < 0.15
+
+
+def test_all_labelled_rows_are_calibrated(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "_calibrate", lambda model, found: seen.append(found))
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    toxicity.train(spark.read.parquet(f"{sf}/documents.parquet"), labels, F.lit(True), per_class=100)
+    y, inside, n = seen[0][:, 1], seen[0][:, 3], seen[0][:, 5]
+    assert [n[y == c].sum() for c in (0, 1)] == [labels.where(F.col("toxic") == c).count() for c in (0, 1)]
+    assert all(n[(y == c) & (inside == 1)].sum() <= 100 for c in (0, 1))
+
+
 def test_maxima_in_blocks_equal_maxima_at_once(monkeypatch):
     rng = np.random.default_rng(3)
     model = toxicity.ToxicityModel({}, rng.normal(size=(50, toxicity.DIM)), {w: rng.normal(size=(w, toxicity.DIM, toxicity.FILTERS)) for w in toxicity.WIDTHS},
