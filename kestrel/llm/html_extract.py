@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+import warnings
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, smallest_hashes
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|itemprop|style|hidden|aria-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -569,15 +570,17 @@ def extract(pages: list[str], trees: Trees | None) -> list[str]:
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = 300, most_chars: int = 20_000, copies: int = 4,
           rounds: int = 120, depth: int = 4, seed: int = 5) -> Trees | None:
-    """Fit on at most about ``sample`` pages of at most ``most_chars`` characters (bounds of the training set
-    alone; extraction reads whole pages).  None if no sample page states its article."""
-    known = pages.where(F.col(html_col).isNotNull() & (F.length(html_col) <= most_chars)).select(F.col(html_col).alias("h"))
-    total = known.count()
-    if not total:
-        return None
-    share = min(1.0, sample / total)
-    picked = known.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(2 * sample)
-    data = training_rows(sorted({r["h"] for r in picked.collect()}), copies, seed)
+    """Fit on the ``sample`` distinct page contents (all, if there are fewer) of at most ``most_chars`` characters
+    with the smallest hashes (bounds of the training set alone; extraction reads whole pages).  None, with
+    a warning if there are pages, if no sample page states its article."""
+    known = pages.where(F.col(html_col).isNotNull() & (F.length(html_col) <= most_chars)).select(F.col(html_col).alias("h"), F.lit(0).alias("g"))
+    picked, sizes = smallest_hashes(known, ["h"], sample, "g")
+    found = sorted(r["h"] for r in picked.collect())
+    if sizes and not found:
+        raise RuntimeError("pages to learn from, but none in the sample")
+    data = training_rows(found, copies, seed)
+    if data is None and (found or not pages.where(F.col(html_col).isNotNull()).isEmpty()):
+        warnings.warn(f"no page of at most {most_chars} characters in the sample of {len(found)} states its article: all visible text is kept")
     return None if data is None else Trees.fit(*data, rounds=rounds, depth=depth)
 
 

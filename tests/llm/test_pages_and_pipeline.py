@@ -119,6 +119,25 @@ def test_decoding_never_keeps_below_a_dropped_parent(trees):
     assert keep.tolist() == [True, True, False, False, True, False, False]
 
 
+def test_trees_learn_from_distinct_pages_at_any_size(spark, monkeypatch):
+    """Copies of one page hold most of the rows: the sample still has as many pages as asked for."""
+    taught = []
+    monkeypatch.setattr(html_extract, "training_rows", lambda found, copies, seed: taught.append(found))
+    some = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").where("length(html) <= 20000")
+    first = some.orderBy(F.xxhash64("html")).limit(1)
+    many = some.unionByName(first.crossJoin(spark.range(2000).select()))
+    with pytest.warns(UserWarning, match="all visible text"):
+        html_extract.train(many, sample=40)
+    assert len(taught[0]) == len(set(taught[0])) == 40
+    want = {r.html for r in some.select("html").distinct().orderBy(F.xxhash64("html")).limit(40).collect()}
+    assert set(taught[0]) == want
+
+
+def test_pages_that_teach_nothing_are_reported(spark):
+    with pytest.warns(UserWarning, match="all visible text"):
+        assert html_extract.train(pages(spark, [(1, "u", "<p>" + "x" * 30_000)])) is None
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
