@@ -204,6 +204,45 @@ def test_lattice_awkward_rows(spark):
     assert lattice.score_documents(df.limit(0), F.lit(True), vocabulary(PIECES)).count() == 0
 
 
+def decimal_marginal(model, word):
+    """All segmentations summed in decimals with an exponent of any size."""
+    from decimal import Decimal
+    text = lattice.escaped(word.encode())
+    weight = {p: Decimal(s).exp() for p, s in model.score.items() if p in text}
+    total = [Decimal(1)] + [Decimal(0)] * len(text)
+    for i, char in enumerate(text):
+        if char not in weight:
+            total[i + 1] += total[i] * Decimal(lattice.outside(char)).exp()
+        for j in range(i + 1, min(len(text), i + model.longest) + 1):
+            if text[i:j] in weight:
+                total[j] += total[i] * weight[text[i:j]]
+    return total[-1]
+
+
+def test_long_unseen_words_keep_their_own_probability(spark, model):
+    from decimal import Decimal
+    words = ["zq", "the" * 300, "thering" * 600, "日本語" * 700, "x9/" * 1500]
+    rows = spark.createDataFrame([(w.encode(), [0, 0], 1) for w in words] + [(b"seen" * 400, [3, 0], 3)], "word binary, c array<bigint>, n long")
+    tokens, types = [100, 40], [20, 10]
+    got = {bytes(r.word).decode(): r.p for r in lattice.weigh(rows, model.score, vocabulary(PIECES), tokens, types).collect()}
+    for word in words:
+        spelled = decimal_marginal(model, word)
+        for k in range(2):
+            want = (Decimal(lattice.DISCOUNT * types[k] / tokens[k] * (1 - lattice.ACROSS)) * spelled).log10()
+            assert abs(got[word][k] - float(want)) < 1e-9 * abs(float(want)) + 1e-9
+    assert min(got[w][0] for w in words) < -2000
+    freed, common = lattice.DISCOUNT * np.array(types) / tokens, (3 - lattice.DISCOUNT) / sum(tokens)
+    own = np.array([(3 - lattice.DISCOUNT) / 100, 0]) + freed * lattice.ACROSS * common
+    assert np.allclose(got["seen" * 400], np.log10(own), rtol=1e-12)
+
+
+@pytest.mark.parametrize("head", [1000, 1])
+def test_documents_of_long_unseen_words_do_not_tie(spark, head):
+    docs = spark.createDataFrame([(0, "plain words"), *[(n, "日本" * n) for n in (200, 2000, 20_000)]], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lattice.score_documents(docs, F.col("doc_id") == 0, vocabulary(PIECES), class_col=None, head=head).collect()}
+    assert got[200] > got[2000] > got[20_000] and 9 < got[20_000] / got[2000] < 11
+
+
 # ---------------------------------------------------------------- language ID
 
 def test_counts_in_blocks_equal_counts_at_once(monkeypatch):
