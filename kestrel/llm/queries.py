@@ -7,7 +7,8 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_extract, language_id, lattice, sentencepiece_codec, simhash, token_files, toxicity, warc
+from . import (decontaminate, exact_dedup, hard_negatives, html_extract, language_id, lattice, lexical_search, secrets_scan,
+               sentencepiece_codec, simhash, token_files, toxicity, warc)
 from .common import held_out
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -121,6 +122,65 @@ SELECT g.doc_id, s.item_id, count(*) AS shared, any_value(t.total) AS item_shing
 FROM g JOIN s ON g.g = s.g AND g.k = s.k JOIN t ON t.item_id = s.item_id
 GROUP BY g.doc_id, s.item_id HAVING count(*) >= 0.8 * any_value(t.total) - 1e-9"""
 
+def op11_secrets(spark, sf_dir):
+    """Secrets of all documents: stated patterns and the randomness battery."""
+    found = secrets_scan.secret_spans(table(spark, sf_dir, "documents"))
+    shown = lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])       # noqa: E731
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")       # noqa: E731
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets_scan.KINDS],
+                        F.sha2(F.array_join(F.transform(base, shown), ","), 256).alias("base_sha256"),
+                        F.array_join(F.transform("spans", shown), ",").alias("spans"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every 50th vector among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0, vec_col="embedding")
+
+
+OP12_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                  CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+           FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+     n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+           FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+            AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
+def op13_lexical_search(spark, sf_dir):
+    """The ten best documents of every benchmark item, among all documents."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, t AS terms FROM (SELECT doc_id, regexp_extract_all(LOWERED, '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+') AS t FROM documents)
+           WHERE len(t) > 0),
+     c AS (SELECT doc_id, CAST(len(terms) AS BIGINT) AS n, terms, row_number() OVER () AS r FROM d),
+     g AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS l FROM c),
+     tf AS (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS t FROM c) GROUP BY r, doc_id, n, t),
+     w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+           FROM tf, g GROUP BY t, big_n),
+     q AS (SELECT item_id, i, t, count(*) AS k FROM (SELECT item_id, row_number() OVER () AS i,
+                  unnest(regexp_extract_all(LOWERED, '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS t FROM benchmark)
+           GROUP BY item_id, i, t),
+     s AS (SELECT item_id, i, r, doc_id,
+                  CAST(sum(k * w.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // l)))) AS BIGINT) AS score
+           FROM q JOIN tf ON q.t = tf.t JOIN w ON w.t = q.t, g GROUP BY item_id, i, r, doc_id),
+     k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+           FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""".replace("LOWERED", LOWER)
+
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_toxicity": op2_toxicity,
@@ -132,5 +192,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_decontaminate": op10_decontaminate,
+    "op11_secrets": op11_secrets,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_lexical_search": op13_lexical_search,
 }
-ORACLE = {"op4_exact_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op10_decontaminate": OP10_SQL}
+ORACLE = {"op4_exact_dedup": OP4_SQL, "op6_warc": OP6_SQL, "op10_decontaminate": OP10_SQL, "op12_hard_negatives": OP12_SQL,
+          "op13_lexical_search": OP13_SQL}
