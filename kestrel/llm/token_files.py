@@ -8,6 +8,7 @@ Mapped into memory, any sequence or document is a view of the file without a cop
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
 import zlib
@@ -23,6 +24,40 @@ from pyspark.sql import functions as F
 from .common import batch_of, shared_folder, slices, written
 
 BEFORE_WORD = re.compile(r" (?=\S)")
+MEMO_BYTES = 96 << 20        # of remembered chunks, twice at most
+
+
+class ChunkMemo(dict):
+    """Ids by chunk, bounded in bytes: at ``limit`` the table becomes the old generation and only chunks met
+    again survive, so twice the limit is held at most.  Long chunks are kept only while their slice is
+    encoded (``passing``): text without spaces fills no memory."""
+
+    LONGEST, OVERHEAD = 128, 200         # characters of a remembered chunk; bytes of an entry besides its contents
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.bytes, self.old, self.passing = limit, 0, {}, {}
+
+    def __missing__(self, chunk):
+        return self.passing[chunk]
+
+    def put(self, chunk: str, ids: bytes):
+        if len(chunk) > self.LONGEST:
+            self.passing[chunk] = ids
+        else:
+            self[chunk] = ids
+            self.bytes += 4 * len(chunk) + len(ids) + self.OVERHEAD
+
+    def wanted(self, chunks: set[str]) -> list[str]:
+        """Those of a slice's ``chunks`` that have to be encoded."""
+        self.passing = {}
+        if self.bytes > self.limit:
+            self.old, self.bytes = dict(self), 0
+            self.clear()
+        fresh = chunks.difference(self)
+        for chunk in fresh.intersection(self.old):
+            self.put(chunk, self.old[chunk])
+        return list(fresh.difference(self))
 
 
 class ChunkEncoder:
@@ -36,7 +71,7 @@ class ChunkEncoder:
 
     TOGETHER = 2000
 
-    def __init__(self, tokenizer_path: str, limit: int = 1 << 19):
+    def __init__(self, tokenizer_path: str, limit: int = MEMO_BYTES):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         vocabulary = self.tokenizer.get_vocab()
@@ -45,7 +80,7 @@ class ChunkEncoder:
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)        # bytes of each token: a character stands for a byte
         for token, i in vocabulary.items():
             self.size[i] = len(token)
-        self.memo, self.old, self.limit = {}, {}, limit
+        self.memo = ChunkMemo(limit)
 
     def ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -56,14 +91,15 @@ class ChunkEncoder:
             some = chunks[at:at + self.TOGETHER]
             text = " " + " ".join(some)
             if self.special(text):
-                self.memo.update((c, self.ids(" " + c)) for c in some)
+                for c in some:
+                    self.memo.put(c, self.ids(" " + c))
                 continue
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.cumsum([1 + len(c.encode()) for c in some])
             cuts = np.searchsorted(np.cumsum(self.size[ids]), ends) + 1      # a chunk ends where a token ends
             raw, width, start = ids.tobytes(), self.dtype.itemsize, 0
             for chunk, stop in zip(some, cuts.tolist()):
-                self.memo[chunk] = raw[start * width:stop * width]
+                self.memo.put(chunk, raw[start * width:stop * width])
                 start = stop
 
     @staticmethod
@@ -73,22 +109,23 @@ class ChunkEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
-        fresh = set().union(*[p[1:] for p in parts]).difference(self.memo)
+        chunks = set().union(*[p[1:] for p in parts])
         # a space that white space or the end follows is no border; such chunks are never remembered
-        odd = {c for c in fresh if not c or c[0].isspace()}
+        odd = {c for c in chunks.difference(self.memo) if not c or c[0].isspace()}
         if odd:
             parts = [p if odd.isdisjoint(p[1:]) else BEFORE_WORD.split(t) for p, t in zip(parts, texts)]
-            fresh = set().union(*[p[1:] for p in parts]).difference(self.memo)
-        if len(self.memo) + len(fresh) > self.limit:         # the old generation keeps what this slice needs
-            self.old, self.memo = self.memo, {}
-            fresh = set().union(*[p[1:] for p in parts])
-        known = fresh.intersection(self.old)
-        self.memo.update((c, self.old[c]) for c in known)
-        self.learn(list(fresh - known))
+            chunks = set().union(*[p[1:] for p in parts])
+        self.learn(self.memo.wanted(chunks))
         get = self.memo.__getitem__
         return [self.ids(p[0]) + b"".join(map(get, p[1:])) for p in parts]
 
 
+@functools.cache
+def encoder(tokenizer_path: str) -> ChunkEncoder:
+    """One encoder a worker process: its tasks go on with what earlier ones have met."""
+    return ChunkEncoder(tokenizer_path)
+
+
 class SequenceWriter:
     """Cuts a stream of ids into sequences and writes them in batches of fixed-size lists."""
 
@@ -123,7 +160,8 @@ class SequenceWriter:
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                       end_id: int = 0, length: int = 2048, rows: int = 256) -> DataFrame:
     """Encode whole texts (null: empty), append ``end_id`` and write files in ascending id order,
-    one for each range of ids.  Null ids come first; rows of one id are ordered by text.
+    one for each range of ids.  Null ids come first; rows of one id are ordered by text.  Repeated rows are
+    written repeatedly, an empty table gives an empty manifest, other columns are not read.
 
     Returns the manifest ``part, path, tokens, docs``, a written table that names only files of
     task attempts that succeeded; ``part`` gives the order of the files."""
@@ -132,7 +170,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
     schema = pa.schema([("part", pa.int64()), ("path", pa.string()), ("tokens", pa.int64()), ("docs", pa.int64())])
 
     def write(batches):
-        encode, writer = ChunkEncoder(tokenizer_path), None
+        encode, writer = encoder(tokenizer_path), None
         end = np.array([end_id], encode.dtype).tobytes()
         part, n_docs = TaskContext.get().partitionId(), 0
         stem = f"part-{part:06d}-{uuid.uuid4().hex}"
