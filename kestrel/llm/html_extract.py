@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 import warnings
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -34,9 +35,12 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # How HTML elements behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select datalist".split())
+RAW = frozenset("script style noscript template textarea title iframe select datalist annotation annotation-xml desc metadata".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike "
-                   "strong sub sup time tt u var".split())
+                   "strong sub sup time tt u var object picture "
+                   "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom mspace msub msup msubsup munder mover munderover "
+                   "mmultiscripts mprescripts none mtable mtr mtd mlabeledtr maction menclose semantics "
+                   "svg g text tspan textpath path rect circle ellipse line polyline polygon use defs symbol".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hgroup hr main menu nav ol p pre search section table ul".split())
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -87,67 +91,102 @@ def attribute_tokens(raw: str) -> tuple:
     return tuple(out)
 
 
+class Reader:
+    """The elements open at one place of a page, from the root down.
+
+    Depths are kept by tag, so what an opening or closing tag ends is looked up, not walked to: deep
+    nesting costs no more than flat markup."""
+
+    def __init__(self):
+        self.root = Node("html", None)
+        self.path, self.depths, self.barriers = [self.root], {"html": [0]}, [0]
+
+    @property
+    def here(self) -> Node:
+        return self.path[-1]
+
+    def open(self, tag: str, tokens: tuple):
+        node = Node(tag, self.here, tokens, link=tag == "a" or self.here.link)
+        self.here.items.append(node)
+        self.depths.setdefault(tag, []).append(len(self.path))
+        if tag in BARRIER:
+            self.barriers.append(len(self.path))
+        self.path.append(node)
+
+    def cut(self, depth: int):
+        """Close the element at ``depth`` and all inside it; the root stays open."""
+        while len(self.path) > max(depth, 1):
+            node = self.path.pop()
+            self.depths[node.tag].pop()
+            if node.tag in BARRIER:
+                self.barriers.pop()
+
+    def close_before(self, tags):
+        """Close the outermost open element of ``tags`` that no barrier stands above."""
+        found = []
+        for tag in tags:
+            depths = self.depths.get(tag, [])
+            at = bisect_right(depths, self.barriers[-1])
+            found += depths[at:at + 1]
+        if found:
+            self.cut(min(found))
+
+    def close(self, tag: str):
+        depths = self.depths.get(tag)
+        if depths and (tag not in ("p", "li", "a") or depths[-1] > self.barriers[-1]):
+            self.cut(depths[-1])
+
+
 def parse(page: str) -> Node:
     """Tree of block-level elements; inline elements vanish into their parent's text (link text is marked
-    by ``Node`` "a"), scripts, styles, titles and other raw elements are left out."""
-    root = here = Node("html", None)
-    at, skip = 0, None
+    by ``Node`` "a"), scripts, styles, titles and other raw elements are left out.  Inside a link only what
+    ends the link makes an element, so every element but links is numbered by ``blocks``."""
+    reader, at, unclosed = Reader(), 0, set()
     for m in TOKEN.finditer(page):
         if m.start() < at:
             continue
-        if skip is None and m.start() > at:
-            here.items.append(page[at:m.start()])
+        if m.start() > at:
+            reader.here.items.append(page[at:m.start()])
         at = m.end()
         tag = m.group(2)
         if tag is None:
             continue
         tag = tag.lower()
         if m.group(1):                                          # end tag
-            if tag in INLINE and tag != "a" or tag in VOID:
-                continue
-            node = here
-            while node is not None and node.tag != tag:
-                if tag in ("p", "li", "a") and node.tag in BARRIER:
-                    node = None
-                    break
-                node = node.parent
-            if node is not None and node.parent is not None:
-                here = node.parent
+            if not (tag in INLINE and tag != "a" or tag in VOID):
+                reader.close(tag)
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            if end is None:
+                unclosed.add(tag)
             at = end.end() if end else len(page) if tag in ("script", "style") else at
             continue
         if tag == "br":
-            here.items.append(" ")
+            reader.here.items.append(" ")
             continue
         if tag in VOID or tag in ("html", "body"):
             if tag == "body":
-                here = root
+                reader.cut(1)
             continue
         if tag in INLINE and tag != "a":
             continue
         if tag == "a":
-            if here.tag == "a":
-                here = here.parent
+            if reader.here.tag == "a":
+                reader.cut(len(reader.path) - 1)
+        elif reader.here.link and tag not in CLOSES_P:
+            reader.here.items.append(" " if tag in TAG_KIND else "")
+            continue
         else:
-            closing = SAME_CLOSES.get(tag, ()) if tag not in CLOSES_P else ("p", "a")
-            node = here
-            while node is not None and node.parent is not None and (node.tag not in BARRIER or node.tag in closing):
-                if node.tag in closing:
-                    here = node.parent
-                node = node.parent
-            if here.tag == "a" and tag in CLOSES_P:
-                here = here.parent
-        node = Node(tag, here, attribute_tokens(m.group(3)) if m.group(3) else (), link=tag == "a" or here.link)
-        here.items.append(node)
-        if not (m.group(3) or "").rstrip().endswith("/") or tag not in VOID:
-            here = node
+            reader.close_before(SAME_CLOSES.get(tag, ()) if tag not in CLOSES_P else ("p", "a"))
+            if reader.here.tag == "a" and tag in CLOSES_P:
+                reader.cut(len(reader.path) - 1)
+        reader.open(tag, attribute_tokens(m.group(3)) if m.group(3) else ())
     if at < len(page):
         rest = page[at:]
         cut = re.search(r"<[a-zA-Z/!][^>]*\Z", rest)             # a tag cut off at the end of the page
-        here.items.append(rest[:cut.start()] if cut else rest)
-    return root
+        reader.here.items.append(rest[:cut.start()] if cut else rest)
+    return reader.root
 
 
 def blocks(root: Node) -> list[Node]:
@@ -313,23 +352,50 @@ class Trees:
 
 # ---------------------------------------------------------------- training pages
 
-def teach(node: Node, inside: int = 0) -> list[tuple[Node, int]]:
-    """(element, 1 main / 0 other / -1 not known) below ``node``, from what the markup states; what lies
+def teach(root: Node) -> list[tuple[Node, int]]:
+    """(element, 1 main / 0 other / -1 not known) of a page, from what the markup states; what lies
     in no stated part of a page that has a stated article counts as other."""
-    out = [(node, inside)]
-    for c in node.children:
-        if c.tag == "a":
-            continue
-        kinds = {OTHER_KIND[t] for t in c.tokens if t in OTHER_KIND}
-        if c.tag in TEACHER_DROPS or kinds and c.tag not in TEACHER_KEEPS:
-            out += [(x, 0) for x, _ in teach(c, 0)]
-        elif c.tag in TEACHER_KEEPS or inside == 1:
-            out += teach(c, 1)
-        else:
-            out += teach(c, inside)
+    out, open_ = [], [(root, 0, False)]
+    while open_:
+        node, inside, settled = open_.pop()
+        out.append((node, inside))
+        for c in reversed(node.children):
+            if c.tag == "a":
+                continue
+            if settled or c.tag in TEACHER_DROPS or c.tag not in TEACHER_KEEPS and any(t in OTHER_KIND for t in c.tokens):
+                open_.append((c, 0, True))
+            else:
+                open_.append((c, 1 if c.tag in TEACHER_KEEPS or inside == 1 else inside, False))
     return out
 
 
+LONG_PARAGRAPH, FEW_LINKS = 80, 0.3
+
+
+def teach_unstated(root: Node) -> list[tuple[Node, int]]:
+    """The same for pages that state no article: long paragraphs with few links are main, parts named as
+    something else are other, nothing is known of the rest."""
+    out = []
+    dropped = {id(x) for x, _ in teach(root) if x.tag in TEACHER_DROPS or any(t in OTHER_KIND for t in x.tokens)}
+    for x in blocks(root):
+        if x.parent is not None and id(x.parent) in dropped:
+            dropped.add(id(x))
+        sizes = [(len(t), link) for _, t, link in own_text(x)]
+        total = sum(n for n, _ in sizes)
+        main = x.tag == "p" and total >= LONG_PARAGRAPH and sum(n for n, link in sizes if link) < FEW_LINKS * total
+        out.append((x, 0 if id(x) in dropped else 1 if main else -1))
+    return out
+
+
+def named_parts(nodes: list[Node]) -> np.ndarray:
+    """What stays where there was nothing to learn from: all but parts named as something else."""
+    keep = np.ones(len(nodes), bool)
+    for k, x in enumerate(nodes[1:], 1):
+        named = x.tag in TEACHER_DROPS or x.tag not in TEACHER_KEEPS and any(t in OTHER_KIND for t in x.tokens)
+        keep[k] = keep[x.parent.number] and not named
+    return keep
+
+
 KEEP_CLASSES = ["content", "post-content", "entry", "story", "article-body", "main", "text", "page", "c1", "wrap"]
 
 
@@ -403,9 +469,9 @@ class Rewriter:
         x.tag, x.items = kind, rows
         return [*rows, *(c for r in rows for c in r.children)]
 
-    def rewrite(self, root: Node) -> list[tuple[Node, int]]:
+    def rewrite(self, root: Node, teacher) -> list[tuple[Node, int]]:
         """Change ``root`` in place; labels for all its elements."""
-        label = {id(x): y for x, y in teach(root)}
+        label = {id(x): y for x, y in teacher(root)}
         for x in blocks(root):
             y, chance = label[id(x)], self.rng.random()
             if x.tag in TEACHER_KEEPS and chance < 0.6:
@@ -446,23 +512,25 @@ class Rewriter:
 
 
 def training_rows(pages: list[str], copies: int, seed: int):
-    """(features, labels, weights) from the sample pages and their rewritten copies; pages in which no
-    article is stated teach nothing."""
+    """(features, labels, weights) from the sample pages and their rewritten copies.  Pages in which no
+    article is stated teach nothing, unless no page of the sample states one."""
     roots = [parse(p) for p in pages]
     prose = [t.strip() for r in roots for x in blocks(r) if x.tag == "p" for _, t, _ in own_text(x) if len(t) > 40][:5000]
+    stated = [any(n.tag in TEACHER_KEEPS for n in blocks(r)) for r in roots]
+    teacher = teach if any(stated) else teach_unstated
     rewriter, x, y, w = Rewriter(prose, seed), [], [], []
-    for page in pages:
-        for copy in range(copies + 1):
+    for page, usable in zip(pages, stated):
+        for copy in range(copies + 1 if usable or teacher is teach_unstated else 0):
             root = parse(page)
-            if not any(n.tag in TEACHER_KEEPS for n in blocks(root)):
-                break
-            found = rewriter.rewrite(root) if copy else None
+            labels = {id(n): v for n, v in (rewriter.rewrite(root, teacher) if copy else teacher(root))}
             nodes = blocks(root)
-            labels = dict((id(n), v) for n, v in (found if copy else teach(root)))
             own = np.array([labels[id(n)] for n in nodes])
-            carriers = np.array([bool(n.parent) and (v == 1 or not any(labels[id(c)] == 1 for c in blocks_of(n))) for n, v in zip(nodes, own)])
+            holds_main = own == 1                               # below the element; children come after parents
+            for k in range(len(nodes) - 1, 0, -1):
+                holds_main[nodes[k].parent.number] |= holds_main[k]
+            carriers = np.array([n.parent is not None for n in nodes]) & ((own == 1) | ~holds_main)
             keep = (own >= 0) & carriers                        # parents of article and other parts alike teach nothing
-            f = describe(blocks(root))[keep]
+            f = describe(nodes)[keep]
             x.append(f)
             y.append(own[keep])
             w.append(1 / np.sqrt(max(1, keep.sum())) + 0.1 * f[:, 4])
@@ -471,15 +539,6 @@ def training_rows(pages: list[str], copies: int, seed: int):
     return np.concatenate(x), np.concatenate(y).astype(float), np.concatenate(w)
 
 
-def blocks_of(node: Node):
-    stack = list(node.children)
-    while stack:
-        c = stack.pop()
-        if c.tag != "a":
-            yield c
-            stack += c.children
-
-
 # ---------------------------------------------------------------- decoding
 
 INHERITED = 0.25         # share of its parent's log odds that an element takes on
@@ -553,10 +612,10 @@ def read_page(page: str) -> tuple[Node, list[Node]]:
 
 
 def extract(pages: list[str], trees: Trees | None) -> list[str]:
-    """Main text of each page; the trees judge the elements of all pages at once."""
+    """Main text of each page; the trees judge the elements of all pages at once (none: parts by name)."""
     read = [read_page(p) for p in pages]
     if trees is None:
-        return [page_text(root, np.ones(len(nodes), bool)) for root, nodes in read]
+        return [page_text(root, named_parts(nodes)) for root, nodes in read]
     odds = trees.decision(np.concatenate([describe(nodes) for _, nodes in read]))
     ends = np.cumsum([len(nodes) for _, nodes in read])
     out = []
@@ -571,8 +630,8 @@ def extract(pages: list[str], trees: Trees | None) -> list[str]:
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = 300, most_chars: int = 20_000, copies: int = 4,
           rounds: int = 120, depth: int = 4, seed: int = 5) -> Trees | None:
     """Fit on the ``sample`` distinct page contents (all, if there are fewer) of at most ``most_chars`` characters
-    with the smallest hashes (bounds of the training set alone; extraction reads whole pages).  None, with
-    a warning if there are pages, if no sample page states its article."""
+    with the smallest hashes (bounds of the training set alone; extraction reads whole pages).  Where no sample
+    page states its article, long paragraphs and named parts teach instead; None, with a warning if there are pages, if these don't tell."""
     known = pages.where(F.col(html_col).isNotNull() & (F.length(html_col) <= most_chars)).select(F.col(html_col).alias("h"), F.lit(0).alias("g"))
     picked, sizes = smallest_hashes(known, ["h"], sample, "g")
     found = sorted(r["h"] for r in picked.collect())
@@ -580,14 +639,16 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
         raise RuntimeError("pages to learn from, but none in the sample")
     data = training_rows(found, copies, seed)
     if data is None and (found or not pages.where(F.col(html_col).isNotNull()).isEmpty()):
-        warnings.warn(f"no page of at most {most_chars} characters in the sample of {len(found)} states its article: all visible text is kept")
+        warnings.warn(f"the sample of {len(found)} pages of at most {most_chars} characters teaches nothing: all visible text but that of "
+                      "parts named as something else is kept")
     return None if data is None else Trees.fit(*data, rounds=rounds, depth=depth)
 
 
 def extract_pages(pages: DataFrame, trees: Trees | None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id, url, text, n_chars`` for every row, from the whole page.
 
-    Null and empty pages give an empty text; without a model all visible text is kept.  No shuffle;
+    Null and empty pages give an empty text; without a model all but parts named as something else is kept.
+    Very deep or long pages cost in proportion to their length.  No shuffle;
     repeated rows, null ids and other columns don't matter; an empty table gives no rows."""
     id_type, url_type = (pages.schema[c].dataType.simpleString() for c in (id_col, url_col))
 
