@@ -33,6 +33,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(col: Column) -> Column:
     """Whole text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(col.cast("string"), F.lit("")).cast("binary")

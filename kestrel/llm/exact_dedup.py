@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, unused
 
 
 def content_hash(col: Column) -> Column:
@@ -44,8 +44,9 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     of one kept id one stays.  Rows without an id stay only if no equal text
     has one."""
     marked = exact_duplicates(docs, id_col, text_col, keep).where("kept").select(
-        F.col(id_col).alias("__keep_id"), F.unhex("text_sha256").alias("__sha")).distinct()
+        F.col(id_col).alias("keep_id"), F.unhex("text_sha256").alias("keep_sha")).distinct()
+    own = unused(docs, "text_sha")
     sha = F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256))
-    staged = docs.withColumn("__sha", sha)
-    hit = staged.join(marked, staged[id_col].eqNullSafe(marked["__keep_id"]) & (staged["__sha"] == marked["__sha"]), "left_semi")
-    return hit.dropDuplicates([id_col, "__sha"]).select(*[hit[c] for c in docs.columns])
+    staged = docs.withColumn(own, sha)
+    hit = staged.join(marked, staged[id_col].eqNullSafe(marked["keep_id"]) & (staged[own] == marked["keep_sha"]), "left_semi")
+    return hit.dropDuplicates([id_col, own]).select(*docs.columns)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, smallest_hashes
+from .common import slices, smallest_hashes, unused
 
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -238,12 +238,14 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id"
 def accepted(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language could be told (not ``und``) with a
     probability of at least ``least``; tested where they lie, no shuffle."""
+    own = unused(docs, "whole_text")
+
     def run(batches):
         for batch in slices(batches, GROUP):
             keep = np.zeros(batch.num_rows, bool)
             if model is not None:
-                n, known = group_counts(batch.column("__t").to_pylist())
+                n, known = group_counts(batch.column(own).to_pylist())
                 keep = known & (model.probabilities(n).max(axis=1) >= least)
-            yield batch.drop_columns(["__t"]).filter(pa.array(keep))
+            yield batch.drop_columns([own]).filter(pa.array(keep))
 
-    return docs.withColumn("__t", F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(run, docs.schema)
+    return docs.withColumn(own, F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(run, docs.schema)

@@ -16,12 +16,13 @@ its largest component are only looked up by the others."""
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, slices, text_bytes, written
+from .common import slices, text_bytes, unused, written
 from .components import components
 
 BITS = 64
@@ -124,6 +125,13 @@ def fingerprint_components(fps: DataFrame, max_bits: int, turns: int = 2) -> Dat
     return merged(rooted, cross)
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int):
+    """(``id, fp`` of every row, ``fp, low, root`` of every distinct fingerprint; ``low`` is its smallest id)."""
+    marked = written(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
+    distinct = written(marked.groupBy("fp").agg(F.min("id").alias("low")), "simhash-distinct")
+    return marked, distinct.join(fingerprint_components(distinct.select("fp"), max_bits), "fp")
+
+
 def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                             max_bits: int = 4) -> DataFrame:
     """One row per input row: ``id, fingerprint`` (16 hex digits)``, component_id``
@@ -132,10 +140,8 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Null and blank texts have fingerprint zero and are linked like any other.
     Rows without an id take the component's smallest known id (null if none).
     Repeated rows are returned repeated.  An empty table gives no rows."""
-    marked = written(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
-    distinct = written(marked.groupBy("fp").agg(F.min("id").alias("low")), "simhash-distinct")
-    roots = fingerprint_components(distinct.select("fp"), max_bits)
-    lowest = (roots.join(distinct, "fp").groupBy("root").agg(F.min("low").alias("component_id")))
+    marked, roots = _grouped(docs, id_col, text_col, shingle, max_bits)
+    lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = roots.join(lowest, "root").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                            "component_id")
@@ -143,27 +149,32 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                          max_bits: int = 4) -> DataFrame:
-    """The rows whose id is their component's id, with all their columns: one document
-    of each group.  Repeated rows of that id count as one document; groups in which no
-    row has an id keep all their rows (there is nothing to choose by)."""
-    found = simhash_near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    stay = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__stay")).distinct()
-    kept = docs.join(stay, docs[id_col] == stay["__stay"], "left_semi").dropDuplicates([id_col])
+    """One document of each component, with all its columns: that of the smallest id (of several
+    fingerprints with that id, the smallest).  A document is an (id, fingerprint): repeated rows of one count
+    once, and rows that share an id but not their component all stay.  Components in which no row has an
+    id keep all their rows (there is nothing to choose by)."""
+    marked, roots = _grouped(docs, id_col, text_col, shingle, max_bits)
+    chosen = (roots.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("nameless"), "low", "fp")).alias("first"))
+              .select("root", "first.*"))
+    # the id alone tells the row, but where an id has several rows: only these are hashed again
+    often = marked.groupBy("id").agg((F.count(F.lit(1)) > 1).alias("often"))
+    name, print_, many = (unused(docs, n) for n in ("chosen_id", "chosen_print", "chosen_often"))
+    stay = (chosen.where("NOT nameless").join(often, F.col("low") == F.col("id"))
+            .select(F.col("id").alias(name), F.col("fp").alias(print_), F.col("often").alias(many)))
+
+    @F.pandas_udf("long")
+    def hashed(texts: pd.Series) -> pd.Series:
+        known = [None if t is None else fingerprint(t, shingle) for t in texts]
+        return pd.Series([None if v is None else v - (1 << BITS if v >> 63 else 0) for v in known], dtype="Int64")
+
+    whole = F.when(F.col(many), text_bytes(F.col(text_col)))
+    kept = docs.join(stay, docs[id_col] == stay[name]).withColumn(unused(docs, "own_print"), hashed(whole))
+    own = kept.columns[-1]
+    kept = kept.where(~F.col(many) | (F.col(own) == F.col(print_))).dropDuplicates([id_col, print_]).select(*docs.columns)
     if not docs.schema[id_col].nullable:
-        return kept.select(*docs.columns)
-    nameless = found.where(F.col("component_id").isNull()).select("fingerprint").distinct()
+        return kept
+    nameless = roots.join(chosen.where("nameless").select("root"), "root", "left_semi").select("fp")
     unnamed = docs.where(F.col(id_col).isNull())
-    return kept.select(*docs.columns).unionByName(_nameless_rows(unnamed, nameless, id_col, text_col, shingle))
-
-
-def _nameless_rows(unnamed: DataFrame, prints: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    def run(batches):
-        for batch in slices(batches):
-            keys = [f"{fingerprint(t, shingle):016x}" for t in batch.column("__t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.drop_columns(["__t"]).columns, pa.array(keys, pa.string())],
-                                             names=[*[n for n in batch.schema.names if n != "__t"], "__fp"])
-
-    from pyspark.sql.types import StringType
-    marked = unnamed.withColumn("__t", text_bytes(F.col(text_col)))
-    marked = marked.mapInArrow(run, unnamed.schema.add("__fp", StringType()))
-    return marked.join(prints, marked["__fp"] == prints["fingerprint"], "left_semi").drop("__fp")
+    own = unused(docs, "own_print")
+    unnamed = unnamed.withColumn(own, hashed(text_bytes(F.col(text_col))))
+    return kept.unionByName(unnamed.join(nameless, unnamed[own] == nameless["fp"], "left_semi").select(*docs.columns))
