@@ -155,7 +155,7 @@ def brute_contained(docs, items, k=5, t=0.8):
     return out
 
 
-def test_containment_equals_brute_force(spark):
+def test_containment_equals_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     vocabulary = [f"v{i}" for i in range(60)]
     say = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
@@ -171,9 +171,11 @@ def test_containment_equals_brute_force(spark):
     docs += docs[5:6]
     d = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id int")
     it = spark.createDataFrame([(i, t, 2) for i, t in items], "item_id long, text string, doc_id int")
-    for block in (1 << 20, 40):       # one block, many blocks
-        got = decontaminate.contained_items(d, it, block_bytes=block).collect()
+    for bits in (decontaminate.TABLE_BITS, 6):       # a table that tells, one that is full
+        monkeypatch.setattr(decontaminate, "TABLE_BITS", bits)
+        got = decontaminate.contained_items(d, it).collect()
         assert {(r.doc_id, r.item_id, r.shared, r.item_shingles) for r in got} == brute_contained(docs, items)
+        assert len(got) == len(brute_contained(docs, items)) + len(brute_contained(docs[5:6], items))       # a repeated document
     hit = {r.doc_id for r in got}
     clean = decontaminate.drop_contaminated(d, it)
     assert clean.columns == d.columns and {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - hit
@@ -181,6 +183,27 @@ def test_containment_equals_brute_force(spark):
     assert decontaminate.drop_contaminated(d, it.limit(0)).count() == len(docs)
 
 
+def test_rows_that_share_an_id_and_clashing_names(spark):
+    item = " ".join(f"i{k}" for k in range(12))
+    rows = [(1, "x " + item, "a", "b", 0), (1, "clean words", "a", "b", 0), (None, item, "c", "d", 1), (None, "clean", "c", "d", 1), (2, None, "e", "f", 2)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, text_mark string, mark string, id int")
+    it = spark.createDataFrame([(7, item)], "item_id long, text string")
+    clean = decontaminate.drop_contaminated(d, it)
+    assert clean.columns == d.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in clean.collect()) == [("1", "clean words"), ("2", "None"), ("None", "clean")]
+
+
+def test_no_document_is_lost_where_an_id_has_several_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(300)) for c in "ab")
+    rows = [(5, a), (5, b), (9, a), (9, a + " tail"), (5, b), (8, b + " end")]
+    d = spark.createDataFrame([(i, t, "k", 1.5, 2) for i, t in rows], "doc_id long, text string, chosen_id string, fp double, own_print int")
+    kept = simhash.drop_near_duplicates(d)
+    assert kept.columns == d.columns and sorted((r.doc_id, r.text) for r in kept.collect()) == [(5, a), (5, b)]
+    clash = spark.createDataFrame([(1, "A", "x"), (2, "a", "y"), (3, "b", "z")], "doc_id long, text string, text_sha string")
+    found = exact_dedup.drop_exact_duplicates(clash)
+    assert found.columns == clash.columns and sorted(tuple(r) for r in found.collect()) == [(2, "a", "y"), (3, "b", "z")]
+
+
 def test_sketch_keeps_one_shared_shingle():
     for q in range(1, 400):
         missing = int((1 - 0.8) * q + 1e-9)

@@ -112,6 +112,41 @@ def test_awkward_pages(spark, trees):
     assert html_extract.train(pages(spark, rows).limit(0)) is None
 
 
+def test_no_text_is_lost_and_deep_pages_are_read(trees):
+    """Unknown and block-level elements in links, formulas, drawings, nesting."""
+    import time
+    plain = "This paragraph belongs to the article, it is long enough and has no links in it, as one would expect of it."
+    page = ("<html><body><nav><a href=x>home</a></nav><article><p>See <a href=y><x-term>the term</x-term> <picture>shown</picture></a> and "
+            "<math><mi>x</mi><mo>=</mo><mn>2</mn></math> here, <svg><text>label</text></svg> too. " + plain + "</p><ul><li><a><li>first</a><li>second</ul>"
+            "<p>" + plain + "</p></article><footer><p>Copyright</p></footer></body></html>")
+    text = html_extract.extract([page], trees)[0]
+    assert "See the term shown and x=2 here, label too." in text and "second" in text and "Copyright" not in text
+    root, nodes = html_extract.read_page(page)
+    assert "first" in html_extract.page_text(root, html_extract.named_parts(nodes)).split("\n")
+    deep = "<article>" + "<div>" * 1500 + "<p>deep words</p>" + "</div>" * 1500 + "</article>"
+    assert html_extract.training_rows([deep, page], 1, 1) is not None            # no recursion limit
+    times = []
+    for n in (4000, 32000):
+        began = time.process_time()
+        root, nodes = html_extract.read_page("<table><p>" + "<center>x" * n)
+        times.append(time.process_time() - began)
+        assert len(nodes) == n + 3 or len(nodes) == n + 2
+    assert times[1] < 32 * max(times[0], 0.01)                                    # in proportion, not its square
+
+
+def test_pages_without_a_stated_article_teach_by_other_signs():
+    import numpy as np
+    long = "A long paragraph of the story that goes on for a while so that it counts as one, with several words more in it."
+    page = "<div class=menu><a href=x>home</a><a href=y>news</a></div><div><p>%s</p><p>%s</p></div><div class=footer><p>Copyright</p></div><form><p>%s</p></form>"
+    pages = [page % (f"{i} {long}", long[:90 + i], long) for i in range(60)]
+    data = html_extract.training_rows(pages, 2, 1)
+    assert data is not None and set(data[1].tolist()) == {0.0, 1.0}
+    text = html_extract.extract(pages[:1], html_extract.Trees.fit(*data, rounds=40, depth=3))[0]
+    assert text == f"0 {long}\n{long[:90]}"
+    root, nodes = html_extract.read_page(pages[0])
+    assert html_extract.page_text(root, html_extract.named_parts(nodes)) == text and np.all(html_extract.named_parts(nodes)[:1])
+
+
 def test_decoding_never_keeps_below_a_dropped_parent(trees):
     root, nodes = html_extract.read_page("<div><div><p>a</p></div><p>b</p></div><div><p>c</p></div>")
     import numpy as np
@@ -178,5 +213,5 @@ def test_pipeline_equals_brute_force_on_the_given_table(spark):
 def test_registry_names_every_operator():
     from __spark_entry__ import oracle_sql, queries
     names = queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
-    assert {"op4_exact_dedup", "op6_warc", "op10_decontaminate"} <= set(oracle_sql())
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
+    assert {"op4_exact_dedup", "op6_warc", "op10_decontaminate", "op12_hard_negatives", "op13_lexical_search"} <= set(oracle_sql())
