@@ -116,13 +116,24 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approx: bool = False)
     return out.select("column", "pos", "n_distinct", (F.col("n_distinct") <= 1).alias("is_constant"))
 
 
+LARGEST, SMALLEST = 1e14, 1e-3        # of a column's magnitude: 12 decimal places then hold 9 digits and a sum of 10^12 rows
+
+
+def mean_by_decimals(column: str):
+    """Mean from a sum of decimals (12 places), which no order of the rows changes; the floating mean for columns
+    whose magnitude decimals don't suit."""
+    size = F.max(F.abs(F.col(column)))
+    total = F.try_sum(F.col(column).try_cast("decimal(38,12)")).cast("double")
+    return F.when((size < LARGEST) & (size >= SMALLEST), total / F.count(column)).otherwise(F.avg(column))
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact median, max per column.
-    Moments in one global aggregate; the median by exact selection."""
+    Moments in one global aggregate, the mean free of the rows' order; the median by exact selection."""
     from .quantiles import quantiles
     df = df.select(*[_known(df, c).alias(c) for c in columns])
     agg = df.agg(*[x for i, c in enumerate(columns) for x in (
-        F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
+        F.count(c).alias(f"n{i}"), mean_by_decimals(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
         F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"))])
     arr = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"), F.col(f"n{i}").alias("count"),
                                        F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),

@@ -43,7 +43,8 @@ def get_spark(master: str | None = None, app: str = "kestrel", shuffle_partition
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is unset (local tests) do we make a private folder.
+    Where it is unset, a local session (one machine, tests) gets a private folder; on a cluster that
+    would be another folder on every machine, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -53,7 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc._jsc.sc().getCheckpointDir().get()
-    # unset: local runs and tests only
+    if sc.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
