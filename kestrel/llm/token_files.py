@@ -17,6 +17,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,10 +25,11 @@ from pyspark.sql import functions as F
 from .common import batch_of, shared_folder, slices, written
 
 BEFORE_WORD = re.compile(r" (?=\S)")
-MEMO_BYTES = 96 << 20        # of remembered chunks, twice at most
+SIGNS_BEHIND = regex.compile(r"(\p{L}+)([^\p{L}\s]{1,2})")
+MEMO_BYTES = 160 << 20        # of remembered chunks, twice at most
 
 
-class ChunkMemo(dict):
+class ChunkMemo:
     """Ids by chunk, bounded in bytes: at ``limit`` the table becomes the old generation and only chunks met
     again survive, so twice the limit is held at most.  Long chunks are kept only while their slice is
     encoded (``passing``): text without spaces fills no memory."""
@@ -35,29 +37,36 @@ class ChunkMemo(dict):
     LONGEST, OVERHEAD = 128, 200         # characters of a remembered chunk; bytes of an entry besides its contents
 
     def __init__(self, limit: int):
-        super().__init__()
-        self.limit, self.bytes, self.old, self.passing = limit, 0, {}, {}
-
-    def __missing__(self, chunk):
-        return self.passing[chunk]
+        self.limit, self.bytes, self.known, self.old, self.passing = limit, 0, {}, {}, {}
 
     def put(self, chunk: str, ids: bytes):
         if len(chunk) > self.LONGEST:
             self.passing[chunk] = ids
         else:
-            self[chunk] = ids
+            self.known[chunk] = ids
             self.bytes += 4 * len(chunk) + len(ids) + self.OVERHEAD
 
-    def wanted(self, chunks: set[str]) -> list[str]:
-        """Those of a slice's ``chunks`` that have to be encoded."""
+    def turn(self):
+        """Before a slice: drop what only the last one needed, and the old generation if the table is full."""
         self.passing = {}
         if self.bytes > self.limit:
-            self.old, self.bytes = dict(self), 0
-            self.clear()
-        fresh = chunks.difference(self)
-        for chunk in fresh.intersection(self.old):
-            self.put(chunk, self.old[chunk])
-        return list(fresh.difference(self))
+            self.old, self.known, self.bytes = self.known, {}, 0
+
+    def recalled(self, chunks: set[str]) -> list[str]:
+        """Those of ``chunks``, none of them known, that the old generation doesn't hold either."""
+        out = []
+        for chunk in chunks:
+            ids = self.old.get(chunk)
+            if ids is None:
+                out.append(chunk)
+            else:
+                self.put(chunk, ids)
+        return out
+
+    def getter(self):
+        if not self.passing:
+            return self.known.__getitem__
+        return lambda chunk: self.known.get(chunk) or self.passing[chunk]
 
 
 class ChunkEncoder:
@@ -80,13 +89,33 @@ class ChunkEncoder:
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)        # bytes of each token: a character stands for a byte
         for token, i in vocabulary.items():
             self.size[i] = len(token)
-        self.memo = ChunkMemo(limit)
+        self.memo, self.signs = ChunkMemo(limit), {}
 
     def ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def learn(self, chunks: list[str]):
-        """Remember the ids of chunks (each as it stands after a space)."""
+        """Remember the ids of chunks (each as it stands after a space).  Letters with one or two signs behind
+        them are two pieces or more, cut where the letters end: if the letters alone are known, so is the chunk."""
+        fresh, made = set(), []
+        for chunk in chunks:
+            m = SIGNS_BEHIND.fullmatch(chunk)
+            if m is None:
+                fresh.add(chunk)
+            else:
+                made.append((chunk, m[1], m[2]))
+                if m[1] not in self.memo.known:
+                    fresh.add(m[1])
+        self.encode_all(list(fresh))
+        get = self.memo.getter()
+        for chunk, letters, signs in made:
+            if signs not in self.signs:
+                if len(self.signs) >= 1 << 14:
+                    self.signs.clear()
+                self.signs[signs] = self.ids(signs)
+            self.memo.put(chunk, get(letters) + self.signs[signs])
+
+    def encode_all(self, chunks: list[str]):
         for at in range(0, len(chunks), self.TOGETHER):
             some = chunks[at:at + self.TOGETHER]
             text = " " + " ".join(some)
@@ -108,16 +137,22 @@ class ChunkEncoder:
         return "<|" in text
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        self.memo.turn()
         parts = [t.split(" ") for t in texts]
-        chunks = set().union(*[p[1:] for p in parts])
-        # a space that white space or the end follows is no border; such chunks are never remembered
-        odd = {c for c in chunks.difference(self.memo) if not c or c[0].isspace()}
-        if odd:
-            parts = [p if odd.isdisjoint(p[1:]) else BEFORE_WORD.split(t) for p, t in zip(parts, texts)]
-            chunks = set().union(*[p[1:] for p in parts])
-        self.learn(self.memo.wanted(chunks))
-        get = self.memo.__getitem__
-        return [self.ids(p[0]) + b"".join(map(get, p[1:])) for p in parts]
+        firsts, look = [p.pop(0) for p in parts], self.memo.known.get
+        found = [list(map(look, p)) for p in parts]            # one look-up a word; most are known
+        lacking = [{c for c, ids in zip(p, f) if ids is None} for p, f in zip(parts, found)]
+        for i, lacks in enumerate(lacking):
+            # a space that white space or the end follows is no border; such chunks are never remembered
+            if any(not c or c[0].isspace() for c in lacks):
+                firsts[i], *parts[i] = BEFORE_WORD.split(texts[i])
+                found[i] = list(map(look, parts[i]))
+                lacking[i] = {c for c, ids in zip(parts[i], found[i]) if ids is None}
+        self.learn(self.memo.recalled(set().union(*lacking)))
+        get, out = self.memo.getter(), []
+        for first, p, f, lacks in zip(firsts, parts, found, lacking):
+            out.append(self.ids(first) + b"".join([get(c) if ids is None else ids for c, ids in zip(p, f)] if lacks else f))
+        return out
 
 
 @functools.cache
