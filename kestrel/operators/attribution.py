@@ -3,25 +3,32 @@
 * X1 mutual information: equal-frequency bins from exact value ranks
   (ties share a bin), joint counts, sum p ln(p / (p_x p_y)); all features in
   one job over the unpivoted table.
-* X2 permutation importance: rows exploded by repeat; the shuffled value of
-  a feature comes from an equi-join of two md5 orders (row at position i of
-  order A takes the value of the row at position i of order B), scored in
-  one pass; the weighted-F1 drop is aggregated by (feature, repeat).
-* X4 Shapley: exact for a linear scorer (w * (x - mean)); for any model a
-  sampled-permutation job: (row x permutation x position) exploded, scored by
-  the model's own transform, differences along each permutation.
+  The nearest-neighbour estimator takes each row's distance to its k-th
+  neighbour of the same class and counts the rows of any class inside it.
+* X2 permutation importance: rows are ranked once in md5 order; in a repeat the
+  row at position i gives its values to position (a i + b) mod n, so a repeat
+  costs one join and no rank.  A column expression or any fitted model scores
+  the variants; the weighted-F1 drop is aggregated by (feature, repeat).
+* X4 Shapley: exact for a linear scorer (w * (x - mean)) and for trees
+  (``trees.py``); for any other model a sampled-permutation job: (row x
+  permutation x position) exploded, scored by the model's own transform,
+  differences along each permutation.
 * X5-X7 are aggregations and windows over the long (key, class, feature, phi)
   table.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import metrics as mt
+from .bounded import bounded, join_on
 from .running import running_totals
 from .split import SEED, exact_rank
 
@@ -59,27 +66,108 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
     return out.select("feature", "mi", "n", F.lit(f"equal_frequency_{bins}").alias("estimator"))
 
 
+JITTER = 1e-7            # of a feature's largest magnitude: tells ties apart, far below its steps
+BUCKET_ROWS = 50_000
+
+
+def digamma(n: Column) -> Column:
+    """psi(n) for n >= 1, to about 1e-11: six steps up, then the asymptotic series."""
+    x = n.cast("double") + F.lit(6.0)
+    near = sum((F.lit(1.0) / (n.cast("double") + F.lit(float(i))) for i in range(1, 6)), F.lit(1.0) / n.cast("double"))
+    x2 = x * x
+    series = F.log(x) - F.lit(0.5) / x - F.lit(1.0) / (F.lit(12.0) * x2) + F.lit(1.0) / (F.lit(120.0) * x2 * x2) \
+        - F.lit(1.0) / (F.lit(252.0) * x2 * x2 * x2) + F.lit(1.0) / (F.lit(240.0) * x2 * x2 * x2 * x2)
+    return series - near
+
+
+def mutual_information_knn(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 3, seed: int = SEED,
+                           bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """X1 by nearest neighbours: ``feature, mi, n, estimator``, natural log, at least 0.
+
+    psi(n) + mean psi(k_i) - mean psi(n_class) - mean psi(m_i) over the rows with a value and a label, where k_i is k or
+    one less than the class has rows, and m_i counts the rows of all classes strictly nearer than the k_i-th
+    neighbour of the same class (the row itself included).  Classes of one row take no part.  Ties are parted by
+    an md5 jitter of at most ``JITTER`` times the feature's largest magnitude.
+
+    No class is sorted on one task: exact ranks come from range partitions, neighbours from buckets of consecutive
+    ranks that share ``k`` rows with the next, and m_i from two look-ups in the running counts of the feature."""
+    long = _unpivot(df, features, [key, label]).where(F.col("v").isNotNull() & ~F.isnan("v") & F.col(label).isNotNull())
+    most = long.groupBy("feature").agg(F.max(F.abs("v")).alias("most"))
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), "feature", F.lit(str(seed)))), 1, 13), 16, 10).cast("double")
+    room = F.when(F.col("most") > 0, F.col("most")).otherwise(F.lit(1.0)) * F.lit(JITTER)
+    parted = long.join(F.broadcast(most), "feature").withColumn("v", F.col("v") + room * (u / F.lit(float(1 << 52))))
+    classes = parted.groupBy("feature", label).agg(F.count(F.lit(1)).alias("n_class"))
+    kept = join_on(parted, bounded(classes.where("n_class > 1")), ["feature", label])
+    kept = kept.select("feature", F.col(label).alias("class"), F.struct("v", key).alias("at"), "v", "n_class", F.lit(1).alias("one"))
+    ranked = running_totals(kept, ["feature", "class"], "at", {"place": "one"}).withColumn("place", F.col("place") - 1)
+    home = F.floor(F.col("place") / F.lit(bucket_rows))
+    inside = F.col("place") % F.lit(bucket_rows)
+    wide = ranked.withColumn("home", home).withColumn("bucket", F.explode(F.array_compact(F.array(
+        home, F.when(inside < k, home - 1), F.when(inside >= bucket_rows - k, home + 1)))))
+    order = Window.partitionBy("feature", "class", "bucket").orderBy("place")
+    steps = [F.abs(F.col("v") - shift("v", i).over(order)) for i in range(1, k + 1) for shift in (F.lag, F.lead)]
+    own_k = F.least(F.lit(k).cast("long"), F.col("n_class") - 1)
+    near = (wide.withColumn("steps", F.array_sort(F.array_compact(F.array(*steps)))).where("bucket = home")
+            .select("feature", "v", "n_class", own_k.alias("k"), F.get("steps", (own_k - 1).cast("int")).alias("radius")))
+    near = materialize(near.select("feature", "n_class", "k", "v", (F.col("v") - F.col("radius") + 0.0).alias("low"),
+                                   (F.col("v") + F.col("radius") + 0.0).alias("high")), "neighbours")
+    marks = near.select("feature", (F.col("v") + 0.0).alias("at"), F.lit(1).alias("c"))
+    for edge in ("low", "high"):
+        marks = marks.unionByName(near.select("feature", F.col(edge).alias("at"), F.lit(0).alias("c")))
+    marks = marks.groupBy("feature", "at").agg(F.sum("c").alias("c"))
+    counts = materialize(running_totals(marks, ["feature"], "at", {"upto": "c"}), "counts")
+    below = counts.select(F.col("feature").alias("f1"), F.col("at").alias("low"), F.col("upto").alias("below"))
+    under = counts.select(F.col("feature").alias("f2"), F.col("at").alias("high"), (F.col("upto") - F.col("c")).alias("under"))
+    met = near.join(below, (F.col("f1") == F.col("feature")) & (below["low"] == near["low"])) \
+        .join(under, (F.col("f2") == F.col("feature")) & (under["high"] == near["high"]))
+    inner = F.greatest(F.col("under") - F.col("below"), F.lit(1))
+    out = met.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.avg(digamma(F.col("k"))).alias("pk"), F.avg(digamma(F.col("n_class"))).alias("pc"),
+                                     F.avg(digamma(inner)).alias("pm"))
+    return out.select("feature", F.greatest(F.lit(0.0), digamma(F.col("n")) + F.col("pk") - F.col("pc") - F.col("pm")).alias("mi"), "n",
+                      F.lit(f"knn_{k}").alias("estimator"))
+
+
+def shift_of(repeat: int, n: int, seed: int) -> tuple[int, int]:
+    """(a, b) of the bijection i -> (a i + b) mod n of a repeat: a is the first number from 1 + h_a mod n on that has no divisor
+    in common with n, b is h_b mod n; h are the first 32 bits of an md5."""
+    h = lambda tag: int(hashlib.md5(f"{tag}|{repeat}|{seed}".encode()).hexdigest()[:8], 16)       # noqa: E731
+    a = 1 + h("a") % n
+    while math.gcd(a, n) != 1:
+        a += 1
+    return a, h("b") % n
+
+
 def permutation_importance(df: DataFrame, key: str, label: str, features: Sequence[str], k: int,
                            scorer, repeats: int = 10, seed: int = SEED) -> DataFrame:
-    """Drop in weighted F1 when one feature is shuffled; mean and
-    population std over ``repeats``.  ``scorer(df) -> Column`` is the
-    model's predicted class code as a column expression of the features.
-
-    Positions are ranks of (key, repeat) alone; the features join last, once as the row's own and
-    once as its donor's, and each row scores all its variants in one projection."""
-    base = df.select(key, label, *features)
-    base_f1 = mt.averaged_scores(mt.per_class_scores(base.withColumn("pred", scorer(base)).withColumnRenamed(label, "y"), k))
-    rep = base.select(key).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    a = exact_rank(rep, ["repeat"], [key, "repeat"], seed, out="pos")            # position of every row
-    b = exact_rank(rep, ["repeat"], [key, "repeat"], seed + 1, out="pos")        # an independent order
-    pairs = a.join(b.select("repeat", "pos", F.col(key).alias("__donor")), ["repeat", "pos"]).drop("pos")
-    donors = base.select(F.col(key).alias("__donor"), *[F.col(f).alias(f"__d_{f}") for f in features])
-    joined = pairs.join(base, key).join(donors, "__donor")
+    """Drop in weighted F1 when one feature is shuffled; mean and population std over ``repeats``.
+
+    ``scorer`` is a fitted model (a ``PipelineModel`` too) that reads the columns ``features`` and adds a probability
+    or raw prediction, or a function ``(df) -> Column`` that gives the predicted class code.  Rows are
+    ranked once; in a repeat every row sends its values to the position ``shift_of`` names, one join for all repeats.
+    ``key`` is unique; an empty table gives no rows."""
+    n = df.count()
+    if not n:
+        return df.sparkSession.createDataFrame([], "feature string, importance_mean double, importance_std double")
+
+    def predicted(rows: DataFrame, keep: list[str]) -> DataFrame:
+        if hasattr(scorer, "transform"):
+            from .ml import scored_frame
+            return scored_frame(scorer, rows, k, keep).select(*keep, "pred")
+        return rows.withColumn("pred", scorer(rows)).select(*keep, "pred")
+
+    base = exact_rank(df.select(key, F.col(label).alias("y"), *features), [], [key], seed, out="place", max_group=n).withColumn("place", F.col("place") - 1)
+    base = materialize(base, "importance-rows")
+    base_f1 = mt.averaged_scores(mt.per_class_scores(predicted(base, ["y"]), k))
+    moves = F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit(a).cast("decimal(38,0)").alias("a"), F.lit(b).alias("b"))
+                      for r in range(repeats) for a, b in [shift_of(r, n, seed)]])
+    sent = base.select(F.explode(moves).alias("m"), "place", *[F.col(f).alias(f"__d_{f}") for f in features])
+    to = ((F.col("m.a") * F.col("place").cast("decimal(18,0)") + F.col("m.b")) % F.lit(n)).cast("long")
+    joined = base.join(sent.select(to.alias("to"), F.col("m.repeat").alias("repeat"), *[f"__d_{f}" for f in features]), F.col("place") == F.col("to"))
     long = joined.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
-    shuffled = long.select(key, F.col(label).alias("y"), "repeat", "feature",
+    shuffled = long.select(key, "y", "repeat", "feature",
                            *[F.when(F.col("feature") == f, F.col(f"__d_{f}")).otherwise(F.col(f)).alias(f) for f in features])
-    scored = shuffled.withColumn("pred", scorer(shuffled))
-    f1 = mt.averaged_scores(mt.per_class_scores(scored, k, by=["feature", "repeat"]), ["feature", "repeat"])
+    by = ["feature", "repeat"]
+    f1 = mt.averaged_scores(mt.per_class_scores(predicted(shuffled, ["y", *by]), k, by=by), by)
     b1 = base_f1.select(F.lit(1).alias("__k"), F.col("f1_weighted").alias("base_f1"))
     drops = f1.withColumn("__k", F.lit(1)).join(F.broadcast(b1), "__k").withColumn("drop", F.col("base_f1") - F.col("f1_weighted"))
     return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))

@@ -61,6 +61,12 @@ class _BoostingParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabil
     numClasses = _param("numClasses", "classes 0..k-1; 0: as many as the labels show", TypeConverters.toInt)
     seed = _param("seed", "of the row and feature draws", TypeConverters.toInt)
 
+    def setWeightCol(self, value: str):
+        return self._set(weightCol=value)
+
+    def setValidationIndicatorCol(self, value: str):
+        return self._set(validationIndicatorCol=value)
+
     def _defaults(self):
         self._setDefault(maxIter=600, stepSize=0.06, maxDepth=8, maxLeaves=31, minInstancesPerNode=40, l2=1.0, subsamplingRate=1.0,
                          featureShare=1.0, validationShare=0.15, patience=20, numClasses=0, seed=42, featuresCol="features", labelCol="label",

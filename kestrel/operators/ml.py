@@ -15,14 +15,15 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as mt
+from .boosting import SoftmaxBoosting
 from .split import SEED, order_hash, stratified_folds
 
 FEATURES = "features"
@@ -36,13 +37,19 @@ def with_vector(df: DataFrame, features: str | Sequence[str], out: str = FEATURE
 
 
 # The zoo's settings, as the reference fits them.  Spark's trees end at depth 30 (the
-# reference's forest has no limit); its boosting has no L2 penalty and its SVM no RBF kernel.
+# reference's forest has no limit) and its SVM has no RBF kernel.  The boosters differ in settings alone.
 ZOO_DEFAULTS: dict[str, dict] = {
     "logistic": {"maxIter": 2000, "regParam": 0.0},
     "tree": {"maxDepth": 12, "minInstancesPerNode": 5},
     "forest": {"numTrees": 400, "minInstancesPerNode": 2, "maxDepth": 30},
-    "boosted": {"maxIter": 600, "maxDepth": 5, "stepSize": 0.06, "minInstancesPerNode": 40, "subsamplingRate": 1.0,
-                "featureSubsetStrategy": "all", "validationTol": 1e-4},
+    "boosted": {"maxIter": 600, "stepSize": 0.06, "maxLeaves": 31, "maxDepth": 12, "minInstancesPerNode": 40, "l2": 1.0, "validationShare": 0.15,
+                "patience": 20},
+    "boosted_plain": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "maxLeaves": 8, "minInstancesPerNode": 1, "l2": 0.0, "validationShare": 0.0},
+    "boosted_deep": {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "maxLeaves": 64, "minInstancesPerNode": 1, "l2": 1.0, "subsamplingRate": 0.9,
+                     "featureShare": 0.9, "validationShare": 0.0},
+    "boosted_wide": {"maxIter": 600, "stepSize": 0.05, "maxDepth": 16, "maxLeaves": 63, "minInstancesPerNode": 20, "l2": 0.0, "subsamplingRate": 0.9,
+                     "featureShare": 0.9, "validationShare": 0.0},
+    "boosted_even": {"maxIter": 600, "stepSize": 0.05, "maxDepth": 6, "maxLeaves": 64, "minInstancesPerNode": 1, "l2": 3.0, "validationShare": 0.0},
     "mlp": {"hidden": [128, 64], "maxIter": 400},
     "svm": {"maxIter": 100, "regParam": 0.01},
 }
@@ -65,8 +72,8 @@ def make_estimator(name: str, k: int, n_features: int, params: dict | None = Non
                    weight: str | None = None, validation: str | None = None):
     """One classifier of the zoo on (features, label[, weight]).
 
-    ``validation`` names a boolean column of early-stop rows for two-class boosting (Spark's one-vs-rest
-    hands no such column on, so with more classes all rounds run)."""
+    ``validation`` names a boolean column of early-stop rows for boosting; without it the booster sets
+    ``validationShare`` of the rows aside itself."""
     p = {**ZOO_DEFAULTS.get(name, {}), **(params or {})}
     common = {"featuresCol": FEATURES, "labelCol": label}
     if name == "mlp":
@@ -79,11 +86,10 @@ def make_estimator(name: str, k: int, n_features: int, params: dict | None = Non
         est = DecisionTreeClassifier(maxDepth=p["maxDepth"], minInstancesPerNode=p["minInstancesPerNode"], seed=SEED, **common)
     elif name == "forest":
         est = RandomForestClassifier(numTrees=p["numTrees"], minInstancesPerNode=p["minInstancesPerNode"],
-                                     maxDepth=p["maxDepth"], seed=SEED, **common)
-    elif name == "boosted":
-        est = GBTClassifier(seed=SEED, **{o: p[o] for o in ("maxIter", "maxDepth", "stepSize", "minInstancesPerNode", "subsamplingRate",
-                                                            "featureSubsetStrategy", "validationTol")}, **common)
-        if validation and k == 2:
+                                     maxDepth=p["maxDepth"], featureSubsetStrategy=p.get("featureSubsetStrategy", "auto"), seed=SEED, **common)
+    elif name.split("_")[0] == "boosted":
+        est = SoftmaxBoosting(numClasses=k, seed=SEED, **p, **common)
+        if validation:
             est.setValidationIndicatorCol(validation)
     elif name == "svm":   # linear kernel only (documented difference)
         est = LinearSVC(maxIter=p["maxIter"], regParam=p["regParam"], **common)
@@ -91,7 +97,7 @@ def make_estimator(name: str, k: int, n_features: int, params: dict | None = Non
         raise ValueError(name)
     if weight:
         est.setWeightCol(weight)
-    if name in ("boosted", "svm") and k > 2:
+    if name == "svm" and k > 2:
         est = OneVsRest(classifier=est, **common, **({"weightCol": weight} if weight else {}))
     return est
 
@@ -245,11 +251,17 @@ def draw_params(space: dict, rng) -> dict:
     return out
 
 
-# Search ranges by family, within what Spark's estimators offer.
+# Search ranges by family.
 SEARCH_SPACES: dict[str, dict] = {
-    "forest": {"numTrees": ("int", 200, 800, 100), "maxDepth": ("int", 6, 30, 2), "minInstancesPerNode": ("int", 1, 10)},
-    "boosted": {"maxIter": ("int", 200, 800, 100), "stepSize": ("log", 0.01, 0.2), "maxDepth": ("int", 3, 8), "minInstancesPerNode": ("int", 20, 100),
-                "subsamplingRate": ("float", 0.6, 1.0), "featureSubsetStrategy": ("choice", ["all", "sqrt", "0.8"])},
+    "forest": {"numTrees": ("int", 200, 800, 100), "maxDepth": ("int", 6, 30), "minInstancesPerNode": ("int", 1, 8),
+               "featureSubsetStrategy": ("choice", ["sqrt", "log2", "0.5"])},
+    "boosted": {"stepSize": ("log", 0.01, 0.15), "maxIter": ("int", 300, 900, 100), "maxLeaves": ("int", 8, 31), "minInstancesPerNode": ("int", 20, 200),
+                "l2": ("log", 0.01, 30.0), "featureShare": ("float", 0.5, 1.0)},
+    "boosted_deep": {"maxIter": ("int", 300, 900, 100), "stepSize": ("log", 0.01, 0.2), "maxDepth": ("int", 3, 10), "subsamplingRate": ("float", 0.6, 1.0),
+                     "featureShare": ("float", 0.6, 1.0), "l2": ("log", 1e-3, 10.0), "minInstancesPerNode": ("int", 1, 10)},
+    "boosted_wide": {"maxIter": ("int", 300, 1000, 100), "stepSize": ("log", 0.01, 0.2), "maxLeaves": ("int", 15, 150), "subsamplingRate": ("float", 0.6, 1.0),
+                     "featureShare": ("float", 0.6, 1.0), "l2": ("log", 1e-3, 10.0), "minInstancesPerNode": ("int", 5, 60)},
+    "boosted_even": {"maxIter": ("int", 300, 900, 100), "stepSize": ("log", 0.01, 0.2), "maxDepth": ("int", 4, 10), "l2": ("float", 1.0, 10.0)},
     "logistic": {"regParam": ("log", 1e-6, 1.0)},
 }
 

@@ -3,6 +3,7 @@ literal of the projection, so scoring never shuffles."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -70,27 +71,11 @@ def score_job(spark, model_path: str, input_path: str, output_path: str, classes
     write_result(score_with_model(model, df, classes, keep), output_path)
 
 
-def forest_members(model, df: DataFrame, features: str = "features", keep: Sequence[str] = ()) -> DataFrame:
-    """Per-tree class probabilities of a fitted ``RandomForestClassificationModel``
-    as one array column per tree (``member_i``), for ``ensemble_interval``.
-    Each tree is a narrow projection of the same rows; no shuffle."""
-    from pyspark.ml.functions import vector_to_array
-    cur = df.select(*keep, features)
-    names = []
-    for i, tree in enumerate(model.trees):
-        tree = tree.copy()
-        tree.setFeaturesCol(features).setProbabilityCol(f"__prob{i}").setRawPredictionCol(f"__raw{i}").setPredictionCol(f"__pred{i}")
-        cur = tree.transform(cur).select(*keep, features, *names, vector_to_array(F.col(f"__prob{i}")).alias(f"member_{i}"))
-        names.append(f"member_{i}")
-    return cur
-
-
 def forest_interval(model, df: DataFrame, features: str = "features", keep: Sequence[str] = (), z: float = 1.96) -> DataFrame:
-    """I3 for a fitted forest: winning class from the forest's own
-    probability (first argmax), interval over its trees."""
-    from pyspark.ml.functions import vector_to_array
-    scored = model.transform(df.select(*keep, features)).select(
-        *keep, features, vector_to_array(F.col(model.getProbabilityCol())).alias("__p"))
-    scored = scored.withColumn("pred", (F.array_position("__p", F.array_max("__p")) - 1).cast("int")).drop("__p")
-    members = forest_members(model, scored, features, keep=[*keep, "pred"])
-    return ensemble_interval(members, [f"member_{i}" for i in range(len(model.trees))], "pred", z, keep)
+    """I3 for a fitted Spark forest: ``keep, pred, member_mean, member_std, confidence_low, confidence_high``.  The winning
+    class is that of the forest's own probability (first of the largest); all trees are evaluated
+    together on each batch of rows, so the plan is one narrow stage for any number of trees."""
+    from ..session import checkpoint_dir
+    from .trees import class_interval, spark_forest
+    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/forest-{uuid.uuid4().hex}"
+    return class_interval(spark_forest(model, folder, df.sparkSession), df, features, keep, z)

@@ -37,8 +37,33 @@ def q_mutual_information(spark, sf):
     return at.mutual_information(k_table(spark, sf), K_FEATURES, "label", 10)
 
 
-def _h(seed):
-    return f"md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(repeat AS VARCHAR), '{seed}'))"
+def _mi_knn_sql(k=3, seed=42):
+    long = _u([f"SELECT o_orderkey, y, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM o WHERE {c} IS NOT NULL" for c in O_FEATURES])
+    psi = lambda n: (f"(ln({n} + 6.0) - 0.5 / ({n} + 6.0) - 1.0 / (12.0 * pow({n} + 6.0, 2)) + 1.0 / (120.0 * pow({n} + 6.0, 4)) "      # noqa: E731
+                     f"- 1.0 / (252.0 * pow({n} + 6.0, 6)) + 1.0 / (240.0 * pow({n} + 6.0, 8)) - ({' + '.join(f'1.0 / ({n} + {i}.0)' for i in range(6))}))")
+    steps = ", ".join(f"abs(v - {f}(v, {i}) OVER w)" for i in range(1, k + 1) for f in ("lag", "lead"))
+    return (O + f""", l AS ({long}),
+z AS (SELECT o_orderkey, y, feature, v + CASE WHEN max(abs(v)) OVER (PARTITION BY feature) > 0 THEN max(abs(v)) OVER (PARTITION BY feature) ELSE 1.0 END * 1e-7
+      * (CAST(CAST(('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), feature, '{seed}')), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0) AS v FROM l),
+c AS (SELECT *, count(*) OVER (PARTITION BY feature, y) AS nc FROM z QUALIFY nc > 1),
+d AS (SELECT feature, v, nc, least({k}, nc - 1) AS k, list_sort(list_filter([{steps}], lambda x: x IS NOT NULL)) AS s FROM c
+      WINDOW w AS (PARTITION BY feature, y ORDER BY v, o_orderkey)),
+e AS (SELECT feature, nc, k, v, v - s[k] + 0.0 AS low, v + s[k] + 0.0 AS high FROM d),
+t AS (SELECT feature, v, max(upto) AS upto FROM (SELECT feature, v + 0.0 AS v, row_number() OVER (PARTITION BY feature ORDER BY v) AS upto FROM c) GROUP BY ALL),
+m AS (SELECT e.*, greatest(coalesce(hi.upto, 0) - coalesce(lo.upto, 0), 1) AS m FROM e ASOF LEFT JOIN t lo ON e.feature = lo.feature AND e.low >= lo.v
+      ASOF LEFT JOIN t hi ON e.feature = hi.feature AND e.high > hi.v)
+SELECT feature, {r(f"greatest(0.0, {psi('count(*)')} + avg({psi('k')}) - avg({psi('nc')}) - avg({psi('m')}))")} AS mi, count(*) AS n, 'knn_{k}' AS estimator
+FROM m GROUP BY feature""")
+
+
+@query("mutual_information_knn", _mi_knn_sql())
+def q_mutual_information_knn(spark, sf):
+    """X1 by nearest neighbours, on the features of orders."""
+    return at.mutual_information_knn(o_table(spark, sf), "o_orderkey", O_FEATURES, "y")
+
+
+def _draw(tag, seed):
+    return f"CAST(('0x' || substr(md5(concat_ws('|', '{tag}', CAST(g.repeat AS VARCHAR), '{seed}')), 1, 8)) AS BIGINT)"
 
 
 def _perm_sql(repeats=10, seed=42):
@@ -50,10 +75,12 @@ def _perm_sql(repeats=10, seed=42):
     scored = "(" + _u(longs) + ")"
     f1 = sql_averaged(sql_per_class(scored, 3, ["feature", "repeat"]), ["feature", "repeat"])
     base = sql_averaged(sql_per_class(f"(SELECT y, {o_pred_sql()} AS pred FROM o)", 3))
-    return (O + f""", rep AS (SELECT o.*, g.repeat FROM o, (SELECT unnest(range(0, {repeats})) AS repeat) g),
-a AS (SELECT *, row_number() OVER (PARTITION BY repeat ORDER BY {_h(seed)}, o_orderkey, repeat) AS pos FROM rep),
-b AS (SELECT repeat, row_number() OVER (PARTITION BY repeat ORDER BY {_h(seed + 1)}, o_orderkey, repeat) AS pos, {dcols} FROM rep),
-j AS (SELECT a.*, {', '.join(f'b.d_{f}' for f in O_FEATURES)} FROM a JOIN b ON a.repeat = b.repeat AND a.pos = b.pos),
+    return (O + f""", nn AS (SELECT count(*) AS n FROM o),
+a AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '{seed}')), o_orderkey) - 1 AS place FROM o),
+s AS (SELECT g.repeat, n, 1 + {_draw('a', seed)} % n AS a0, {_draw('b', seed)} % n AS b FROM nn, (SELECT unnest(range(0, {repeats})) AS repeat) g),
+mv AS (SELECT repeat, n, b, (SELECT min(x.a) FROM (SELECT unnest(range(s.a0, s.a0 + 1000)) AS a) x WHERE gcd(x.a, s.n) = 1) AS a FROM s),
+b AS (SELECT repeat, CAST((CAST(mv.a AS HUGEINT) * place + mv.b) % mv.n AS BIGINT) AS place, {dcols} FROM a, mv),
+j AS (SELECT a.*, b.repeat, {', '.join(f'b.d_{f}' for f in O_FEATURES)} FROM a JOIN b ON a.place = b.place),
 f AS ({f1}), bf AS ({base})
 SELECT feature, {r('avg(bf.f1_weighted - f.f1_weighted)')} AS importance_mean, {r('stddev_pop(bf.f1_weighted - f.f1_weighted)')} AS importance_std
 FROM f, bf GROUP BY feature""")

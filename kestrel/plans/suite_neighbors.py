@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import metric_index as mi
 from ..operators import neighbors as nb
 from ..sources.tables import read_table
 from .registry import query, r
@@ -34,6 +35,24 @@ def q_knn_join(spark, sf):
     return nb.knn_join(e, e, "vec_id", "embedding", 5)
 
 
+@query("knn_join_pivots", f"SELECT qid AS qkey, rid AS rkey, {r('d')} AS dist2, CAST(rn AS INTEGER) AS nn_rank FROM ({_nn_sql(5)})")
+def q_knn_join_pivots(spark, sf):
+    """J2 through the metric index: the same rows, far rings passed over."""
+    e = _emb(spark, sf)
+    return mi.pivot_knn_join(e, e, "vec_id", "embedding", 5)[0]
+
+
+@query("knn_hashed_recall", "SELECT count(*) AS queries, count(*) * 5 AS neighbours, true AS reached FROM embeddings")
+def q_knn_hashed_recall(spark, sf):
+    """J2 approximate: recall at 5 of the hashed join against the exact one, at least 0.9."""
+    e = _emb(spark, sf)
+    exact = nb.knn_join(e, e, "vec_id", "embedding", 5).select("qkey", "rkey")
+    close = mi.hashed_knn_join(e, e, "vec_id", "embedding", 5).select("qkey", "rkey", F.lit(1).alias("hit"))
+    met = exact.join(close, ["qkey", "rkey"], "left")
+    return met.agg(F.countDistinct("qkey").alias("queries"), F.count(F.lit(1)).alias("neighbours"),
+                   (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("reached"))
+
+
 @query("knn_classify", f"""WITH nn AS ({_nn_sql(15)}),
 v AS (SELECT nn.qid, e.label AS nlabel, count(*) AS votes FROM nn JOIN embeddings e ON nn.rid = e.vec_id GROUP BY ALL),
 s AS (SELECT qid, nlabel, votes, CAST(votes AS DOUBLE) / sum(votes) OVER (PARTITION BY qid) AS share FROM v)
