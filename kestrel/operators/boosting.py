@@ -98,10 +98,11 @@ class _Tree:
     """A tree while it grows: lists by node."""
 
     def __init__(self):
-        self.feature, self.bin, self.left, self.right, self.g, self.h, self.n = ([] for _ in range(7))
+        self.feature, self.bin, self.left, self.right, self.g, self.h, self.n, self.gain = ([] for _ in range(8))
 
     def add(self, g, h, n) -> int:
-        for column, value in zip((self.feature, self.bin, self.left, self.right, self.g, self.h, self.n), (LEAF, 0, 0, 0, g, h, n)):
+        for column, value in zip((self.feature, self.bin, self.left, self.right, self.g, self.h, self.n, self.gain),
+                                 (LEAF, 0, 0, 0, g, h, n, 0.0)):
             column.append(value)
         return len(self.feature) - 1
 
@@ -149,7 +150,7 @@ class SoftmaxBoosting(Estimator, _BoostingParams, DefaultParamsReadable, Default
                 value[:, c] = tree.values(p["stepSize"], p["l2"])
                 cut = [float(edges[f][b - 1]) if f != LEAF and b else float(np.finfo(float).min) for f, b in zip(tree.feature, tree.bin)]
                 trees.append({"feature": tree.feature, "threshold": cut, "left": tree.left, "right": tree.right, "cover": tree.n,
-                              "value": value.tolist()})
+                              "value": value.tolist(), "gain": tree.gain})
         state = json.dumps({"classes": k, "base": base.tolist(), "trees": trees, "losses": losses})
         return self._copyValues(SoftmaxBoostingModel(state=state))
 
@@ -215,7 +216,7 @@ def _grown(tree: _Tree, found: list, most: int) -> list[int]:
     leaves, new = sum(f == LEAF for f in tree.feature), []
     for r in sorted(best.values(), key=lambda r: (-r["gain"], r["node"]))[:max(0, most - leaves)]:
         node = r["node"]
-        tree.feature[node], tree.bin[node] = r["feature"], r["bin"]
+        tree.feature[node], tree.bin[node], tree.gain[node] = r["feature"], r["bin"], r["gain"]
         tree.left[node] = tree.add(r["gl"], r["hl"], r["nl"])
         tree.right[node] = tree.add(r["g"] - r["gl"], r["h"] - r["hl"], r["n"] - r["nl"])
         new += [tree.left[node], tree.right[node]]
@@ -356,6 +357,15 @@ class SoftmaxBoostingModel(Model, _BoostingParams, DefaultParamsReadable, Defaul
         """Validation loss before each round and after the last."""
         return self._read()["losses"]
 
+    def gains(self, n_features: int) -> list[float]:
+        """Gain of all splits on each feature."""
+        out = [0.0] * n_features
+        for tree in self._read()["trees"]:
+            for feature, gain in zip(tree["feature"], tree["gain"]):
+                if feature != LEAF:
+                    out[feature] += gain
+        return out
+
     def forest(self) -> tuple[Forest, np.ndarray]:
         """(trees that add up to the raw scores, base scores)."""
         s = self._read()

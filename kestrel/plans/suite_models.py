@@ -11,7 +11,6 @@ Queries fit with ``ml.QUICK`` settings, passed by name; the operators' defaults
 
 from __future__ import annotations
 
-import random
 import uuid
 
 from pyspark.ml import PipelineModel
@@ -19,17 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import label_encode
-from ..operators import metrics as mt
+from ..operators import experiments as ex
 from ..operators import ml
 from ..operators import prep
 from ..operators import split as sp
-from ..operators.neighbors import adasyn, smote
 from ..operators.scoring import score_job, score_with_model
 from ..operators.training import train_job
 from ..session import checkpoint_dir, materialize
 from ..sources.tables import read_table
 from .fixtures import FOLD_SQL, K_CLASSES, K_COLUMNS
-from .registry import query
+from .registry import query, r
+from .suite_metrics import sql_scorecard
 
 K3 = 3
 PROBS = [f"p_{i}" for i in range(K3)]
@@ -97,20 +96,39 @@ def _in_range(cols):
     return F.coalesce(out, F.lit(False))
 
 
+def _plan(spark, sf, folds=FOLDS) -> ex.FoldPlan:
+    return ex.FoldPlan(_three(spark, sf), "label", K3, "vec_id", folds, features="embedding")
+
+
+FAMILIES = ["logistic", "tree", "forest", "boosted", "mlp", "svm", "knn"]
+
+
 def compare_models(spark, sf) -> DataFrame:
-    """M8: seven families x stratified folds; mean and std of five scores, seconds, rank."""
-    fitters = ml.zoo_fitters(["logistic", "tree", "forest", "boosted", "mlp", "svm"], K3, 64, params=ml.QUICK)
-    fitters["knn"] = lambda train: ml.KnnModel(train, "vec_id", "embedding", "label", 15, K3)
-    card, times = ml.cross_validate(_emb3(spark, sf), "vec_id", "label", K3, fitters, folds=FOLDS)
-    return ml.summarize_cv(card, times)
+    """M8: seven families and the class shares x stratified folds; mean and std of five scores, seconds, rank."""
+    return ex.compare_models(_plan(spark, sf), FAMILIES, ml.QUICK)
 
 
-@query("compare_models", f"""WITH {E_SQL}, m(model) AS (VALUES ('logistic'), ('tree'), ('forest'), ('boosted'), ('mlp'), ('svm'), ('knn')),
+@query("compare_models", f"""WITH {E_SQL}, m(model) AS (VALUES {", ".join(f"('{f}')" for f in [*FAMILIES, "prior"])}),
 c AS (SELECT count(*) AS n FROM e) SELECT model, CAST(5 AS BIGINT) AS n_folds, true AS valid, true AS ranked FROM m, c WHERE n > 0""")
 def q_compare_models(spark, sf):
     t = compare_models(spark, sf)
     means = [f"{m}_mean" for m in ml.SCORES]
-    return t.select("model", "n_folds", (_in_range(means) & (F.col("fit_s") >= 0)).alias("valid"), F.col("rank").between(1, 7).alias("ranked"))
+    return t.select("model", "n_folds", (_in_range(means) & (F.col("fit_s") >= 0)).alias("valid"), F.col("rank").between(1, 8).alias("ranked"))
+
+
+PRIOR_SQL = f"""WITH {E_SQL}, {E_RANK}, f AS (SELECT label AS y, (rank - 1) % 5 AS fold FROM r),
+sh AS (SELECT g.fold, count(*) FILTER (f.y = 0) / CAST(count(*) AS DOUBLE) AS p_0, count(*) FILTER (f.y = 1) / CAST(count(*) AS DOUBLE) AS p_1,
+  count(*) FILTER (f.y = 2) / CAST(count(*) AS DOUBLE) AS p_2 FROM (SELECT DISTINCT fold FROM f) g JOIN f ON f.fold <> g.fold GROUP BY g.fold),
+s AS (SELECT f.fold, f.y, sh.p_0, sh.p_1, sh.p_2, CASE WHEN p_0 >= p_1 AND p_0 >= p_2 THEN 0 WHEN p_1 >= p_2 THEN 1 ELSE 2 END AS pred FROM f JOIN sh ON f.fold = sh.fold),
+c AS ({sql_scorecard("s", K3, PROBS, ["fold"])})
+SELECT 'prior' AS model, count(*) AS n_folds, """ + ", ".join(f"{r(f'avg({m})')} AS {m}_mean, {r(f'stddev_pop({m})')} AS {m}_std" for m in ml.SCORES) + " FROM c"
+
+
+@query("prior_baseline", PRIOR_SQL)
+def q_prior_baseline(spark, sf):
+    """M8's table for the arm whose numbers have a closed form: the class shares of each fold's training rows."""
+    t = ex.compare_models(_plan(spark, sf), [])
+    return t.select("model", "n_folds", *[f"{m}_{x}" for m in ml.SCORES for x in ("mean", "std")])
 
 
 def _docs_labelled(spark, sf) -> DataFrame:
@@ -126,29 +144,14 @@ def _docs_labelled(spark, sf) -> DataFrame:
     return j.select("doc_id", F.col("quality").alias("label"), F.array(*feats).alias("fvec"))
 
 
-STRATEGIES = ["none", "class_weight", "smote", "adasyn", "random_over", "random_under"]
+STRATEGIES = ex.STRATEGIES
 
 
 def compare_imbalance(spark, sf) -> DataFrame:
     """M9: none / class weight / SMOTE / ADASYN / over / under, each applied to training folds only,
     logistic model; five scores by strategy, ranked."""
-    base = materialize(_docs_labelled(spark, sf), "labelled")
-    k, params = 2, ml.QUICK["logistic"]
-
-    def synth(fn):
-        def tr(train):
-            s = fn(train.select("doc_id", "label", "fvec"), "doc_id", "fvec", "label", 5)
-            s = s.select(F.lit(None).cast("long").alias("doc_id"), "label", F.col("fvec").cast("array<double>").alias("fvec"))
-            return train.select("doc_id", "label", F.col("fvec").cast("array<double>").alias("fvec")).unionByName(s)
-        return tr
-
-    samplers = {"none": None, "class_weight": None, "smote": synth(smote), "adasyn": synth(adasyn),
-                "random_over": lambda tr: sp.oversample(tr, "label", ["doc_id"]).drop("rank", "copy"),
-                "random_under": lambda tr: sp.undersample(tr, "label", ["doc_id"]).drop("rank")}
-    fitters = {n: (lambda f, w: lambda tr: ml.fit_final(tr.select("doc_id", "label", "fvec"), k, "logistic", features="fvec", sampler=f,
-                                                        weight=w, params=params))(f, n == "class_weight") for n, f in samplers.items()}
-    card, _ = ml.cross_validate(base, "doc_id", "label", k, fitters, folds=FOLDS)
-    return ml.summarize_cv(card).withColumnRenamed("model", "strategy")
+    plan = ex.FoldPlan(_docs_labelled(spark, sf), "label", 2, "doc_id", FOLDS, features="fvec")
+    return ex.compare_imbalance(plan, "logistic", ml.QUICK["logistic"])
 
 
 @query("compare_imbalance", "WITH s(strategy) AS (VALUES " + ", ".join(f"('{x}')" for x in STRATEGIES) + """),
@@ -163,33 +166,27 @@ def q_compare_imbalance(spark, sf):
 QUICK_SPACE = {"numTrees": ("int", 5, 30), "maxDepth": ("int", 2, 8), "minInstancesPerNode": ("int", 1, 8)}
 
 
-def draw_trials(space: dict, n_trials: int, seed: int = sp.SEED) -> list[dict]:
-    rng = random.Random(seed)
-    return [ml.draw_params(space, rng) for _ in range(n_trials)]
-
-
-def search_trials(spark, sf, n_trials: int = 30, space: dict | None = None, family: str = "forest") -> DataFrame:
-    """Seeded random search scored by val - 0.5 * max(0, train - val)."""
-    trials = draw_trials(space or ml.SEARCH_SPACES[family], n_trials)
-    fitters = {str(t): ml.zoo_fitters([family], K3, 64, params={family: params})[family] for t, params in enumerate(trials)}
-    card, _ = ml.cross_validate(_emb3(spark, sf), "vec_id", "label", K3, fitters, folds=FOLDS, with_train=True)
-    s_ = card.groupBy(F.col("model").cast("int").alias("trial")).agg(
-        F.avg(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_f1"),
-        F.avg(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("val_f1"))
-    names = list(trials[0])
-    kinds = ", ".join(f"{n} {'int' if isinstance(trials[0][n], int) else 'double' if isinstance(trials[0][n], float) else 'string'}" for n in names)
-    grid = spark.createDataFrame([(t, *[p[n] for n in names]) for t, p in enumerate(trials)], "trial int, " + kinds)
-    return grid.join(s_, "trial").withColumn("objective", ml.gap_objective(F.col("val_f1"), F.col("train_f1")))
+draw_trials = ex.draw_trials
 
 
 @query("search_trials", "SELECT trial, \"numTrees\", \"maxDepth\", \"minInstancesPerNode\", true AS valid FROM (VALUES " + ", ".join(
     f"({t}, {p['numTrees']}, {p['maxDepth']}, {p['minInstancesPerNode']})" for t, p in enumerate(draw_trials(QUICK_SPACE, 4)))
-    + ') AS v(trial, "numTrees", "maxDepth", "minInstancesPerNode")')
+    + ') AS v(trial, "numTrees", "maxDepth", "minInstancesPerNode") WHERE (SELECT count(*) FROM embeddings) > 0')
 def q_search_trials(spark, sf):
-    """Four trials of a small space."""
-    t = search_trials(spark, sf, 4, QUICK_SPACE)
-    return t.select("trial", "numTrees", "maxDepth", "minInstancesPerNode",
-                    (_in_range(["train_f1", "val_f1"]) & (F.col("objective") <= F.col("val_f1"))).alias("valid"))
+    """M10 over four trials of a small space, all folds."""
+    t = ex.search(_plan(spark, sf), "forest", 4, QUICK_SPACE, halving=False)
+    names = [F.get_json_object("params", f"$.{n}").cast("int").alias(n) for n in ("numTrees", "maxDepth", "minInstancesPerNode")]
+    return t.select("trial", *names, (_in_range(["train_f1", "val_f1"]) & (F.col("objective") <= F.col("val_f1")) & F.col("finished")).alias("valid"))
+
+
+@query("search_halving", "SELECT CAST(f AS INTEGER) AS folds, CAST(n AS BIGINT) AS trials, true AS valid FROM (VALUES (1, 4), (2, 2), (5, 2)) AS v(f, n) "
+       "WHERE (SELECT count(*) FROM embeddings) > 0")
+def q_search_halving(spark, sf):
+    """M10 with successive halving over eight trials of the small space: four leave after the first fold, two after
+    the second, two meet all five."""
+    t = ex.search(_plan(spark, sf), "forest", 8, QUICK_SPACE)
+    return t.groupBy("folds").agg(F.count(F.lit(1)).alias("trials"), F.min((F.col("finished") == (F.col("folds") == 5)) & F.col("val_f1").between(0, 1))
+                                  .alias("valid"))
 
 
 def _final_model(train):
@@ -232,13 +229,6 @@ def _k_keyed(spark, sf, extra_leaks=False):
 PT = ["y", "fold"]
 
 
-def _concurrently(fn, items, workers: int = 3):
-    """Independent fits as concurrent Spark jobs from a few driver threads."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        return list(pool.map(fn, list(items)))
-
-
 def _prep_fit(train, derive=True, keep=None, model="logistic", k=K3):
     """A9 (or A10) + classifier fitted on training rows; y/fold pass through."""
     pre = prep.build_preprocessor(scale=True, derive=derive, target="label", keep=keep, passthrough=PT).fit(train)
@@ -251,16 +241,18 @@ def _prep_score(pre, names, clf, df, k=K3):
     return ml.scored_frame(clf, ml.with_vector(pre.transform(df), names), k, ["y", "fold"])
 
 
+def _prepared(**options):
+    return lambda *keep: prep.build_preprocessor(scale=True, target="label", passthrough=["y", "fold", "part"],
+                                                 keep=keep[0] if keep else None, **options)
+
+
 def _binary_card(spark, sf, decided: bool):
     k = _k_keyed(spark, sf)
     if decided:   # P7: keep the decided classes, CONFIRMED-like 'R' vs FALSE-POSITIVE-like 'A'
         k = k.filter(F.col("label").isin("A", "R")).withColumn("y", (F.col("label") == "R").cast("int"))
     else:         # P11: REAL = not 'A'
         k = k.withColumn("y", (F.col("label") != "A").cast("int"))
-    train = k.filter(F.col("fold") != 0)
-    pre, names, clf = _prep_fit(train, model="boosted", k=2)
-    scored = _prep_score(pre, names, clf, k, 2).withColumn("part", F.when(F.col("fold") == 0, "test").otherwise("train"))
-    return mt.binary_scorecard(scored, "y", "pred", "p_1", "part")
+    return ex.binary_framing(k, "y", F.col("fold") == 0, _prepared(), "boosted", ml.QUICK["boosted"])
 
 
 BINARY_SQL = """SELECT part, n, true AS valid FROM (
@@ -269,13 +261,9 @@ SELECT CASE WHEN fold = 0 THEN 'test' ELSE 'train' END AS part, CAST(count(*) AS
 
 def _binary_contract(spark, sf, decided):
     """Rows per part, all scores in range, the gap consistent with the train score."""
-    card = _binary_card(spark, sf, decided)
-    k = _k_keyed(spark, sf)
-    k = k.filter(F.col("label").isin("A", "R")) if decided else k
-    n = k.groupBy(F.when(F.col("fold") == 0, "test").otherwise("train").alias("part")).agg(F.count(F.lit(1)).alias("n"))
     ok = _in_range(["accuracy", "precision", "recall", "f1", "roc_auc", "average_precision"]) & \
         (F.abs(F.col("overfit_gap") - (F.col("train_f1") - F.col("f1"))) < 1e-9)
-    return n.join(card, "part").select("part", "n", ok.alias("valid"))
+    return _binary_card(spark, sf, decided).select("part", "n", ok.alias("valid"))
 
 
 @query("binary_framing", f"WITH {K_FOLD} " + BINARY_SQL.format(where=""))
@@ -296,19 +284,7 @@ LEAKS = ["koi_score", "koi_fpflag_nt"]
 def leakage_benchmark(spark, sf) -> DataFrame:
     """Same model with the firewall on vs with planted leak columns
     restored; premium = F1 with leakage - F1 without (J3)."""
-    k = materialize(_k_keyed(spark, sf, extra_leaks=True), "leaks")
-    train, test = k.filter(F.col("fold") != 0), k.filter(F.col("fold") == 0)
-
-    def arm(a):
-        name, keep = a
-        pre, names, clf = _prep_fit(train, keep=keep)
-        sc = _prep_score(pre, names, clf, test)
-        got = mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"]
-        return (name, got, len(names), sc.count(), all(x in names for x in keep or []))
-
-    rows = _concurrently(arm, [("leakage_free", None), ("with_leakage", LEAKS)])
-    df = spark.createDataFrame(rows, "arm string, f1_weighted double, n_features int, n long, leaks_kept boolean")
-    return df.withColumn("premium", F.col("f1_weighted") - F.lit(rows[0][1]))
+    return ex.leakage_benchmark(_k_keyed(spark, sf, extra_leaks=True), "y", K3, F.col("fold") == 0, _prepared(), LEAKS, "logistic", ml.QUICK["logistic"])
 
 
 @query("leakage_benchmark", f"""WITH {K_FOLD}, a(arm, leak_helps) AS (VALUES ('leakage_free', false), ('with_leakage', true))
@@ -322,19 +298,10 @@ def feature_ablation(spark, sf, folds: int = 3) -> DataFrame:
     """Cross-validation with vs without derived features; delta vs the
     without-arm.  Preprocessing is refitted inside each fold."""
     k = materialize(_k_keyed(spark, sf).withColumn("fold", F.col("fold") % folds), "ablation")
-
-    def one(a):
-        arm, derive, f = a
-        pre, names, clf = _prep_fit(k.filter(F.col("fold") != f), derive=derive)
-        sc = _prep_score(pre, names, clf, k.filter(F.col("fold") == f))
-        return (arm, f, mt.averaged_scores(mt.per_class_scores(sc, K3)).first()["f1_weighted"], sc.count())
-
-    rows = _concurrently(one, [(a, d, f) for a, d in [("with_features", True), ("without_features", False)] for f in range(folds)])
-    by_fold = spark.createDataFrame(rows, "arm string, fold int, f1_weighted double, n long")
-    summ = mt.fold_summary(by_fold, ["arm"], "f1_weighted").join(by_fold.groupBy("arm").agg(F.sum("n").alias("n")), "arm")
-    base = summ.filter(F.col("arm") == "without_features").select(F.lit(1).alias("__k"), F.col("f1_weighted_mean").alias("__b"))
-    return summ.withColumn("__k", F.lit(1)).join(F.broadcast(base), "__k").withColumn(
-        "delta", F.col("f1_weighted_mean") - F.col("__b")).drop("__k", "__b")
+    plans = {arm: ex.FoldPlan(k, "y", K3, folds=folds, fold_col="fold", preprocessor=_prepared(derive=derive))
+             for arm, derive in [("with_features", True), ("without_features", False)]}
+    n = sum(plans["with_features"].part(f, False).count() for f in range(folds))
+    return ex.feature_ablation(plans, "without_features", "logistic", ml.QUICK["logistic"]).withColumn("n", F.lit(n).cast("long"))
 
 
 @query("feature_ablation", f"""WITH {K_FOLD}, a(arm) AS (VALUES ('with_features'), ('without_features'))
@@ -344,42 +311,13 @@ def q_feature_ablation(spark, sf):
     return t.select("arm", "n_folds", "n", _in_range(["f1_weighted_mean"]).alias("valid"))
 
 
-def _train_and_val(card: DataFrame, by: str) -> DataFrame:
-    pick = lambda part: F.when(F.col("part") == part, F.col("f1_weighted"))
-    return card.groupBy(by).agg(F.avg(pick("train")).alias("train_mean"), F.stddev_pop(pick("train")).alias("train_std"),
-                                F.avg(pick("test")).alias("val_mean"), F.stddev_pop(pick("test")).alias("val_std"),
-                                F.countDistinct("fold").alias("n_folds"))
-
-
 LEARNING_FRACTIONS = [0.1, 0.28, 0.46, 0.64, 0.82, 1.0]
 
 
 def learning_curve(spark, sf, fractions=tuple(LEARNING_FRACTIONS)) -> DataFrame:
-    """Nested training sizes x stratified folds, logistic model; all scorings are scored in one
-    grouped aggregation.  ``n_train``: training rows over the folds."""
-    e = materialize(sp.stratified_folds(_emb3(spark, sf), "label", ["vec_id"], FOLDS), "folds")
-
-    def fold(f):
-        out = []
-        train = materialize(sp.learning_subsets(e.filter(F.col("fold") != f).drop("rank"), ["vec_id"], list(fractions)), "subsets")
-        test = e.filter(F.col("fold") == f)
-        for i, fraction in enumerate(fractions):
-            sub = train.filter(F.col("first_subset") <= i)
-            model = ml.make_estimator("logistic", K3, 64, ml.QUICK["logistic"]).fit(sub)
-            for part, d in [("train", sub), ("test", test)]:
-                out.append(materialize(ml.scored_frame(model, d, K3, ["label"]).select(
-                    F.lit(fraction).alias("train_fraction"), F.lit(f).alias("fold"), F.lit(part).alias("part"),
-                    F.col("label").alias("y"), *PROBS, "pred"), "curve"))
-        return out
-
-    parts = [p for out in _concurrently(fold, range(FOLDS)) for p in out]
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    by = ["train_fraction", "fold", "part"]
-    f1 = mt.averaged_scores(mt.per_class_scores(allp, K3, by=by), by)
-    sizes = allp.filter(F.col("part") == "train").groupBy("train_fraction").agg(F.count(F.lit(1)).alias("n_train"))
-    return _train_and_val(f1, "train_fraction").join(sizes, "train_fraction")
+    """Nested training sizes x stratified folds, logistic model.  ``n_train``: training rows over the folds."""
+    plan = _plan(spark, sf)
+    return ex.learning_curve(plan, ex.family_arm(plan, "logistic", ml.QUICK["logistic"]), fractions)
 
 
 @query("learning_curve", f"""WITH {E_SQL}, {E_RANK}, f(train_fraction) AS (VALUES {", ".join(f"(CAST({x} AS DOUBLE))" for x in LEARNING_FRACTIONS)}),
@@ -398,9 +336,7 @@ QUICK_GRID = [5, 10, 20]
 
 def validation_curve(spark, sf, grid=tuple(VALIDATION_GRID), family: str = "forest", parameter: str = "numTrees") -> DataFrame:
     """One parameter over a grid x folds, train and validation F1."""
-    fitters = {str(v): ml.zoo_fitters([family], K3, 64, params={family: {**ml.QUICK.get(family, {}), parameter: v}})[family] for v in grid}
-    card, _ = ml.cross_validate(_emb3(spark, sf), "vec_id", "label", K3, fitters, folds=FOLDS, with_train=True)
-    return _train_and_val(card.withColumn(parameter, F.col("model").cast("int")), parameter)
+    return ex.validation_curve(_plan(spark, sf), family, parameter, grid, ml.QUICK.get(family))
 
 
 @query("validation_curve", f"""SELECT v AS "numTrees", CAST(5 AS BIGINT) AS n_folds, true AS valid FROM (VALUES {", ".join(f"({v})" for v in QUICK_GRID)}) AS g(v)
@@ -432,16 +368,13 @@ def q_model_round_trip(spark, sf):
 def native_importance(spark, sf, top: int = 20) -> DataFrame:
     """The forest's own importances, the largest ``top``, as (rank, feature, importance)."""
     model = ml.make_estimator("forest", K3, 64, ml.QUICK["forest"]).fit(_emb3(spark, sf))
-    imp = model.featureImportances.toArray()      # O(features) on the driver
-    rows = sorted(((f"emb_{i}", float(v)) for i, v in enumerate(imp)), key=lambda x: (-x[1], x[0]))
-    return spark.createDataFrame([(i + 1, f, v, float(sum(imp))) for i, (f, v) in enumerate(rows[:top])],
-                                 "rank int, feature string, importance double, total double")
+    return ex.native_importance(model, [f"emb_{i}" for i in range(64)], spark, top)
 
 
 @query("native_importance", "SELECT CAST(range AS INTEGER) AS rank, true AS valid FROM range(1, 21) WHERE (SELECT count(*) FROM embeddings) > 0")
 def q_native_importance(spark, sf):
     t = native_importance(spark, sf)
-    return t.select("rank", (F.col("importance").between(0, 1) & (F.abs(F.col("total") - 1) < 1e-9)).alias("valid"))
+    return t.select("rank", F.col("importance").between(0, 1).alias("valid"))
 
 
 @query("score_partial", f"WITH {K_FOLD} SELECT fold, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS n_valid FROM k GROUP BY fold")
@@ -468,11 +401,11 @@ def q_score_job(spark, sf):
 
 @query("forest_interval", "SELECT vec_id, true AS valid FROM embeddings")
 def q_forest_interval(spark, sf):
-    """I3 on a fitted forest of 10 trees: mean +- 1.96 population std of the winning
+    """I3 on the full forest (400 trees): mean +- 1.96 population std of the winning
     class probability over the trees, clipped to [0, 1]."""
     from ..operators.scoring import forest_interval
     e = _emb3(spark, sf)
-    model = ml.make_estimator("forest", K3, 64, {**ml.QUICK["forest"], "numTrees": 10}).fit(e)
+    model = ml.make_estimator("forest", K3, 64).fit(e)
     t = forest_interval(model, e, keep=["vec_id"])
     low, mean, high = F.col("confidence_low"), F.col("member_mean"), F.col("confidence_high")
     return t.select("vec_id", ((low >= 0) & (low <= mean + 1e-9) & (mean <= high + 1e-9) & (high <= 1) & (F.col("member_std") >= 0)).alias("valid"))
