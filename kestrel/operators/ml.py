@@ -15,8 +15,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -50,7 +49,7 @@ ZOO_DEFAULTS: dict[str, dict] = {
     "boosted_wide": {"maxIter": 600, "stepSize": 0.05, "maxDepth": 16, "maxLeaves": 63, "minInstancesPerNode": 20, "l2": 0.0, "subsamplingRate": 0.9,
                      "featureShare": 0.9, "validationShare": 0.0},
     "boosted_even": {"maxIter": 600, "stepSize": 0.05, "maxDepth": 6, "maxLeaves": 64, "minInstancesPerNode": 1, "l2": 3.0, "validationShare": 0.0},
-    "mlp": {"hidden": [128, 64], "maxIter": 400},
+    "mlp": {"hidden": [128, 64], "maxIter": 400, "alpha": 1e-3, "validationShare": 0.1},
     "svm": {"maxIter": 100, "regParam": 0.01},
 }
 # Smaller settings for checks and benches; always passed by name, never a default.
@@ -79,7 +78,7 @@ def make_estimator(name: str, k: int, n_features: int, params: dict | None = Non
     if name == "mlp":
         if weight:
             raise ValueError("Spark's multilayer perceptron takes no row weights")
-        return MultilayerPerceptronClassifier(layers=[n_features, *p["hidden"], k], maxIter=p["maxIter"], seed=SEED, **common)
+        return EarlyStoppedMlp([n_features, *p["hidden"], k], label, p)
     if name == "logistic":
         est = LogisticRegression(family="multinomial" if k > 2 else "binomial", maxIter=p["maxIter"], regParam=p["regParam"], **common)
     elif name == "tree":
@@ -102,6 +101,18 @@ def make_estimator(name: str, k: int, n_features: int, params: dict | None = Non
     return est
 
 
+class EarlyStoppedMlp:
+    """The perceptron of the zoo: ``mlp.fit_mlp`` behind an estimator's ``fit`` (the fitted model is Spark's own)."""
+
+    def __init__(self, layers: list[int], label: str, params: dict):
+        self.layers, self.label, self.params = layers, label, params
+
+    def fit(self, df: DataFrame):
+        from .mlp import fit_mlp
+        p = self.params
+        return fit_mlp(df, self.layers, self.label, FEATURES, p["alpha"], p["maxIter"], validation_share=p["validationShare"])[0]
+
+
 def fit_final(train: DataFrame, k: int, model: str, label: str = "label", preprocessor=None, features: Sequence[str] | str | None = None,
               sampler: Callable | None = None, weight: bool = False, params: dict | None = None, keep: Sequence[str] = ()):
     """Preprocessor -> sampler or class weight (training rows only) -> classifier, as one

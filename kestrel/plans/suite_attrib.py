@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import attribution as at
 from ..operators import ml
+from ..operators import trees as tr
+from ..session import checkpoint_dir
 from ..sources.tables import read_table
 from .fixtures import K_FEATURES, O_FEATURES, O_WEIGHTS, k_sql, k_table, o_pred, o_pred_sql, o_score_sql, o_sql, o_table
 from .registry import query, r
@@ -138,6 +142,58 @@ def q_shap_local(spark, sf):
     return at.shap_local(phi, "o_orderkey", at.linear_base(o, O_FEATURES, O_WEIGHTS), 12)
 
 
+# A stated tree over two features of orders, cut at the features' means.
+def _stated_cuts(spark, sf):
+    o = o_table(spark, sf)
+    f0, f1 = O_FEATURES[:2]
+    return o, o.agg(F.avg(f0).alias("a"), F.avg(f1).alias("b")).first()
+
+
+def _stated_sql():
+    f0, f1 = O_FEATURES[:2]
+    v = lambda *known: _stated_value(f0, f1, known)       # noqa: E731
+    phi0 = f"0.5 * (({v(0)}) - ({v()})) + 0.5 * (({v(0, 1)}) - ({v(1)}))"
+    phi1 = f"0.5 * (({v(1)}) - ({v()})) + 0.5 * (({v(0, 1)}) - ({v(0)}))"
+    rest = "".join(f"\nUNION ALL SELECT o_orderkey, '{f}' AS feature, 0.0 AS phi FROM o" for f in O_FEATURES[2:])
+    return (O + f""", c AS (SELECT avg({f0}) AS a, avg({f1}) AS b FROM o),
+n AS (SELECT count(*) AS n, count(*) FILTER ({f0} <= a) AS nl, count(*) FILTER ({f0} <= a AND {f1} <= b) AS nll FROM o, c),
+p AS (SELECT o_orderkey, '{f0}' AS feature, {phi0} AS phi FROM o, c, n UNION ALL SELECT o_orderkey, '{f1}', {phi1} FROM o, c, n{rest})
+SELECT o_orderkey, feature, {r('phi')} AS phi FROM p""")
+
+
+def _stated_value(f0, f1, known):
+    """Value of the stated tree (leaves 1 and 5 on the left, 3 on the right) when the features in ``known`` are known."""
+    inner = f"CASE WHEN {f1} <= b THEN 1.0 ELSE 5.0 END" if 1 in known else "(nll * 1.0 + (nl - nll) * 5.0) / nl"
+    return f"CASE WHEN {f0} <= a THEN {inner} ELSE 3.0 END" if 0 in known else f"(nl * ({inner}) + (n - nl) * 3.0) / n"
+
+
+@query("shapley_tree_stated", _stated_sql())
+def q_shapley_tree_stated(spark, sf):
+    """X4 for a stated tree: cuts at two means, covers counted over the table, so the values have a closed form."""
+    o, cut = _stated_cuts(spark, sf)
+    f0, f1 = O_FEATURES[:2]
+    n = o.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(f0) <= cut["a"]).alias("nl"),
+              F.count_if((F.col(f0) <= cut["a"]) & (F.col(f1) <= cut["b"])).alias("nll")).first()
+    tree = {"feature": [0, 1, -1, -1, -1], "threshold": [cut["a"], cut["b"], 0.0, 0.0, 0.0], "left": [1, 2, 0, 0, 0], "right": [4, 3, 0, 0, 0],
+            "cover": [n["n"], n["nl"], n["nll"], n["nl"] - n["nll"], n["n"] - n["nl"]], "value": [[0.0], [0.0], [1.0], [5.0], [3.0]]}
+    rows = o.select("o_orderkey", F.array(*[F.col(f).cast("double") for f in O_FEATURES]).alias("x"))
+    return tr.shapley_trees(tr.Forest.of([tree]), rows, "o_orderkey", "x", O_FEATURES).drop("class")
+
+
+@query("shapley_forest", "SELECT vec_id, CAST(c.class AS INTEGER) AS class, CAST(64 AS BIGINT) AS n_features, CAST(0 AS DOUBLE) AS residual FROM embeddings, (VALUES (0), (1), (2)) AS c(class)")
+def q_shapley_forest(spark, sf):
+    """X4 exactly for a fitted forest on ``label % 3``: the values of a row add up to f(x) less the expected value."""
+    from pyspark.ml.functions import vector_to_array
+    e = ml.with_vector(read_table(spark, sf, "embeddings").withColumn("label", F.col("label") % 3), "embedding")
+    model = ml.make_estimator("forest", 3, 64, ml.QUICK["forest"]).fit(e)
+    forest = tr.spark_forest(model, f"{checkpoint_dir(spark)}/forest-{uuid.uuid4().hex}", spark)
+    total = tr.shapley_trees(forest, e, "vec_id", "features").groupBy("vec_id", "class").agg(F.sum("phi").alias("s"), F.count(F.lit(1)).alias("n_features"))
+    base = F.array(*[F.lit(float(v)) for v in forest.expected()])
+    fx = model.transform(e).select("vec_id", vector_to_array("probability").alias("p"))
+    return total.join(fx, "vec_id").select("vec_id", "class", "n_features", F.round(F.col("s") - (F.col("p")[F.col("class")] - base[F.col("class")]), 6)
+                                           .alias("residual"))
+
+
 @query("shapley_sampled", "SELECT vec_id, CAST(c.class AS INTEGER) AS class, CAST(64 AS BIGINT) AS n_features, CAST(0 AS DOUBLE) AS residual FROM embeddings, (VALUES (0), (1), (2)) AS c(class)")
 def q_shapley_sampled(spark, sf):
     """X4 by sampled feature orders for a small forest on ``label % 3``, two orders a row: the

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import metric_store as ms
 from ..operators import metrics as m
 from ..operators import scoring as sc
+from ..operators.experiments import delta_table
+from ..session import checkpoint_dir, materialize
 from .fixtures import K_CLASSES, N_MEMBERS, s_sql, s_table
 from .registry import query, r
 
@@ -304,6 +309,40 @@ def q_run_summary(spark, sf):
     return long.unionByName(pc)
 
 
+STORED = ["accuracy", "f1_weighted", "f1_macro", "roc_auc_ovr_weighted"]
+
+
+def _run_store_sql():
+    """The same numbers, computed at once: framings, arms against the first member, train score and gap."""
+    card = sql_scorecard(FRAMINGS_SQL, K3, PROBS, ["framing"])
+    parts = [f"SELECT '{c}' AS metric, framing, {c} AS value FROM ({card})" for c in STORED]
+    parts.append(f"SELECT 'f1_' || model AS metric, 'arms' AS framing, f1_weighted AS value FROM ({MODEL_F1})")
+    parts.append(f"SELECT 'f1_' || a.model || '_delta', 'arms', a.f1_weighted - b.f1_weighted FROM ({MODEL_F1}) a "
+                 f"JOIN (SELECT * FROM ({MODEL_F1}) WHERE model = 'member_0') b ON true")
+    parted = sql_averaged(sql_per_class("(SELECT y, pred, CASE WHEN fold = 0 THEN 'test' ELSE 'train' END AS part FROM s)", K3, ["part"]), ["part"])
+    for name, value in (("train_f1", "b.f1_weighted"), ("overfit_gap", "b.f1_weighted - a.f1_weighted")):
+        parts.append(f"SELECT '{name}', 'three_class', {value} FROM ({parted}) a JOIN ({parted}) b ON a.part = 'test' AND b.part = 'train'")
+    return rr(_u(parts), ["value"])
+
+
+@query("run_store", SM + _run_store_sql())
+def q_run_store(spark, sf):
+    """E17 through the metric store: three jobs append their numbers (scorecards of the framings; arms against the first
+    member; train score and gap), the summary of the run is read back."""
+    store, run = f"{checkpoint_dir(spark)}/metric-store-{uuid.uuid4().hex}", "run"
+    s = materialize(_s(spark, sf, members=True), "scored")
+    ms.record(ms.long_form(m.scorecard(_framings(s), K3, PROBS, by=["framing"]), F.col("framing"), STORED), store, run)
+    long = _members_long(spark, sf)
+    f1 = m.averaged_scores(m.per_class_scores(long, K3, by=["model"]), ["model"]).select("model", "f1_weighted")
+    ms.record(ms.arms_long(delta_table(f1, "model", "f1_weighted", "member_0"), "model", "f1_weighted", "delta", "f1", "arms"), store, run)
+    part = F.when(F.col("fold") == 0, "test").otherwise("train")
+    parts = m.averaged_scores(m.per_class_scores(s.withColumn("part", part), K3, by=["part"]), ["part"])
+    both = parts.agg(F.max(F.when(F.col("part") == "train", F.col("f1_weighted"))).alias("train_f1"),
+                     F.max(F.when(F.col("part") == "test", F.col("f1_weighted"))).alias("test_f1"))
+    ms.record(ms.long_form(both.withColumn("overfit_gap", F.col("train_f1") - F.col("test_f1")), "three_class", ["train_f1", "overfit_gap"]), store, run)
+    return ms.run_summary(spark, store, run)
+
+
 # ---- I1, I3, I4 ------------------------------------------------------------------------------
 
 @query("score_batch", S + rr("SELECT CASE pred WHEN 0 THEN 'A' WHEN 1 THEN 'N' WHEN 2 THEN 'R' END AS predicted_label, pred, "
