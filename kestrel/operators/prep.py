@@ -89,7 +89,7 @@ def prune_decisions(df: DataFrame, columns: Sequence[str] | None = None, missing
     value.  Job 1: row count, non-null counts and approximate medians.  Job 2:
     how many values equal each column's candidate.  The decision is exact.  A
     limit near one half or below gives the median no such margin; then the
-    exact value counts (A3) decide.  ``dominant_frac`` is the counted share."""
+    exact value counts (A3) decide; the shares themselves are A3's table."""
     columns = list(df.columns) if columns is None else list(columns)
     exact = dominant_limit <= 0.5 + 2.0 / MEDIAN_ACCURACY
     types = {f.name: f.dataType for f in df.schema.fields}
