@@ -97,13 +97,18 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 
 class Memo(dict):
     """``memo[key]`` is ``make(key)``, computed once while the key stays in use.  Bounded: at
-    ``limit`` entries the table becomes the old generation and only keys met again survive."""
+    ``limit`` entries the table becomes the old generation and only keys met again survive; keys longer
+    than ``LONGEST`` (text without spaces) are made anew each time and never held."""
+
+    LONGEST = 128
 
     def __init__(self, make, limit: int = 1 << 18):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
+        if len(key) > self.LONGEST:
+            return self.make(key)
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()

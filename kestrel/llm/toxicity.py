@@ -246,9 +246,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
           per_class: int = 2000, most_words: int = 4000) -> ToxicityModel | None:
     """Fit on labelled rows where ``learn`` (over the labels' id) holds and the id has a text: the descent takes
     a sample of ``per_class`` ids of each label (four fifths of them, if there are fewer), of texts of at most
-    ``most_words`` words (bounds of the descent alone; scoring reads whole texts).  All labelled rows that are
-    not in the descent set the thresholds.  None if no labelled row is left; a label that has rows but
-    none in the sample is an error."""
+    ``most_words`` words (bounds of the descent alone; scoring reads whole texts); a label whose sampled texts are
+    all longer gives a block of each.  All labelled rows that are not in the descent set the thresholds.  An id
+    labelled both ways counts as 1; None if no labelled row is left."""
     texts = docs.select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("t"))
     known = labels.where(learn & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
     known = written(known.join(texts.select("id"), "id", "left_semi"), "toxicity-labels")
@@ -264,18 +264,29 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     sample = (texts.join(F.broadcast(picked), "id").dropDuplicates(["id", "t"])        # a few thousand ids, bounded by the parameter
               .withColumn("place", place).where(F.col("place") <= 4 * per_class).select("t", "y"))
 
-    def run(batches):
-        rows = Rows()
-        for batch in slices(batches):
-            got = [(y, rows(t)[0]) for t, y in zip(*(c.to_pylist() for c in batch.columns))]
-            got = [g for g in got if len(g[1]) <= most_words]
-            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in got], pa.int32()),
-                                              pa.array([r.astype(np.int32) for _, r in got], pa.list_(pa.int32()))], names=["y", "hashes"])
-
-    got = sample.mapInArrow(run, "y int, hashes array<int>").toArrow()
+    def reader(blocks: bool):
+        """Word hashes of the texts of at most ``most_words`` words; ``blocks``: of one block of every longer one."""
+        def run(batches):
+            rows = Rows()
+            for batch in slices(batches):
+                got = [(y, rows(t)[0]) for t, y in zip(*(c.to_pylist() for c in batch.columns))]
+                if blocks:
+                    got = [(y, np.array_split(r, -(-len(r) // most_words))[zlib.crc32(r.tobytes()) % -(-len(r) // most_words)])
+                           for y, r in got if len(r) > most_words]
+                else:
+                    got = [g for g in got if len(g[1]) <= most_words]
+                yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in got], pa.int32()),
+                                                  pa.array([r.astype(np.int32) for _, r in got], pa.list_(pa.int32()))], names=["y", "hashes"])
+        return run
+
+    got = sample.mapInArrow(reader(False), "y int, hashes array<int>").toArrow()
+    lost = sorted(counts.keys() - set(got["y"].to_pylist()))
+    if lost:                                               # all its sampled texts are long
+        long = sample.where(F.col("y").isin(lost)).mapInArrow(reader(True), "y int, hashes array<int>").toArrow()
+        got = pa.concat_tables([got, long])
     lost = counts.keys() - set(got["y"].to_pylist())
     if lost:
-        raise RuntimeError(f"labels with rows but without a text of at most {most_words} words in the sample: {sorted(lost)}")
+        raise RuntimeError(f"labels with rows but none in the sample: {sorted(lost)}")
     rows = [np.array(r.values, np.int64) for r in got["hashes"]]
     order = sorted(range(len(rows)), key=lambda k: (len(rows[k]), zlib.crc32(rows[k].tobytes())))     # whatever the partitions
     model = fit([rows[k] for k in order], got["y"].to_numpy()[order].astype(np.int64))

@@ -208,10 +208,13 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """Write the pages as archives, read them back, one row per page record.
 
     Null payload: empty.  Null url: empty.  A null id gets the record id
-    ``<urn:page:None>`` and comes back as null.  Repeated rows of the id that
+    ``<urn:page:None>`` and comes back as null (as does the text id "None");
+    ids come back in the type they had.  Repeated rows of the id that
     is the response are all responses.  An empty table gives no rows."""
     planned = plan_records(pages, id_col, url_col, payload_col, least)
     manifest = write_warc(planned, shared_folder(pages.sparkSession, "warc"))
-    number = lambda c: F.expr(f"try_cast(regexp_extract({c}, 'page:(.*)>$', 1) AS BIGINT)")
+    kind = pages.schema[id_col].dataType.simpleString()
+    known = lambda c: F.regexp_extract(c, "(?s)page:(.*)>$", 1)       # noqa: E731
+    same = lambda c: F.when(F.col(c).rlike("page:") & (known(c) != "None"), known(c).try_cast(kind))       # noqa: E731
     return read_warc(manifest, payload=False).select(
-        number("record_id").alias(id_col), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+        same("record_id").alias(id_col), "payload_bytes", "payload_digest", "record_type", same("refers_to").alias("refers_to"))

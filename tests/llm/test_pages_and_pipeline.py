@@ -50,6 +50,13 @@ def test_every_record_is_read_once_whatever_the_splits(spark, split):
     assert {r.url for r in got} == {u for _, u, _ in rows}
 
 
+def test_text_ids_come_back_as_text(spark):
+    rows = [("a>b", "u", "x" * 1500), ("page:7", "u", "x" * 1500), ("zé", "u", "short"), (None, "u", "other")]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {(r.page_id, r.record_type, r.refers_to) for r in warc.archive_pages(df).collect()}
+    assert got == {("a>b", "revisit", "page:7"), ("page:7", "response", None), ("zé", "response", None), (None, "response", None)}
+
+
 def test_reader_ignores_magic_that_is_no_record(tmp_path):
     record = warc._member(1, "u", b"abc", hashlib.sha1(b"abc").hexdigest(), 3, None, "2024-01-01T00:00:00Z", 4)
     z = zlib.compressobj(6, zlib.DEFLATED, 31)

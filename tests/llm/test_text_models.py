@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from kestrel.llm import language_id, lattice, sentencepiece_codec, token_files, toxicity
-from kestrel.llm.common import hash_below, shared_folder, smallest_hashes
+from kestrel.llm.common import Memo, hash_below, shared_folder, smallest_hashes
 from kestrel.llm.queries import PIECES, TOKENIZER, vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, toxic string, ids string"
@@ -301,11 +301,33 @@ def test_copies_of_one_row_crowd_no_language_out(spark):
     assert model.labels == ["de", "en"]
 
 
-def test_a_label_without_a_training_row_is_an_error(spark):
-    docs = spark.createDataFrame([(i, "word " * (30 if i else 9000)) for i in range(12)], "doc_id long, text string")
-    labels = docs.select("doc_id", (F.col("doc_id") == 0).cast("int").alias("toxic"))
-    with pytest.raises(RuntimeError, match="without a text"):
-        toxicity.train(docs, labels, F.lit(True))
+def test_a_label_of_long_texts_alone_is_learned_from_blocks(spark):
+    """9,000 words and more, where the descent reads at most 4,000: blocks of these texts teach the label."""
+    docs = spark.createDataFrame([(i, ("vile awful " * 5000 if i < 8 else "kind words here " * 10) + f"number{i}") for i in range(40)],
+                                 "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") < 8).cast("int").alias("toxic"))
+    model = toxicity.train(docs, labels, F.lit(True))
+    got = {r.doc_id: r.predicted for r in toxicity.predict(docs, model).collect()}
+    assert got == {i: int(i < 8) for i in range(40)}
+
+
+def test_long_words_are_made_anew_and_never_held():
+    calls = []
+    memo = Memo(lambda k: calls.append(k) or len(k), limit=10)
+    assert [memo["x" * 500], memo["x" * 500], memo["short"], memo["short"]] == [500, 500, 5, 5]
+    assert calls == ["x" * 500, "x" * 500, "short"] and list(memo) == ["short"]
+
+
+def test_chunks_are_bounded_in_bytes_and_long_ones_pass():
+    """Thousands of long texts without spaces fill no memory, and ids stay the library's."""
+    draw = random.Random(2)
+    encoder = token_files.ChunkEncoder(vocabulary(TOKENIZER), limit=40_000)
+    for _ in range(60):
+        texts = [" ".join("".join(draw.choices("abcdeé日,.", k=draw.choice([3, 8, 400]))) for _ in range(20)) for _ in range(5)]
+        for raw, text in zip(encoder(texts), texts):
+            assert np.frombuffer(raw, encoder.dtype).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        held = sum(4 * len(c) + len(v) + 200 for c, v in encoder.memo.known.items())
+        assert held <= 40_000 + 100 * 900 and max(map(len, encoder.memo.known)) <= token_files.ChunkMemo.LONGEST
 
 
 # ---------------------------------------------------------------- toxicity
