@@ -352,6 +352,11 @@ class SoftmaxBoostingModel(Model, _BoostingParams, DefaultParamsReadable, Defaul
         s = self._read()
         return len(s["trees"]) // len(s["base"])
 
+    @property
+    def getNumTrees(self) -> int:
+        """Trees of all rounds and outputs (named like that of Spark's tree ensembles)."""
+        return len(self._read()["trees"])
+
     @property
     def losses(self) -> list[float]:
         """Validation loss before each round and after the last."""

@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 from .bounded import bounded, join_on
 
 BLOCK_ROWS = 16_384      # 16 times fewer copies than blocks of 1,024
+LEAST_ROWS = 64          # queries of a block, where a small group is spread over the cores
 TILE_ROWS = 256          # queries whose distances to a block are held at once
 
 
-def _blocks(df: DataFrame, by: list[str], block_rows: int, out: str) -> DataFrame:
-    """(by..., ``out``): how many blocks each group's rows make."""
+def _blocks(df: DataFrame, by: list[str], block_rows: int, out: str, spread: int = 1) -> DataFrame:
+    """(by..., ``out``): how many blocks each group's rows make; at least ``spread``, if these hold ``LEAST_ROWS`` each."""
     counted = (df.groupBy(*by) if by else df).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.select(*by, F.greatest(F.ceil(F.col("__n") / F.lit(block_rows)), F.lit(1)).cast("int").alias(out))
+    few = F.least(F.lit(spread), F.floor(F.col("__n") / F.lit(LEAST_ROWS)))
+    return counted.select(*by, F.greatest(F.ceil(F.col("__n") / F.lit(block_rows)), few, F.lit(1)).cast("int").alias(out))
 
 
 def _best(d: np.ndarray, rk: np.ndarray, k: int) -> np.ndarray:
@@ -51,16 +53,19 @@ def knn_join(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: int, by
     """(by..., qkey, rkey, dist2, nn_rank) for the k nearest references of
     every query within its ``by`` group (NULL is a group).  ``key`` names the id column of
     both sides; with ``exclude_self`` a row is not its own neighbour.  Every row is copied
-    once for each block of the *other* side of its own group."""
+    once for each block of the *other* side of its own group.  Without ``by`` a small query side is
+    cut into more blocks, two a core."""
     by = list(by)
-    sizes = join_on(_blocks(queries, by, block_rows, "qn"), _blocks(refs, by, block_rows, "rn"), by) if by else \
-        _blocks(queries, by, block_rows, "qn").withColumn("__one", F.lit(1)).join(
-            _blocks(refs, by, block_rows, "rn").withColumn("__one", F.lit(1)), "__one").drop("__one")
-    sizes = bounded(sizes)
+    asked = _blocks(queries, by, block_rows, "qn", 1 if by else 2 * queries.sparkSession.sparkContext.defaultParallelism)
+    given = _blocks(refs, by, block_rows, "rn")
+    if by:
+        sizes = bounded(join_on(asked, given, by))
+    else:
+        counts = [t.first()[0] for t in (asked, given)]
 
     def sized(df, name):
         base = df.select(*[F.col(b).alias(b) for b in by], F.col(key).alias(f"{name}key"), F.col(vec).cast("array<double>").alias(f"{name}vec"))
-        return join_on(base, sizes, by) if by else base.join(sizes)
+        return join_on(base, sizes, by) if by else base.withColumns({n: F.lit(v) for n, v in zip(("qn", "rn"), counts)})
 
     own = lambda name, n: F.pmod(F.xxhash64(f"{name}key"), F.col(n)).cast("int")
     other = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
