@@ -17,7 +17,6 @@ from array import array
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import batch_of, shared_folder, slices, written
 
 BEFORE_WORD = re.compile(r" (?=\S)")
-SIGNS_BEHIND = regex.compile(r"(\p{L}+)([^\p{L}\s]{1,2})")
+LATIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]{0,2})")
 MEMO_BYTES = 160 << 20        # of remembered chunks, twice at most
 
 
@@ -46,6 +45,14 @@ class ChunkMemo:
             self.known[chunk] = ids
             self.bytes += 4 * len(chunk) + len(ids) + self.OVERHEAD
 
+    def put_all(self, chunks: list[str], ids: list[bytes]):
+        if max(map(len, chunks)) > self.LONGEST:
+            for chunk, raw in zip(chunks, ids):
+                self.put(chunk, raw)
+        else:
+            self.known.update(zip(chunks, ids))
+            self.bytes += 4 * sum(map(len, chunks)) + sum(map(len, ids)) + self.OVERHEAD * len(chunks)
+
     def turn(self):
         """Before a slice: drop what only the last one needed, and the old generation if the table is full."""
         self.passing = {}
@@ -95,12 +102,12 @@ class ChunkEncoder:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def learn(self, chunks: list[str]):
-        """Remember the ids of chunks (each as it stands after a space).  Letters with one or two signs behind
-        them are two pieces or more, cut where the letters end: if the letters alone are known, so is the chunk."""
+        """Remember the ids of chunks (each as it stands after a space).  Latin letters with a sign or two behind
+        them are a piece and one or two more, cut where the letters end: if the letters are known, so is the chunk."""
         fresh, made = set(), []
         for chunk in chunks:
-            m = SIGNS_BEHIND.fullmatch(chunk)
-            if m is None:
+            m = LATIN.fullmatch(chunk)
+            if m is None or not m[2]:
                 fresh.add(chunk)
             else:
                 made.append((chunk, m[1], m[2]))
@@ -109,13 +116,12 @@ class ChunkEncoder:
         self.encode_all(list(fresh))
         get = self.memo.getter()
         for chunk, letters, signs in made:
-            if signs not in self.signs:
-                if len(self.signs) >= 1 << 14:
-                    self.signs.clear()
+            if signs not in self.signs:               # a few thousand pairs of ASCII signs at most
                 self.signs[signs] = self.ids(signs)
             self.memo.put(chunk, get(letters) + self.signs[signs])
 
     def encode_all(self, chunks: list[str]):
+        """Encode chunks together and deal the ids back by their lengths in bytes."""
         for at in range(0, len(chunks), self.TOGETHER):
             some = chunks[at:at + self.TOGETHER]
             text = " " + " ".join(some)
@@ -124,12 +130,10 @@ class ChunkEncoder:
                     self.memo.put(c, self.ids(" " + c))
                 continue
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-            ends = np.cumsum([1 + len(c.encode()) for c in some])
-            cuts = np.searchsorted(np.cumsum(self.size[ids]), ends) + 1      # a chunk ends where a token ends
-            raw, width, start = ids.tobytes(), self.dtype.itemsize, 0
-            for chunk, stop in zip(some, cuts.tolist()):
-                self.memo.put(chunk, raw[start * width:stop * width])
-                start = stop
+            ends = np.cumsum([1 + len(c) if c.isascii() else 1 + len(c.encode()) for c in some])
+            stops = ((np.searchsorted(np.cumsum(self.size[ids]), ends) + 1) * self.dtype.itemsize).tolist()      # a chunk ends where a token ends
+            raw = ids.tobytes()
+            self.memo.put_all(some, [raw[a:b] for a, b in zip([0, *stops], stops)])
 
     @staticmethod
     def special(text: str) -> bool:
