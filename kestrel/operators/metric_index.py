@@ -6,7 +6,8 @@ round a query meets the ring of its own cell that fits its distance best; the k-
 follows.  By the triangle inequality a ring with pivot distances [lo, hi] around pivot p holds nothing
 nearer than max(d(q, p) - hi, lo - d(q, p)), so in the second round a query goes only to the rings for which
 this is within its bound.  A ring with very many queries is met in several groups, copies of one row fill
-several rings of one distance, and no group is larger than two parameters say.
+several rings of one distance.  Rings grow with the table where the parameter would make more than ``RINGS`` a
+pivot: a query travels once for each ring it has to meet, and that must not grow with the rows.
 
 ``hashed_knn_join`` is approximate, and only used by name: rows meet where the signs of random projections agree
 (several tables, buckets one bit away probed too); inside a bucket the join is exact."""
@@ -21,26 +22,17 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .bounded import bounded
-from .neighbors import _best, knn_join
+from .neighbors import knn_join, nearest, squared
 from .trees import matrix
 
 PIVOTS = 128
-BLOCK_ROWS = 1024       # rows of a ring
+BLOCK_ROWS = 1024       # rows of a ring; more where that made over RINGS rings a pivot
+RINGS = 2
 GROUP_QUERIES = 8192    # queries that meet a ring at once, about
 TILE = 256
 SLACK = 1e-9            # relative room for rounding in the bounds
 
 
-def squared(q: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Squared distances, summed a dimension at a time in order."""
-    out = np.zeros((len(q), len(r)))
-    for j in range(q.shape[1]):
-        diff = q[:, j][:, None] - r[:, j][None, :]
-        diff *= diff
-        out += diff
-    return out
-
-
 def choose_pivots(refs: DataFrame, vec: str, n: int) -> np.ndarray:
     """The ``n`` distinct vectors with the smallest hashes."""
     rows = refs.select(F.col(vec).cast("array<double>").alias("x")).where(F.col("x").isNotNull())
@@ -115,21 +107,8 @@ def _met(asked: DataFrame, rings: DataFrame, groups: int, k: int, exclude_self:
             return pa.table([pa.array([], t) for t in kinds], names=names)
         rk = rk.flatten()
         refs = np.frombuffer(right.column("vectors")[0].as_py(), np.float64).reshape(len(rk), -1)
-        plain_q, plain_r = qk.to_numpy(zero_copy_only=False), rk.to_numpy(zero_copy_only=False)
-        x, bound = matrix(left.column("x").combine_chunks()), left.column("bound").to_numpy()
-        rows, cols, dist = [], [], []
-        for at in range(0, len(x), TILE):
-            d = squared(x[at:at + TILE], refs)
-            if exclude_self:
-                d[plain_q[at:at + TILE, None] == plain_r[None, :]] = np.inf
-            best = _best(d, plain_r, min(k, len(refs)))
-            got = np.take_along_axis(d, best, axis=1)
-            keep = np.isfinite(got) & ~(got > bound[at:at + TILE, None])          # a null bound is NaN: all stay
-            i, j = np.nonzero(keep)
-            rows.append(at + i)
-            cols.append(best[i, j])
-            dist.append(got[i, j])
-        rows, cols, dist = (np.concatenate(v) for v in (rows, cols, dist))
+        x, bound = matrix(left.column("x").combine_chunks()), left.column("bound").to_numpy()          # a null bound is NaN
+        rows, cols, dist = nearest(x, qk.to_numpy(zero_copy_only=False), refs, rk.to_numpy(zero_copy_only=False), k, exclude_self, bound)
         found = pa.table([qk.take(pa.array(rows)), rk.take(pa.array(cols)), pa.array(dist), pa.nulls(len(rows), pa.int64())], names=names)
         note = pa.table([pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.nulls(1, pa.float64()), pa.array([len(x) * len(refs)])], names=names)
         return pa.concat_tables([found, note])
@@ -157,8 +136,8 @@ def pivot_knn_join(queries: DataFrame, refs: DataFrame, key: str, vec: str, k: i
         return empty, queries.agg(F.count(F.lit(1)).alias("queries"), F.lit(0).cast("long").alias("refs"), F.lit(0).cast("long").alias("compared"))
     placed = _placed(refs, key, vec, centre)
     asked = placed if queries is refs else _placed(queries, key, vec, centre)
-    rings = _rings(placed, block_rows)
     sizes = asked.agg(F.count(F.lit(1)).alias("queries")).crossJoin(placed.agg(F.count(F.lit(1)).alias("refs"))).first()
+    rings = _rings(placed, max(block_rows, -(-sizes["refs"] // (RINGS * pivots))))
     groups = max(1, -(-sizes["queries"] // GROUP_QUERIES))
     meta = bounded(rings.select("block", F.col("cell").alias("in_cell"), "lo", "hi"))
     gap = F.greatest(F.col("lo") - F.col("d"), F.col("d") - F.col("hi"), F.lit(0.0))
