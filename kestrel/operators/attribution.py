@@ -49,10 +49,10 @@ def value_ranks(long: DataFrame, part: Sequence[str], value: str = "v", weight:
 def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins: int = 10) -> DataFrame:
     """(feature, mi, n, estimator) ranked; natural log; equal-frequency
     bins floor(bins * n_less / n) over the non-null values of each feature."""
-    long = _unpivot(df, features, [label]).filter(F.col("v").isNotNull())
     # distinct (feature, value, label) counts first: every later step works on
-    # that (map-side reduced) table, never again on the rows
-    vl = long.groupBy("feature", "v", label).agg(F.count(F.lit(1)).alias("c"))
+    # that (map-side reduced) table, written once, never again on the rows
+    long = _unpivot(df, features, [label]).filter(F.col("v").isNotNull())
+    vl = materialize(long.groupBy("feature", "v", label).agg(F.count(F.lit(1)).alias("c")), "value-counts")
     ranks = value_ranks(vl, ["feature"], weight="c")
     binned = vl.join(ranks.select("feature", "v", "n_less", "n"), ["feature", "v"]) \
         .withColumn("bin", F.floor(F.lit(float(bins)) * F.col("n_less") / F.col("n")).cast("int"))
