@@ -96,6 +96,7 @@ def mutual_information_knn(df: DataFrame, key: str, features: Sequence[str], lab
     u = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), "feature", F.lit(str(seed)))), 1, 13), 16, 10).cast("double")
     room = F.when(F.col("most") > 0, F.col("most")).otherwise(F.lit(1.0)) * F.lit(JITTER)
     parted = long.join(F.broadcast(most), "feature").withColumn("v", F.col("v") + room * (u / F.lit(float(1 << 52))))
+    parted = materialize(parted, "jittered")              # read by the class counts, the range bounds and the ranks
     classes = parted.groupBy("feature", label).agg(F.count(F.lit(1)).alias("n_class"))
     kept = join_on(parted, bounded(classes.where("n_class > 1")), ["feature", label])
     kept = kept.select("feature", F.col(label).alias("class"), F.struct("v", key).alias("at"), "v", "n_class", F.lit(1).alias("one"))
