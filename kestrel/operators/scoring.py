@@ -72,10 +72,13 @@ def score_job(spark, model_path: str, input_path: str, output_path: str, classes
 
 
 def forest_interval(model, df: DataFrame, features: str = "features", keep: Sequence[str] = (), z: float = 1.96) -> DataFrame:
-    """I3 for a fitted Spark forest: ``keep, pred, member_mean, member_std, confidence_low, confidence_high``.  The winning
-    class is that of the forest's own probability (first of the largest); all trees are evaluated
-    together on each batch of rows, so the plan is one narrow stage for any number of trees."""
+    """I3 for a fitted forest: ``keep, pred, member_mean, member_std, confidence_low, confidence_high``.  The winning
+    class is that of the forest's own probability (first of the largest).  Spark's forests: all trees are evaluated
+    together on each batch of rows, one narrow stage.  Deep forests: their trees are dealt out as well."""
     from ..session import checkpoint_dir
+    from .forest import DeepForestModel, spread_interval
     from .trees import class_interval, spark_forest
+    if isinstance(model, DeepForestModel):
+        return spread_interval(model, df, features, keep, z)
     folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/forest-{uuid.uuid4().hex}"
     return class_interval(spark_forest(model, folder, df.sparkSession), df, features, keep, z)
