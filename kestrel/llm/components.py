@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import met, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,12 +21,12 @@ def components(edges: DataFrame) -> DataFrame:
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                      .select("node", F.least("node", "m").alias("root")), "cc-labels")
     while True:
-        near = (both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("n2")).agg(F.min("root").alias("m")))
-        low = labels.join(near, labels["node"] == near["n2"]).select("node", "root", F.least("root", "m").alias("low"))
+        near = (met(both, labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("n2")).agg(F.min("root").alias("m")))
+        low = met(labels, near, labels["node"] == near["n2"]).select("node", "root", F.least("root", "m").alias("low"))
         low = written(low, "cc-low")
         # a label is itself a node: follow it one step
         jump = low.select(F.col("node").alias("via"), F.col("low").alias("next"))
-        step = written(low.join(jump, low["low"] == jump["via"])
+        step = written(met(low, jump, low["low"] == jump["via"])
                        .select("node", "root", F.least("low", "next").alias("new")), "cc-step")
         changed = step.where("new <> root").limit(1).count()
         labels = step.select("node", F.col("new").alias("root"))

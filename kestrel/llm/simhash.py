@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes, unused, written
+from .common import met, slices, text_bytes, unused, written
 from .components import components
 
 BITS = 64
@@ -97,14 +97,14 @@ def star_links(rooted: DataFrame, max_bits: int, turn: int) -> DataFrame:
     draw = F.xxhash64("fp", "key", F.lit(turn))
     tops = (keyed.groupBy("key").agg(F.min(F.struct(draw.alias("h"), "fp", "root")).alias("top"), F.count(F.lit(1)).alias("n"))
             .where("n > 1").select(F.col("key").alias("k2"), F.col("top.fp").alias("fp2"), F.col("top.root").alias("root2")))
-    return (keyed.join(tops, (F.col("key") == F.col("k2")) & (F.col("root") != F.col("root2")) & near("fp", "fp2", max_bits))
+    return (met(keyed, tops, (F.col("key") == F.col("k2")) & (F.col("root") != F.col("root2")) & near("fp", "fp2", max_bits))
             .select(F.col("root").alias("a"), F.col("root2").alias("b")).distinct())
 
 
 def merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
     """``fp, root`` with the roots that ``links`` join made one."""
     tops = components(links).withColumnRenamed("root", "top")
-    return written(rooted.join(tops, rooted["root"] == tops["node"], "left")
+    return written(met(rooted, tops, rooted["root"] == tops["node"], "left")
                    .select("fp", F.coalesce("top", "root").alias("root")), "simhash-rooted")
 
 
@@ -119,8 +119,8 @@ def fingerprint_components(fps: DataFrame, max_bits: int, turns: int = 2) -> Dat
     keyed = variants(rooted, max_bits, "root")
     mains = (keyed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
              .agg(F.max_by("root", F.struct("n", "root")).alias("root"), F.sum("n").alias("n")).where("n > 1").drop("n"))
-    rest = keyed.join(mains, ["key", "root"], "left_anti").select(F.col("key").alias("k2"), F.col("fp").alias("fp2"), F.col("root").alias("root2"))
-    cross = (keyed.join(rest, (F.col("key") == F.col("k2")) & (F.col("root") != F.col("root2")) & near("fp", "fp2", max_bits))
+    rest = met(keyed, mains, ["key", "root"], "left_anti").select(F.col("key").alias("k2"), F.col("fp").alias("fp2"), F.col("root").alias("root2"))
+    cross = (met(keyed, rest, (F.col("key") == F.col("k2")) & (F.col("root") != F.col("root2")) & near("fp", "fp2", max_bits))
              .select(F.col("root").alias("a"), F.col("root2").alias("b")).distinct())
     return merged(rooted, cross)
 
@@ -129,7 +129,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits
     """(``id, fp`` of every row, ``fp, low, root`` of every distinct fingerprint; ``low`` is its smallest id)."""
     marked = written(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     distinct = written(marked.groupBy("fp").agg(F.min("id").alias("low")), "simhash-distinct")
-    return marked, distinct.join(fingerprint_components(distinct.select("fp"), max_bits), "fp")
+    return marked, met(distinct, fingerprint_components(distinct.select("fp"), max_bits), "fp")
 
 
 def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -142,8 +142,8 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Repeated rows are returned repeated.  An empty table gives no rows."""
     marked, roots = _grouped(docs, id_col, text_col, shingle, max_bits)
     lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = roots.join(lowest, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+    by_fp = met(roots, lowest, "root").select("fp", "component_id")
+    return met(marked, by_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                            "component_id")
 
 
@@ -159,7 +159,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # the id alone tells the row, but where an id has several rows: only these are hashed again
     often = marked.groupBy("id").agg((F.count(F.lit(1)) > 1).alias("often"))
     name, print_, many = (unused(docs, n) for n in ("chosen_id", "chosen_print", "chosen_often"))
-    stay = (chosen.where("NOT nameless").join(often, F.col("low") == F.col("id"))
+    stay = (met(chosen.where("NOT nameless"), often, F.col("low") == F.col("id"))
             .select(F.col("id").alias(name), F.col("fp").alias(print_), F.col("often").alias(many)))
 
     @F.pandas_udf("long")
