@@ -14,13 +14,16 @@ pivot: a query travels once for each ring it has to meet, and that must not grow
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from ..session import materialize
+from ..session import materialize, shuffles_dropped
 from .bounded import bounded
 from .neighbors import knn_join, nearest, squared
 from .trees import matrix
@@ -30,6 +33,7 @@ BLOCK_ROWS = 1024       # rows of a ring; more where that made over RINGS rings
 RINGS = 2
 GROUP_QUERIES = 8192    # queries that meet a ring at once, about
 TILE = 256
+AT_ONCE = 2_000_000      # (query, probed bucket) rows that are joined at once
 SLACK = 1e-9            # relative room for rounding in the bounds
 
 
@@ -180,29 +184,47 @@ def hashed_knn_join(queries: DataFrame, refs: DataFrame, key: str, vec: str, k:
     """Approximate ``qkey, rkey, dist2, nn_rank``: the nearest among the rows that share a bucket with the query in one of
     ``tables`` tables.  A bucket is the signs of ``bits`` random projections of the vectors less their mean; a
     query also looks into the buckets one sign away.  Distances are exact; neighbours may be missed, and a query
-    that meets fewer than k rows returns fewer.  More tables or fewer bits: better recall, more work."""
+    that meets fewer than k rows returns fewer.  More tables or fewer bits: better recall, more work.
+
+    A row is written once, with its buckets; vectors are copied to their buckets in the join alone, for about ``AT_ONCE``
+    copies of queries at a time (a table at least), and the files of a join are gone before the next begins."""
     mean = np.array([r["m"] for r in refs.select(F.posexplode(F.col(vec).cast("array<double>")).alias("j", "v")).groupBy("j")
                      .agg(F.avg("v").alias("m")).orderBy("j").collect()])                     # a row a dimension
     planes = np.random.default_rng(seed).normal(size=(tables * bits, len(mean)))
 
-    def signed(df: DataFrame, probes: bool) -> DataFrame:
-        rows = df.select(F.col(key), F.col(vec).cast("array<double>").alias(vec)).where(F.col(vec).isNotNull())
+    def signed(df: DataFrame) -> DataFrame:
+        """``key, vec, codes``: a row for each row, with its bucket in every table; floats stay floats."""
+        kind = df.schema[vec].dataType
+        plain = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
+        rows = df.select(F.col(key), (F.col(vec) if plain else F.col(vec).cast("array<double>")).alias(vec)).where(F.col(vec).isNotNull())
 
         def code(batches):
-            flips = np.array([0, *(1 << np.arange(bits))]) if probes else np.zeros(1, np.int64)
             for batch in batches:
                 for at in range(0, batch.num_rows, TILE):
                     part = batch.slice(at, TILE)
                     side = ((matrix(part.column(1)) - mean) @ planes.T > 0).reshape(part.num_rows, tables, bits)
-                    bucket = (side * (1 << np.arange(bits))).sum(axis=2)[:, :, None] ^ flips            # rows x tables x probes
-                    rows_of = np.repeat(np.arange(part.num_rows), tables * len(flips))
-                    table = np.tile(np.repeat(np.arange(tables), len(flips)), part.num_rows)
-                    taken = part.take(pa.array(rows_of))
-                    yield pa.RecordBatch.from_arrays([*taken.columns, pa.array((table << bits | bucket.ravel()).astype(np.int64))], names=[key, vec, "bucket"])
-
-        kind = rows.schema[key].dataType.simpleString()
-        return materialize(rows.mapInArrow(code, f"{key} {kind}, {vec} array<double>, bucket long"), "knn-hashed")
-
-    found = knn_join(signed(queries, True), signed(refs, False), key, vec, k, by=["bucket"], exclude_self=exclude_self)
-    once = found.groupBy("qkey", "rkey").agg(F.min("dist2").alias("dist2"))
+                    bucket = (side * (1 << np.arange(bits))).sum(axis=2) | np.arange(tables) << bits
+                    codes = pa.ListArray.from_arrays(pa.array(np.arange(0, bucket.size + 1, tables, dtype=np.int32)), pa.array(bucket.astype(np.int64).ravel()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, codes], names=[key, vec, "codes"])
+
+        kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+        return materialize(rows.mapInArrow(code, f"{key} {kind[key]}, {vec} {kind[vec]}, codes array<bigint>"), "knn-hashed")
+
+    given = signed(refs)
+    asked = given if queries is refs else signed(queries)
+    n = max(asked.count(), 1)
+    flips = [0, *(1 << i for i in range(bits))]
+
+    def met(first: int, last: int) -> DataFrame:
+        """The nearest of each query that share a bucket with it in the tables ``first`` to ``last - 1``; written."""
+        some = F.slice("codes", first + 1, last - first)
+        probes = F.flatten(F.transform(some, lambda c: F.array(*[c.bitwiseXOR(F.lit(x).cast("long")) for x in flips])))
+        found = knn_join(asked.select(key, vec, F.explode(probes).alias("bucket")), given.select(key, vec, F.explode(some).alias("bucket")),
+                         key, vec, k, by=["bucket"], exclude_self=exclude_self)
+        return materialize(_first(found.groupBy("qkey", "rkey").agg(F.min("dist2").alias("dist2")), k), "knn-table")
+
+    step = max(1, AT_ONCE // (n * len(flips)))
+    with shuffles_dropped(asked.sparkSession):
+        parts = [met(at, min(at + step, tables)) for at in range(0, tables, step)]
+    once = reduce(DataFrame.unionByName, parts).groupBy("qkey", "rkey").agg(F.min("dist2").alias("dist2"))
     return _first(once, k)
